@@ -28,7 +28,7 @@ class Given:
         )
 
     def conformers(self, all_energies: bool = False) -> DataFrame:
-        energy = F.col("o_totalprice") * F.lit(1e-5)
+        energy = F.col("o_totalprice") * F.lit(1.0371319e-5)
         if not all_energies:
             energy = F.when(F.col("o_orderstatus") != "P", energy)
         return self.table("orders").select(
@@ -50,7 +50,7 @@ class Given:
     def shieldings(self) -> DataFrame:
         return self.observed().select(
             "ensemble_id", "conf_idx", F.col("l_linenumber").alias("atom_index"), self.element().alias("element"),
-            (F.lit(25.0) + F.col("l_extendedprice") * F.lit(1e-4)).alias("sigma_iso_ppm"),
+            (F.lit(25.0) + F.col("l_extendedprice") * F.lit(1.0371319e-4)).alias("sigma_iso_ppm"),
         )
 
     def couplings(self) -> DataFrame:
@@ -59,5 +59,5 @@ class Given:
             F.col("l_linenumber").alias("i"), self.element().alias("elem_i"),
             (F.col("l_linenumber") + 1).alias("j"),
             F.when(F.col("l_linestatus") == "O", "H").otherwise("C").alias("elem_j"),
-            F.when(F.col("l_tax") < 0.07, F.col("l_quantity") * F.lit(0.3) - 2.0).alias("j_total_hz"),
+            F.when(F.col("l_tax") < 0.07, F.col("l_quantity") * F.lit(0.30173917131) - 2.0).alias("j_total_hz"),
         )

@@ -25,4 +25,4 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> None:
-    from ensemblage.plans import thermo_queries, nmr_queries  # noqa: F401
+    from ensemblage.plans import nmr_queries, screen_queries, thermo_queries  # noqa: F401

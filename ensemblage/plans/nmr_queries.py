@@ -194,13 +194,13 @@ register("agg_nmr_summary", NMR_SUMMARY)(summary_table)
 
 
 @register("set_nmr_union", with_ctes("""
-    WITH dedicated AS (SELECT ensemble_id, conf_idx, atom_index FROM shieldings WHERE element IN ('H', 'C')),
-         covered AS (SELECT ensemble_id, conf_idx FROM dedicated
-                     UNION SELECT ensemble_id, conf_idx FROM couplings WHERE elem_i = 'H')
     SELECT *, 'nmr' AS job_kind FROM dedicated
     UNION ALL
     SELECT ensemble_id, conf_idx, atom_index, 'thermo' FROM shieldings
-    WHERE element = 'O' AND (ensemble_id, conf_idx) NOT IN (SELECT (ensemble_id, conf_idx) FROM covered)"""))
+    WHERE element = 'O' AND (ensemble_id, conf_idx) NOT IN (SELECT (ensemble_id, conf_idx) FROM covered)""", {
+    "dedicated": "SELECT ensemble_id, conf_idx, atom_index FROM shieldings WHERE element IN ('H', 'C')",
+    "covered": """SELECT ensemble_id, conf_idx FROM dedicated
+                  UNION SELECT ensemble_id, conf_idx FROM couplings WHERE elem_i = 'H'"""}))
 def nmr_union(spark: SparkSession, folder: str) -> DataFrame:
     given = Given(spark, folder)
     rows = given.shieldings().select("ensemble_id", "conf_idx", "atom_index", "element")

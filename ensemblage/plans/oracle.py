@@ -37,10 +37,10 @@ CTES: dict[str, str] = {
         FROM weighted""",
     "conformers": """
         SELECT o_custkey AS ensemble_id, o_orderkey + 1 AS conf_idx,
-               CASE WHEN o_orderstatus <> 'P' THEN o_totalprice * 1e-5 END AS energy_kcal
+               CASE WHEN o_orderstatus <> 'P' THEN o_totalprice * 1.0371319e-5 END AS energy_kcal
         FROM orders""",
     "conformers_all": """
-        SELECT o_custkey AS ensemble_id, o_orderkey + 1 AS conf_idx, o_totalprice * 1e-5 AS energy_kcal
+        SELECT o_custkey AS ensemble_id, o_orderkey + 1 AS conf_idx, o_totalprice * 1.0371319e-5 AS energy_kcal
         FROM orders""",
     "observed": """
         SELECT o_custkey AS ensemble_id, l_orderkey + 1 AS conf_idx, lineitem.*,
@@ -48,12 +48,12 @@ CTES: dict[str, str] = {
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "shieldings": """
         SELECT ensemble_id, conf_idx, l_linenumber AS atom_index, element,
-               25.0::DOUBLE + l_extendedprice * 1e-4 AS sigma
+               25.0::DOUBLE + l_extendedprice * 1.0371319e-4 AS sigma
         FROM observed""",
     "couplings": """
         SELECT ensemble_id, conf_idx, l_linenumber AS i, element AS elem_i, l_linenumber + 1 AS j,
                CASE l_linestatus WHEN 'O' THEN 'H' ELSE 'C' END AS elem_j,
-               CASE WHEN l_tax < 0.07 THEN l_quantity * 0.3::DOUBLE - 2.0 END AS j_total
+               CASE WHEN l_tax < 0.07 THEN l_quantity * 0.30173917131::DOUBLE - 2.0 END AS j_total
         FROM observed""",
     "weights": "SELECT ensemble_id, conf_idx, w FROM weighted WHERE w IS NOT NULL",
     "sigma_users": """
