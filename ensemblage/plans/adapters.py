@@ -61,3 +61,140 @@ class Given:
             F.when(F.col("l_linestatus") == "O", "H").otherwise("C").alias("elem_j"),
             F.when(F.col("l_tax") < 0.07, F.col("l_quantity") * F.lit(0.30173917131) - 2.0).alias("j_total_hz"),
         )
+
+    # texts: every order and every lineitem is written out as the files of one task
+
+    def job_files(self) -> DataFrame:
+        """A frequency run, an energy run and an NMR run per order, each under its own condition."""
+        key, price = F.col("o_orderkey"), F.col("o_totalprice")
+        e_low, e_high = F.lit(-75.9) - price * F.lit(1e-8), F.lit(-76.0) - price * F.lit(1e-8)
+        g_corr = F.lit(0.04) + (key % 7) * F.lit(1e-4)
+        end = F.when(F.col("o_orderstatus") == "F", "****ORCA TERMINATED NORMALLY****\n").otherwise("killed\n")
+        frequency = F.concat(
+            F.format_string("FINAL SINGLE POINT ENERGY     %.12f\n", e_low + F.lit(0.5)),
+            F.format_string("FINAL SINGLE POINT ENERGY     %.12f\nTHERMOCHEMISTRY AT T = 298.15 K\n", e_low),
+            F.format_string("Total enthalpy      ...   %.12f Eh\n", e_low + F.lit(0.05)),
+            F.lit("Total entropy correction     ...  -0.010000000000 Eh\n"),
+            F.format_string("Final Gibbs free energy   ...  %.12f Eh\n", e_low + g_corr),
+            F.format_string("G-E(el)     ...  %.12f Eh  26.3 kcal/mol\n", g_corr), end,
+        )
+        energy = F.concat(F.format_string("SCF done\r\nFINAL SINGLE POINT ENERGY     %.12f\r\n", e_high), end)
+        wrong = F.concat(F.lit("FINAL SINGLE POINT ENERGY     -99.000000000000\n"), end)
+        priority = F.col("o_orderpriority")
+
+        def file(wanted: Column, name: str, content: Column) -> Column:
+            return F.when(wanted, F.struct(F.lit(name).alias("file_name"), content.alias("content")))
+
+        files = F.array_compact(F.array(
+            file(F.col("o_orderstatus") != "P", "a_freq.out", frequency),
+            file(priority != "5-LOW", "b_sp.out", energy),
+            file(priority == "1-URGENT", "orca_nmr_h.out", wrong),
+        ))
+        return self.table("orders").select(
+            F.col("o_custkey").alias("ensemble_id"), (key + 1).cast("int").alias("task_idx"), F.explode(files).alias("f"),
+        ).select("ensemble_id", "task_idx", "f.file_name", "f.content")
+
+    def _item_files(self, content: Column) -> DataFrame:
+        name = F.concat_ws("_", F.col("l_partkey"), F.col("l_suppkey"), F.lit("nmr.out"))
+        return self.table("lineitem").select(
+            F.col("l_orderkey").alias("ensemble_id"), F.col("l_linenumber").alias("task_idx"), name.alias("file_name"),
+            content.alias("content"),
+        )
+
+    def shielding_files(self) -> DataFrame:
+        """Two summaries per lineitem: an older one, and the final one with three atoms."""
+        title = "\n CHEMICAL SHIELDING SUMMARY (ppm)\n ---------\n  Nucleus  Element  Isotropic  Anisotropy\n"
+        return self._item_files(F.concat(
+            F.lit(title + "  0  C   1.000000   2.000000\n  9  H   9.000000   1.500000\n\n 0 C 5.0 5.0\n"),
+            F.lit(title), F.format_string("  0  C   %.6f   12.500\n", F.lit(25.0) + F.col("l_extendedprice") * F.lit(1e-4)),
+            F.format_string("  1  H   %.3f   -5.000\n", F.lit(29.0) + F.col("l_quantity") * F.lit(0.1)),
+            F.format_string("  2  Cl  -%.2f  1.0e+01\n", F.col("l_discount") + F.lit(1.0)), F.lit(" \nTIMINGS SUMMARY\n 7 H 1.0 1.0\n"),
+        ))
+
+    def coupling_files(self) -> DataFrame:
+        """Two pair blocks per lineitem, in one of the three header styles."""
+        total = F.col("l_quantity") - F.lit(7.25)
+        fc, sd = F.col("l_quantity") * F.lit(0.5), F.col("l_discount")
+        filler = "  some text\n" * 11
+        same_line = F.concat(
+            F.lit("   NUCLEUS A = H    9 NUCLEUS B = C    8\n" + filler),
+            F.format_string("  J[8,9](Total)      iso=  %.3f\n", total), F.format_string("  J[8,9](FC)  iso=  %.2f\n", fc),
+            F.lit("  J[7,9](SD)  iso=   3.000\n"), F.format_string("  J[8,9](SD)  iso=   %.2f\n", sd),
+            F.lit("   NUCLEUS A = H    1 NUCLEUS B = H    2\n  J[1,2](Total) iso= 1.5\n"),
+        )
+        two_lines = F.concat(
+            F.lit(" Nucleus A: 0 C\n ----\n Nucleus B: 1 H\n"), F.format_string("Fermi contact contribution  : %.2f Hz\n", fc),
+            F.lit("Spin-dipolar/Fermi-contact cross term   :    0.001 Hz\n"),
+            F.format_string("Spin-dipolar contribution  : %.2f Hz\n", sd), F.format_string("Total       :  %.3f Hz\n", total),
+            F.lit(" Nucleus A: 5 H\n Nucleus B: 4 H\nTotal  :  2.5 Hz\n"),
+        )
+        comma = F.concat(
+            F.lit("NUCLEUS A = 2 H, NUCLEUS B = 3 H\n Total = 99.0\nNUCLEUS A = 2 H, NUCLEUS B = 3 H\n"),
+            F.format_string("FC = %.2f\n", fc), F.format_string("SD = %.2f\n", sd), F.lit("PSO = 0.034\nDSO = -0.022\nSD/FC = 0.001\n"),
+        )
+        flag = F.col("l_returnflag")
+        return self._item_files(F.when(flag == "A", same_line).when(flag == "N", two_lines).otherwise(comma))
+
+    def energy_files(self) -> DataFrame:
+        content = F.concat(
+            F.format_string("1 -1.234 %.2f\n", F.col("o_totalprice")), F.lit("NA\n\n# header\n"),
+            F.format_string("2, -1.5, %d\n   NaN\n", F.col("o_orderkey")),
+        )
+        return self.table("orders").select("o_orderkey", content.alias("content"))
+
+    def frame_files(self) -> DataFrame:
+        """Two frames per lineitem, and a truncated third one."""
+        x, y, z = F.col("l_quantity"), F.col("l_discount"), F.col("l_tax")
+        comment = F.when(F.col("l_returnflag") == "A", F.format_string("Erel: %.2f kcal/mol Etot: -123.45 Eh", x)).when(
+            F.col("l_returnflag") == "N", F.format_string("Energy: -123.456 Eh %.2f", x)
+        ).otherwise(F.format_string("  %.2f", -x))
+        content = F.concat(
+            F.lit("3\n"), comment, F.format_string("\nO %.2f %.2f %.2f\nH 0.0 0.0 0.5\nH 0.5 0.0 0.0\n\n", x, y, z),
+            F.format_string("1\nsecond\nC %.2f 1.0 2.0\n9\ncut off\nH 0 0 0\n", z),
+        )
+        key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        return self.table("lineitem").select(key.alias("file_id"), content.alias("content"))
+
+    def accounting_lines(self) -> DataFrame:
+        kind = F.col("event_type")
+        state = (
+            F.when(kind == "purchase", "|COMPLETED|0:0").when(kind == "error", "|FAILED|1:0")
+            .when(kind == "view", "|CANCELLED by 0|0:0|x").when(kind == "click", "||").otherwise("|RUNNING")
+        )
+        task = F.concat_ws("_", F.col("user_id"), F.col("event_id") % 8 + 1)
+        return self.table("events").select(
+            F.col("user_id").alias("job_id"), F.col("event_id").alias("line_no"), F.concat(task, state).alias("line")
+        )
+
+    def manifest_texts(self) -> DataFrame:
+        status, key = F.col("o_orderstatus"), F.col("o_orderkey").cast("string")
+        full = (
+            '{"schema":"wf.manifest.v1","ok":true,"step":"prism_screen","created_at_unix":%s,"runtime_seconds":1.5,'
+            '"cwd":"/d","inputs":{"raw_argv":[]},"upstream":{"ok":true,"manifest_path":"/d/up%s.json"},"failures":[],'
+            '"artifacts":{"accepted":[{"path_abs":"/d/%s_1.xyz","index":1,"rel_energy_kcal":0.5},"/d/%s_2.xyz",'
+            '{"path":"/d/%s_3.log"}],"xyz":["/d/no.xyz"],"files":[{"label":"csv","path_abs":"/d/t.csv"},'
+            '{"label":"Orca_Energies","path_abs":"/d/%s.txt"}],"array":{"n_tasks":3}}}'
+        )
+        ensemble = (
+            '{"schema":"wf.result.v1","step":"crest","cwd":"/d","artifacts":{"accepted":[],'
+            '"xyz_ensemble":["/d/%s_ens.xyz","/d/%s_ens2.xyz"],"files":[{"path_rel":"/d/%s.energies"},'
+            '{"label":"energies","path_abs":"/d/later"}]},"failures":[]}'
+        )
+        single = '{"ok":false,"step":"embed","artifacts":{"xyz":[{"path_abs":"","path":"/d/%s_s.xyz"}]}}'
+
+        def filled(template: str) -> Column:
+            return F.format_string(template, *[key] * template.count("%s"))
+
+        text = F.when(status == "F", filled(full)).when(status == "O", filled(ensemble)).otherwise(filled(single))
+        return self.table("orders").select(F.concat(F.lit("/m/"), key).alias("manifest_path"), text.alias("text"))
+
+    def pointer_texts(self) -> DataFrame:
+        kind, key = F.col("o_orderpriority"), F.col("o_orderkey").cast("string")
+        text = (
+            F.when(kind == "1-URGENT", F.concat(F.lit('{"schema":"wf.pointer.v1","ok":true,"manifest_path":"/m/'), key, F.lit('"}')))
+            .when(kind == "2-HIGH", F.concat(F.lit(' {"schema":"wf.pointer.v1","manifest_path":"/m/'), key, F.lit('"}\n')))
+            .when(kind == "3-MEDIUM", F.concat(F.lit('{"schema":"other","ok":true,"manifest_path":"/m/'), key, F.lit('"}')))
+            .when(kind == "4-NOT SPECIFIED", F.lit('{"schema":"wf.pointer.v1","ok":true,"manifest_path":""}'))
+            .otherwise(F.concat(F.lit("[1, "), key, F.lit("]")))
+        )
+        return self.table("orders").select(F.col("o_orderkey").alias("run_id"), text.alias("text"))
