@@ -189,9 +189,9 @@ def coupling_rows(files: DataFrame) -> DataFrame:
         groups = F.arrays_zip(*[F.regexp_extract_all(line, F.lit(marked), F.lit(g)).alias(f"g{g}") for g in (1, 2, 3, 4)])
 
         def one(found: Column) -> Column:
-            first, second = whole(found["0"]), whole(found["1"])
+            first, second = whole(found["g1"]), whole(found["g2"])
             mine = (F.least(first, second) == F.col("i")) & (F.greatest(first, second) == F.col("j"))
-            return hit(F.upper(found["2"]), F.when(mine, found["3"].cast("double")))
+            return hit(F.upper(found["g3"]), F.when(mine, found["g4"].cast("double")))
 
         return F.transform(groups, one)
 

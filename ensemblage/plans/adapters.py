@@ -198,3 +198,61 @@ class Given:
             .otherwise(F.concat(F.lit("[1, "), key, F.lit("]")))
         )
         return self.table("orders").select(F.col("o_orderkey").alias("run_id"), text.alias("text"))
+
+    # molecules: an order is a molecule, its line numbers are the atoms
+
+    def atoms(self) -> DataFrame:
+        items = self.table("lineitem")
+        return items.groupBy(F.col("l_orderkey").alias("ensemble_id"), F.col("l_linenumber").alias("atom_index")).agg(
+            F.min(self.element()).alias("element"), F.min("l_linestatus").alias("class_id"),
+            F.min(F.when(F.col("l_tax") < 0.08, F.col("l_discount"))).alias("ppm"),
+        )
+
+    def bonds(self) -> DataFrame:
+        other = ((F.col("l_linenumber") + F.col("l_quantity").cast("int")) % 7 + 1).cast("int")
+        return self.table("lineitem").select(
+            F.col("l_orderkey").alias("ensemble_id"), F.col("l_linenumber").alias("a"), other.alias("b"))
+
+    def j_edges(self) -> DataFrame:
+        i = F.col("l_linenumber")
+        j = ((i + F.col("l_quantity").cast("int")) % 7 + 1).cast("int")
+        return self.table("lineitem").where(i != j).groupBy(
+            F.col("l_orderkey").alias("ensemble_id"), F.least(i, j).alias("i"), F.greatest(i, j).alias("j")
+        ).agg(F.min(F.col("l_tax") * F.lit(10.0)).alias("hz"))
+
+    # events of array jobs: a user is a job of eight tasks
+
+    @staticmethod
+    def signals(events: DataFrame) -> DataFrame:
+        kind = F.col("event_type")
+        signal = (
+            F.when(kind == "purchase", "done_success").when(kind == "error", "done_failed")
+            .when(kind.isin("signup", "view"), "started").otherwise("orca_opt.out")
+        )
+        return events.select(
+            F.col("user_id").alias("job_id"), (F.col("event_id") % 8 + 1).cast("int").alias("task_idx"),
+            F.col("ts").cast("timestamp").alias("ts"), signal.alias("signal"),
+        )
+
+    def task_events(self) -> DataFrame:
+        return self.signals(self.table("events"))
+
+    def task_event_stream(self) -> DataFrame:
+        schema = self.table("events").schema
+        stream = self.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(self.folder)
+        return self.signals(stream)
+
+    def job_sizes(self) -> DataFrame:
+        jobs = self.table("events").select(F.col("user_id").alias("job_id")).distinct()
+        return jobs.withColumn("n_tasks", F.lit(9))
+
+    # configuration words: one cell of an order is one setting
+
+    def settings(self) -> DataFrame:
+        kind, key = F.col("o_orderpriority"), F.col("o_orderkey")
+        text = (
+            F.when(kind == "1-URGENT", F.format_string("  %d ", key)).when(kind == "2-HIGH", F.format_string("%.2f", F.col("o_totalprice")))
+            .when(kind == "3-MEDIUM", F.when(key % 2 == 0, " AUTO ").otherwise("None"))
+            .when(kind == "4-NOT SPECIFIED", F.when(key % 2 == 0, " Yes").otherwise("off ")).otherwise(F.lit("x y"))
+        )
+        return self.table("orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", text.alias("text"))

@@ -25,4 +25,6 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> None:
-    from ensemblage.plans import nmr_queries, screen_queries, source_queries, thermo_queries  # noqa: F401
+    from ensemblage.plans import (  # noqa: F401
+        nmr_queries, screen_queries, source_queries, structure_queries, thermo_queries,
+    )
