@@ -256,3 +256,39 @@ class Given:
             .when(kind == "4-NOT SPECIFIED", F.when(key % 2 == 0, " Yes").otherwise("off ")).otherwise(F.lit("x y"))
         )
         return self.table("orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", text.alias("text"))
+
+    # documents: an order is a screening run whose record may have a flaw
+
+    def screen_texts(self) -> DataFrame:
+        """A contract-conforming document per order, with one flaw by priority and another by status."""
+        kind, status, key = F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_orderkey").cast("string")
+        record = '{"index":%s,"path_abs":"/d/%s.xyz","sha256":"ab"%s}'
+        first = F.format_string(record, F.when(kind == "1-URGENT", "0").otherwise("1"), key, F.lit(',"label":"c1"'))
+        second = F.format_string(
+            record, F.when(kind == "2-HIGH", "1").otherwise("2"), key,
+            F.when(kind == "3-MEDIUM", ',"energy_kcal":"low","cluster_id":1.5').otherwise(',"energy_kcal":1,"metrics":{}'))
+        third = F.when(kind == "4-NOT SPECIFIED", '{"index":3,"path_abs":"/d/x.xyz","rel_energy_kcal":1.0}').otherwise(
+            F.format_string(record, F.lit("3"), key, F.lit(',"rejected_reason":"cluster_dup"')))
+        inputs = F.format_string(
+            '{"raw_argv":[],"method":"%s","n_input":3,"n_accepted":%s,"n_rejected":1%s}',
+            F.when(kind == "5-LOW", "auto").otherwise("own"), F.when(status == "O", "7").otherwise("2"),
+            F.when(status == "O", "").otherwise(',"best_chosen_by":"lowest_rel_energy_kcal"'))
+        best = '{"label":"%s","path_abs":"/d/best.xyz","sha256":"cd"}'
+        full = F.concat(
+            F.lit('{"schema":"wf.result.v1","ok":true,"cwd":"/d","failures":[],"inputs":'), inputs,
+            F.lit(',"artifacts":{"accepted":['), first, F.lit(","), second, F.lit('],"rejected":['), third,
+            F.lit('],"xyz_ensemble":[' + best % "accepted_ensemble" + '],"xyz":['),
+            F.when(status == "O", best % "first").otherwise(best % "best"), F.lit("]}}"))
+        bare = F.concat(F.lit('{"schema":"v0","ok":true,"inputs":{"method":"own"},"artifacts":{"accepted":{},"array":[1],"x_'), key,
+                        F.lit('":"text"}}'))
+        return self.table("orders").select(
+            F.concat(F.lit("/m/"), key).alias("manifest_path"), F.when(status == "P", bare).otherwise(full).alias("text"))
+
+    def runs(self) -> DataFrame:
+        """A conversation is a chain of runs, a turn each; long answers are failed runs."""
+        turn, conv = F.col("turn"), F.col("conv_id")
+        return self.table("conversations").select(
+            F.concat_ws("/", conv, turn).alias("run"),
+            F.when(turn > 0, F.concat_ws("/", conv, turn - 1)).alias("upstream"),
+            (F.length("text") <= 400).alias("ok"),
+        )
