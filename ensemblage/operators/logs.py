@@ -89,6 +89,11 @@ def pick_outputs(values: DataFrame, sp_candidates: str = "no_nmr") -> DataFrame:
     )
 
 
+def over_roster(roster: DataFrame, picks: DataFrame) -> DataFrame:
+    """One record per task of the roster; tasks without files have no numbers."""
+    return roster.join(picks, ["ensemble_id", "task_idx"], "left")
+
+
 def lines_of(text: Column) -> Column:
     return F.split(text, r"\r?\n")
 

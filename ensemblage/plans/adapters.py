@@ -292,3 +292,28 @@ class Given:
             F.when(turn > 0, F.concat_ws("/", conv, turn - 1)).alias("upstream"),
             (F.length("text") <= 400).alias("ok"),
         )
+
+    # geometry: an order is a conformer, its lineitems are atoms; an embedding is a point
+
+    def coordinates(self) -> DataFrame:
+        """One atom per line number: the lowest values of its lineitems."""
+        return self.observed().groupBy("ensemble_id", "conf_idx", F.col("l_linenumber").alias("atom_index")).agg(
+            F.min(self.element()).alias("element"),
+            F.min(F.col("l_quantity") * F.lit(1.0371319)).alias("x"),
+            F.min(F.col("l_discount") * F.lit(100.37131)).alias("y"),
+            F.min(F.col("l_tax") * F.lit(97.13137)).alias("z"),
+        )
+
+    def descriptors(self) -> DataFrame:
+        """A small set of points per nation: each customer by balance and keys."""
+        return self.table("customer").select(
+            F.col("c_nationkey").alias("ensemble_id"), F.col("c_custkey").alias("conf_idx"),
+            F.round(F.col("c_acctbal") / 1000, 3).alias("u"), F.length("c_mktsegment").cast("double").alias("v"),
+            F.col("c_acctbal").alias("energy_kcal"),
+        )
+
+    def embedding_points(self) -> DataFrame:
+        return self.table("embeddings").select(
+            F.col("label").alias("ensemble_id"), F.col("vec_id").alias("conf_idx"),
+            F.transform("embedding", lambda v: v.cast("double")).alias("features"),
+        )

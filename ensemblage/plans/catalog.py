@@ -26,5 +26,5 @@ def register(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     from ensemblage.plans import (  # noqa: F401
-        audit_queries, nmr_queries, scalar_queries, screen_queries, source_queries, structure_queries, thermo_queries,
+        audit_queries, geometry_queries, nmr_queries, scalar_queries, screen_queries, source_queries, structure_queries, thermo_queries,
     )
