@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ensemblage.functions.scalars import spin_by_two
-from ensemblage.operators.groups import plan_groups
+from ensemblage.operators.groups import GroupPlan, plan_groups
 from ensemblage.session import cut_lineage
 
 ATOM = ["ensemble_id", "atom_index"]
@@ -111,25 +111,25 @@ def tiers(refined: DataFrame, tested: DataFrame) -> DataFrame:
 
 
 def letters(index: Column) -> Column:
-    """0, 1, ... 25, 26 to A, B, ... Z, AA (bijective base 26)."""
-    n = index.cast("bigint")
-    expr, start = F.lit(None).cast("string"), []
-    offset = 0
-    for length in range(1, 9):
-        start.append((length, offset))
-        offset += 26**length
-    for length, low in reversed(start):
-        digits = [F.floor((n - low) / F.lit(26**k)) % 26 for k in reversed(range(length))]
-        word = F.concat(*[F.char((d + 65).cast("bigint")) for d in digits])
-        expr = F.when(n < low + 26**length, word).otherwise(expr)
-    return expr
-
-
-def labelled(tiered: DataFrame) -> DataFrame:
-    """Atoms with the label of their group; groups are lettered by lowest atom within their element."""
+    """0, 1, ... 25, 26 to A, B, ... Z, AA (bijective base 26), one letter per step from the right."""
+    def step(state: Column, _: Column) -> Column:
+        rest = state["rest"] - 1
+        letter = F.char((rest % 26 + 65).cast("bigint"))
+        longer = F.struct(F.floor(rest / 26).cast("bigint").alias("rest"), F.concat(letter, state["word"]).alias("word"))
+        return F.when(state["rest"] > 0, longer).otherwise(state)
+
+    start = F.struct((index.cast("bigint") + 1).alias("rest"), F.lit("").alias("word"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(14)), start, step, lambda state: state["word"])
+
+
+def labelled(tiered: DataFrame, plan: GroupPlan | None = None) -> DataFrame:
+    """Atoms with the label of their group; groups are lettered by lowest atom within their element.
+
+    ``plan`` may come from the atoms themselves, which are never fewer than their groups.
+    """
     keyed = tiered.withColumn("first_atom", F.when(F.col("tier") == "hard", F.col("cls")).otherwise(F.col("atom_index")))
     heads = keyed.where(F.col("atom_index") == F.col("first_atom")).select("ensemble_id", "element", "first_atom")
-    plan = plan_groups(heads, ("ensemble_id", "element"))
+    plan = plan or plan_groups(heads, ("ensemble_id", "element"))
     numbered = plan.apply(heads, lambda d, g: g.ordinal(d, "place", [F.col("first_atom")]))
     named = numbered.select("ensemble_id", "element", "first_atom", letters(F.col("place") - 1).alias("label"))
     return keyed.join(named, ["ensemble_id", "element", "first_atom"])
@@ -158,5 +158,6 @@ def group_couplings(members: DataFrame, edges: DataFrame) -> DataFrame:
 
 def equivalence(atoms: DataFrame, edges: DataFrame, tolerance_hz: float = 0.5, tolerance_ppm: float = 0.05) -> DataFrame:
     """Atoms with class and shift to atoms with tier and group label; feeds ``groups`` and ``group_couplings``."""
-    refined = refine_by_shift(atoms, tolerance_ppm)
-    return labelled(tiers(refined, magnetic_test(refined, edges, tolerance_hz)))
+    refined = cut_lineage(refine_by_shift(atoms, tolerance_ppm), "refined")
+    plan = plan_groups(refined, ("ensemble_id", "element"))
+    return labelled(tiers(refined, magnetic_test(refined, edges, tolerance_hz)), plan)

@@ -153,25 +153,29 @@ def coupling_rows(files: DataFrame) -> DataFrame:
     indices come from any line; spelled-out names only from lines without such a mark, and the cross
     term's line fills no other term.
     """
-    to_b = r"(?i)^(?:[^\n]*\n){0," + str(K.NUCLEUS_B_LINES) + r"}?[^\n]*?\bNucleus\s+B\s*[:=]\s*" + K.NUCLEUS
+    nucleus = r"(\d+\s+[A-Z][a-z]?|[A-Z][a-z]?\s+\d+)"
+    to_a = r"(?i)^Nucleus\s+A\s*[:=]\s*" + nucleus
+    to_b = r"(?i)^(?:[^\n]*\n){0," + str(K.NUCLEUS_B_LINES) + r"}?[^\n]*?\bNucleus\s+B\s*[:=]\s*" + nucleus
 
-    def either(text: Column, pattern: str, one: int, other: int) -> Column:
-        return F.coalesce(
-            F.nullif(F.regexp_extract(text, pattern, one), F.lit("")),
-            F.nullif(F.regexp_extract(text, pattern, other), F.lit("")),
-        )
-
-    def head(block: Column, place: Column) -> Column:
-        a, b = either(block, K.NUCLEUS_A, 1, 4).cast("int"), either(block, to_b, 1, 4).cast("int")
+    def ends(block: Column, place: Column) -> Column:
         return F.struct(
-            F.least(a, b).alias("i"), F.greatest(a, b).alias("j"), place.alias("place"), (a <= b).alias("in_order"),
-            either(block, K.NUCLEUS_A, 2, 3).alias("elem_a"), either(block, to_b, 2, 3).alias("elem_b"),
+            place.alias("place"), F.regexp_extract(block, to_a, 1).alias("a"), F.regexp_extract(block, to_b, 1).alias("b"),
             F.regexp_replace(block, to_b + r"[^\n]*", "").alias("body"),
         )
 
-    starts = K.NUCLEUS_A.replace("(?i)", "")
+    def head(block: Column) -> Column:
+        def ordered(index: Column) -> Column:
+            return F.struct(
+                F.least(index[0], index[1]).alias("i"), F.greatest(index[0], index[1]).alias("j"), block["place"].alias("place"),
+                (index[0] <= index[1]).alias("in_order"), F.regexp_extract(block["a"], "[A-Za-z]+", 0).alias("elem_a"),
+                F.regexp_extract(block["b"], "[A-Za-z]+", 0).alias("elem_b"), block["body"].alias("body"),
+            )
+
+        return let(F.array(*[whole(F.regexp_extract(block[end], r"\d+", 0)) for end in "ab"]), ordered)
+
     with_pairs = files.where(F.col("content").rlike(r"(?i)\bNucleus\s+B\b"))
-    blocks = F.filter(F.split("content", f"(?i)(?={starts})"), lambda b: b.rlike("(?i)^" + starts) & b.rlike(to_b))
+    blocks = F.transform(F.split("content", r"(?i)(?=\bNucleus\s+A\s*[:=])"), ends)
+    blocks = F.filter(blocks, lambda b: (b["a"] != "") & (b["b"] != ""))
     listed = with_pairs.select(*FILE, F.sort_array(F.transform(blocks, head)).alias("pairs"))
     last = keep_last("pairs", lambda x, y: (x["i"] == y["i"]) & (x["j"] == y["j"]))
     pairs = listed.select(*FILE, F.explode(last).alias("p"))

@@ -137,7 +137,7 @@ def cluster_screen(
 
     windowed = plan.apply(df, chain)
     labelled = windowed.join(clusters.select(*MEMBER, "label", "distance"), MEMBER, "left")
-    centres = cluster_centres(labelled.where(F.col("in_window") & F.col("screened")))
+    centres = cluster_centres(labelled.where(F.col("in_window") & F.col("screened")), plan)
     within = F.col("in_window") & F.col("screened")
     joined = labelled.join(
         centres, (labelled.ensemble_id == centres.c_ensemble) & (labelled.label == centres.c_label) & within, "left"
@@ -169,13 +169,16 @@ def cluster_screen(
     return result if keep_rejected else result.where("accepted")
 
 
-def cluster_centres(labelled: DataFrame) -> DataFrame:
-    """One row per cluster: its centre and a dense id from 0 in label order."""
+def cluster_centres(labelled: DataFrame, plan: GroupPlan | None = None) -> DataFrame:
+    """One row per cluster: its centre and a dense id from 0 in label order.
+
+    ``plan`` may come from the conformers, which are never fewer than their clusters.
+    """
     order = F.struct("distance", F.col("energy_kcal").isNull(), "energy_kcal", "conf_idx")
     centres = labelled.where(F.col("label").isNotNull()).groupBy("ensemble_id", "label").agg(
         F.min_by("conf_idx", order).alias("c_conf")
     )
-    plan = plan_groups(centres, ENSEMBLE)
+    plan = plan or plan_groups(centres, ENSEMBLE)
     dense = plan.apply(centres, lambda d, g: g.ordinal(d, "c_dense", [F.col("label")]))
     return dense.select(
         F.col("ensemble_id").alias("c_ensemble"), F.col("label").alias("c_label"), "c_conf",

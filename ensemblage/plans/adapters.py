@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ensemblage.session import spread
+
 
 class Given:
     """The given parquet tables, and the ensemble tables derived from them without a shuffle where possible."""
@@ -90,13 +92,13 @@ class Given:
             file(priority != "5-LOW", "b_sp.out", energy),
             file(priority == "1-URGENT", "orca_nmr_h.out", wrong),
         ))
-        return self.table("orders").select(
+        return spread(self.table("orders")).select(
             F.col("o_custkey").alias("ensemble_id"), (key + 1).cast("int").alias("task_idx"), F.explode(files).alias("f"),
         ).select("ensemble_id", "task_idx", "f.file_name", "f.content")
 
     def _item_files(self, content: Column) -> DataFrame:
         name = F.concat_ws("_", F.col("l_partkey"), F.col("l_suppkey"), F.lit("nmr.out"))
-        return self.table("lineitem").select(
+        return spread(self.table("lineitem")).select(
             F.col("l_orderkey").alias("ensemble_id"), F.col("l_linenumber").alias("task_idx"), name.alias("file_name"),
             content.alias("content"),
         )
@@ -140,7 +142,7 @@ class Given:
             F.format_string("1 -1.234 %.2f\n", F.col("o_totalprice")), F.lit("NA\n\n# header\n"),
             F.format_string("2, -1.5, %d\n   NaN\n", F.col("o_orderkey")),
         )
-        return self.table("orders").select("o_orderkey", content.alias("content"))
+        return spread(self.table("orders")).select("o_orderkey", content.alias("content"))
 
     def frame_files(self) -> DataFrame:
         """Two frames per lineitem, and a truncated third one."""
@@ -153,7 +155,7 @@ class Given:
             F.format_string("1\nsecond\nC %.2f 1.0 2.0\n9\ncut off\nH 0 0 0\n", z),
         )
         key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        return self.table("lineitem").select(key.alias("file_id"), content.alias("content"))
+        return spread(self.table("lineitem")).select(key.alias("file_id"), content.alias("content"))
 
     def accounting_lines(self) -> DataFrame:
         kind = F.col("event_type")
@@ -186,7 +188,7 @@ class Given:
             return F.format_string(template, *[key] * template.count("%s"))
 
         text = F.when(status == "F", filled(full)).when(status == "O", filled(ensemble)).otherwise(filled(single))
-        return self.table("orders").select(F.concat(F.lit("/m/"), key).alias("manifest_path"), text.alias("text"))
+        return spread(self.table("orders")).select(F.concat(F.lit("/m/"), key).alias("manifest_path"), text.alias("text"))
 
     def pointer_texts(self) -> DataFrame:
         kind, key = F.col("o_orderpriority"), F.col("o_orderkey").cast("string")
@@ -197,7 +199,7 @@ class Given:
             .when(kind == "4-NOT SPECIFIED", F.lit('{"schema":"wf.pointer.v1","ok":true,"manifest_path":""}'))
             .otherwise(F.concat(F.lit("[1, "), key, F.lit("]")))
         )
-        return self.table("orders").select(F.col("o_orderkey").alias("run_id"), text.alias("text"))
+        return spread(self.table("orders")).select(F.col("o_orderkey").alias("run_id"), text.alias("text"))
 
     # molecules: an order is a molecule, its line numbers are the atoms
 
@@ -281,7 +283,7 @@ class Given:
             F.when(status == "O", best % "first").otherwise(best % "best"), F.lit("]}}"))
         bare = F.concat(F.lit('{"schema":"v0","ok":true,"inputs":{"method":"own"},"artifacts":{"accepted":{},"array":[1],"x_'), key,
                         F.lit('":"text"}}'))
-        return self.table("orders").select(
+        return spread(self.table("orders")).select(
             F.concat(F.lit("/m/"), key).alias("manifest_path"), F.when(status == "P", bare).otherwise(full).alias("text"))
 
     def runs(self) -> DataFrame:

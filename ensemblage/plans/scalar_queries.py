@@ -201,7 +201,7 @@ def normalise_configs(raw: DataFrame, key: str) -> DataFrame:
           FROM (SELECT *, CASE WHEN dg IS NOT NULL THEN e / sum(e) OVER (PARTITION BY ensemble_id) END AS w
                 FROM (SELECT *, exp(-dg / ({K.R_KCAL_PER_MOL_K}::DOUBLE * {K.ROOM_TEMPERATURE_K}::DOUBLE)) AS e
                       FROM (SELECT *, (g - min(g) OVER (PARTITION BY ensemble_id)) * {K.HARTREE_TO_KCAL}::DOUBLE AS dg
-                            FROM (SELECT *, coalesce(e_sp + g_minus, g_full) AS g FROM roster LEFT JOIN picked USING (ensemble_id, task_idx)))))""", {**SOURCE_CTES, "roster": "SELECT o_custkey AS ensemble_id, (o_orderkey + 1)::INTEGER AS task_idx FROM orders"}))
+                            FROM (SELECT *, coalesce(e_sp + g_minus, g_full) AS g FROM roster LEFT JOIN picked USING (ensemble_id, task_idx))))))""", {**SOURCE_CTES, "roster": "SELECT o_custkey AS ensemble_id, (o_orderkey + 1)::INTEGER AS task_idx FROM orders"}))
 def thermo_sink(spark: SparkSession, folder: str) -> DataFrame:
     given = Given(spark, folder)
     plan = plan_groups(given.thermo_in(), thermo.ENSEMBLE)
