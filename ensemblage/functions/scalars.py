@@ -134,6 +134,15 @@ def goat_theory(text: Column) -> Column:
     return F.coalesce(alias, F.when(~F.trim(text).rlike(K.GOAT_FORBIDDEN), F.trim(text)))
 
 
+def opt_level(text: Column) -> Column:
+    value = F.coalesce(folded(text), F.lit(""))
+    return F.when(value == "", "tight").when(value.isin(*K.OPT_LEVELS), value)
+
+
+def goat_mode(text: Column) -> Column:
+    return named(F.coalesce(folded(text), F.lit("")), K.GOAT_MODES)
+
+
 def functional_keyword(text: Column) -> Column:
     value = F.trim(F.coalesce(text, F.lit("")))
     return F.coalesce(named(F.lower(value), K.FUNCTIONAL_KEYWORDS), value)

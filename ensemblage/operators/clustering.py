@@ -42,6 +42,7 @@ def kmeans(points: DataFrame, k: int, dimensions: int, max_rounds: int = 50, tol
     ranked = plan.apply(hashed, lambda d, g: g.ordinal(d, "rank", [F.col("hash"), F.col("conf_idx")])).where(F.col("rank") <= k)
     centres = ranked.groupBy("ensemble_id").agg(F.sort_array(F.collect_list(F.struct("rank", "features"))).alias("c"))
     centres = cut_lineage(centres.select("ensemble_id", F.transform("c", lambda c: c["features"]).alias("centres")), "centres")
+    before = centres
     for _ in range(max_rounds):
         means = _assigned(points, centres).groupBy("ensemble_id", "label").agg(
             F.array(*[F.avg(F.col("features")[i]) for i in range(dimensions)]).alias("mean")
@@ -52,7 +53,8 @@ def kmeans(points: DataFrame, k: int, dimensions: int, max_rounds: int = 50, tol
             "ensemble_id", F.col("centres").alias("old"),
             F.transform("centres", lambda c, i: F.coalesce(F.try_element_at(F.col("means"), i), c)).alias("centres"),
         )
-        moved = cut_lineage(moved, "centres")
+        moved = cut_lineage(moved, "centres", replaces=before)
+        before = moved
         shift = F.array_max(F.zip_with("old", "centres", square_distance))
         furthest = moved.agg(F.max(shift)).first()[0]
         centres = moved.select("ensemble_id", "centres")
@@ -97,7 +99,7 @@ def threshold_clusters(points: DataFrame, coordinates: list[str], cut: float, mi
     counted = cut_lineage(counted, "cells")
     dense = counted.where(F.col("n") >= min_members)
     links = cut_lineage(_touching(dense, dense, cells), "links")
-    labels = cut_lineage(dense.select("ensemble_id", "node", F.col("node").alias("label")), "labels")
+    labels = before = cut_lineage(dense.select("ensemble_id", "node", F.col("node").alias("label")), "labels")
     for _ in range(max_rounds):
         around = links.join(labels.withColumnRenamed("node", "other"), ["ensemble_id", "other"]).groupBy("ensemble_id", "node").agg(
             F.min("label").alias("seen"))
@@ -107,7 +109,8 @@ def threshold_clusters(points: DataFrame, coordinates: list[str], cut: float, mi
         jump = lowered.select("ensemble_id", F.col("node").alias("label"), F.col("label").alias("further"))
         lowered = cut_lineage(
             lowered.join(jump, ["ensemble_id", "label"]).select(
-                "ensemble_id", "node", "old", F.least("label", "further").alias("label")), "labels")
+                "ensemble_id", "node", "old", F.least("label", "further").alias("label")), "labels", replaces=before)
+        before = lowered
         labels = lowered.select("ensemble_id", "node", "label")
         if lowered.where(F.col("old") != F.col("label")).isEmpty():
             break

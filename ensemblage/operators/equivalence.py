@@ -40,7 +40,7 @@ def topological_classes(atoms: DataFrame, bonds: DataFrame, max_rounds: int = 10
         )
         joined = colours.join(digest, ATOM, "left")
         colours = cut_lineage(
-            joined.select(*ATOM, "element", F.xxhash64("colour", "n", "total", "mixed").alias("colour")), "colours"
+            joined.select(*ATOM, "element", F.xxhash64("colour", "n", "total", "mixed").alias("colour")), "colours", replaces=colours
         )
         refined = colours.select("ensemble_id", "colour").distinct().count()
         if refined == n_classes:
@@ -160,4 +160,5 @@ def equivalence(atoms: DataFrame, edges: DataFrame, tolerance_hz: float = 0.5, t
     """Atoms with class and shift to atoms with tier and group label; feeds ``groups`` and ``group_couplings``."""
     refined = cut_lineage(refine_by_shift(atoms, tolerance_ppm), "refined")
     plan = plan_groups(refined, ("ensemble_id", "element"))
-    return labelled(tiers(refined, magnetic_test(refined, edges, tolerance_hz)), plan)
+    members = labelled(tiers(refined, magnetic_test(refined, edges, tolerance_hz)), plan)
+    return cut_lineage(members, "members")  # both ends of every coupling look their group up in it

@@ -125,7 +125,7 @@ def greedy_duplicates(
         settled = kept.select(*MEMBER, F.col("conf_idx").alias("kept_idx")).unionByName(dropped)
         settled = cut_lineage(settled, "settled")
         decided.append(settled)
-        undecided = cut_lineage(undecided.join(settled, MEMBER, "left_anti"), "undecided")
+        undecided = cut_lineage(undecided.join(settled, MEMBER, "left_anti"), "undecided", replaces=undecided)
         if len(decided) >= 20:
             decided = [cut_lineage(union(decided), "settled")]
     else:

@@ -40,7 +40,7 @@ def upstream_chain(runs: DataFrame, max_rounds: int = 64) -> DataFrame:
             F.coalesce(F.col("failed_depth"), F.col("depth") + F.col("next_failed_depth")).alias("failed_depth"),
             F.col("next_root").alias("root"),
         )
-        state = cut_lineage(done.unionByName(moved), "chain")
+        state = cut_lineage(done.unionByName(moved), "chain", replaces=state)
     raise RuntimeError("the runs form a loop")
 
 

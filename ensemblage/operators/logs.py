@@ -102,6 +102,20 @@ def log_lines(files: DataFrame) -> DataFrame:
     return files.select(*FILE, F.posexplode(lines_of(F.col("content"))).alias("line_no", "line"))
 
 
+def block_lines(files: DataFrame, header: str) -> DataFrame:
+    """Lines by header-delimited block: ``block`` counts the headers up to there (0 before the first), ``pos`` the
+    lines from the header on. ``header`` is a pattern without flags; case does not matter."""
+    line = r"[^\n]*" + header
+    pieces = F.split("content", r"(?im)(?=^" + line + ")")
+    cut = files.select(*FILE, pieces.alias("pieces"))
+    opens = F.col("pieces")[0].rlike(r"(?i)^" + line).cast("int")
+    cut = cut.select(*FILE, opens.alias("opens"), F.size("pieces").alias("n"), F.posexplode("pieces").alias("piece", "text"))
+    text = F.when(F.col("piece") < F.col("n") - 1, F.regexp_replace("text", r"\r?\n$", "")).otherwise(F.col("text"))
+    return cut.select(
+        *FILE, (F.col("piece") + F.col("opens")).alias("block"), F.posexplode(lines_of(text)).alias("pos", "line")
+    )
+
+
 def keep_last(rows: str, same: Callable[[Column, Column], Column]) -> Column:
     """Of neighbours in a sorted array column that are the same, the last one."""
     listed = F.col(rows)

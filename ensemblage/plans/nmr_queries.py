@@ -8,10 +8,12 @@ from ensemblage.operators import nmr, thermo
 from ensemblage.plans.adapters import Given
 from ensemblage.plans.catalog import register
 from ensemblage.plans.oracle import r6, with_ctes
+from ensemblage.session import cut_lineage
 
 
 def weights(given: Given) -> DataFrame:
-    return thermo.populations(given.thermo_in()).select("ensemble_id", "conf_idx", "weight")
+    """Conformer weights as the stored result of the thermochemistry step, which several averages read."""
+    return cut_lineage(thermo.populations(given.thermo_in()).select("ensemble_id", "conf_idx", "weight"), "weights")
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:

@@ -63,6 +63,8 @@ words_query("fn_theory_crest", scalars.crest_theory, [
     ("1", "GFN1-XTB"), ("gfn-ff (GFF)", "GFN-FF"), ("GFN2//GFNFF", "GFN2//GFN-FF"), (None, "GFN2-XTB"), ("b3lyp", None)])
 words_query("fn_theory_goat", scalars.goat_theory, [
     ("gfn2", "XTB"), ("", "XTB"), ("R2SCAN3C", "r2SCAN-3c"), (" B3LYP D3 def2-SVP ", "B3LYP D3 def2-SVP"), ("B3LYP; rm", None)])
+words_query("fn_opt_level", scalars.opt_level, [(None, "tight"), (" VeryTight", "verytight"), ("", "tight"), ("hard", None)])
+words_query("fn_goat_mode", scalars.goat_mode, [(None, "regular"), ("Default", "regular"), (" QUICK ", "quick"), ("slow", None)])
 words_query("fn_functional_alias", scalars.functional_keyword, [
     (" wp04", "B3LYP/G"), ("WB97X-D", "wB97X-D3"), ("mpw1pw91", "mPW1PW"), ("PBE0 ", "PBE0"), (None, "")])
 words_query("fn_is_3c_composite", scalars.is_3c_composite, [

@@ -93,6 +93,15 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
         F.count_if(F.col("line_no") == 0).alias("n_files"), F.count("*").alias("n_lines"))
 
 
+@register("win_block_id", f"""
+    SELECT l_orderkey AS ensemble_id, l_linenumber AS task_idx, {NMR_FILE_SQL} AS file_name, block, n_lines
+    FROM lineitem JOIN (VALUES ('A', 1, 16), ('A', 2, 3), ('N', 1, 7), ('N', 2, 4), ('R', 1, 2), ('R', 2, 7)
+                       ) b(l_returnflag, block, n_lines) USING (l_returnflag)""")
+def blocks(spark: SparkSession, folder: str) -> DataFrame:
+    rows = logs.block_lines(Given(spark, folder).coupling_files(), r"\bNucleus\s+A\s*[:=]")
+    return rows.groupBy(*logs.FILE, "block").agg(F.count("*").cast("int").alias("n_lines"))
+
+
 @register("src_manifests", """
     SELECT '/m/' || o_orderkey AS manifest_path,
            CASE o_orderstatus WHEN 'F' THEN 'wf.manifest.v1' ELSE 'wf.result.v1' END AS schema, o_orderstatus = 'F' AS ok,

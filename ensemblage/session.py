@@ -35,7 +35,7 @@ def group_limit(spark: SparkSession) -> int:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for cut lineage and stream state: the cluster's own, else a local one in local mode."""
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
     if not context.master.startswith("local"):
@@ -46,18 +46,35 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/ensemblage/{label}-{uuid.uuid4().hex}"
+    """A new path below this application's part of the shared folder."""
+    own = f"{shared_folder(spark).rstrip('/')}/ensemblage/{spark.sparkContext.applicationId}"
+    return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
+def cut_lineage(df: DataFrame, label: str = "stage", replaces: DataFrame | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
-    Columnar, computed once, and readable again after an executor is lost.
+    Columnar, computed once, and readable again after an executor is lost. ``replaces`` is an earlier
+    result of this function that nothing reads any more; its files are deleted once the new ones are there.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if replaces is not None and (old := getattr(replaces, "_scratch_path", None)):
+        _delete(spark, old)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all tables this application wrote to the shared folder; call it when their results are saved."""
+    _delete(spark, scratch_path(spark, "x").rsplit("/", 1)[0])
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -102,10 +103,9 @@ def frames(files: DataFrame, key: str) -> DataFrame:
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for name, text in zip(batch[key], batch["content"]):
-                rows.extend((name, *frame) for frame in _frames_of(text))
-            yield pd.DataFrame(rows, columns=[key, "frame_no", "n_atoms", "comment", "body"])
+            found = ((name, *frame) for name, text in zip(batch[key], batch["content"]) for frame in _frames_of(text))
+            while rows := list(itertools.islice(found, 5000)):
+                yield pd.DataFrame(rows, columns=[key, "frame_no", "n_atoms", "comment", "body"])
 
     return files.select(key, "content").mapInPandas(walk, schema)
 
