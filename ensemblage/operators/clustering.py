@@ -7,7 +7,7 @@ import itertools
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ensemblage.operators.geometry import with_cells
-from ensemblage.operators.groups import plan_groups
+from ensemblage.operators.groups import GroupPlan, plan_groups
 from ensemblage.session import cut_lineage
 
 MEMBER = ["ensemble_id", "conf_idx"]
@@ -17,8 +17,8 @@ def square_distance(left: Column, right: Column) -> Column:
     return F.aggregate(F.zip_with(left, right, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, d: total + d)
 
 
-def _assigned(points: DataFrame, centres: DataFrame) -> DataFrame:
-    joined = points.join(centres, "ensemble_id")
+def _assigned(points: DataFrame, centres: DataFrame, plan: GroupPlan) -> DataFrame:
+    joined = plan.apply(points, lambda d, g: g.attach(d, centres))
     distances = F.transform("centres", lambda c: square_distance(c, F.col("features")))
     joined = joined.select(*MEMBER, "features", distances.alias("distances"))
     nearest = F.array_min("distances")
@@ -44,7 +44,7 @@ def kmeans(points: DataFrame, k: int, dimensions: int, max_rounds: int = 50, tol
     centres = cut_lineage(centres.select("ensemble_id", F.transform("c", lambda c: c["features"]).alias("centres")), "centres")
     before = centres
     for _ in range(max_rounds):
-        means = _assigned(points, centres).groupBy("ensemble_id", "label").agg(
+        means = _assigned(points, centres, plan).groupBy("ensemble_id", "label").agg(
             F.array(*[F.avg(F.col("features")[i]) for i in range(dimensions)]).alias("mean")
         )
         new = means.groupBy("ensemble_id").agg(F.map_from_entries(F.collect_list(F.struct("label", "mean"))).alias("means"))
@@ -60,7 +60,7 @@ def kmeans(points: DataFrame, k: int, dimensions: int, max_rounds: int = 50, tol
         centres = moved.select("ensemble_id", "centres")
         if furthest is None or furthest <= tolerance * tolerance:
             break
-    return _assigned(points, centres)
+    return _assigned(points, centres, plan)
 
 
 def silhouette(assigned: DataFrame) -> DataFrame:
@@ -72,6 +72,7 @@ def silhouette(assigned: DataFrame) -> DataFrame:
 
 def kmeans_auto(points: DataFrame, dimensions: int, k_max: int = 8) -> DataFrame:
     """k-means with the k of 2..k_max that scores best for each ensemble; ensembles of one member stay one cluster."""
+    plan = plan_groups(points, ("ensemble_id",))
     runs = [(k, cut_lineage(kmeans(points, k, dimensions), "kmeans")) for k in range(2, k_max + 1)]
     scores = [silhouette(run.where(F.size("distances") == k)).withColumn("k", F.lit(k)) for k, run in runs]
     all_scores = scores[0]
@@ -81,7 +82,8 @@ def kmeans_auto(points: DataFrame, dimensions: int, k_max: int = 8) -> DataFrame
     chosen = points.select("ensemble_id").distinct().join(best, "ensemble_id", "left").fillna(2, ["k"])
     labelled = None
     for k, run in runs:
-        part = run.join(chosen.where(F.col("k") == k), "ensemble_id").select(*MEMBER, "label", "distance", "k")
+        mine = chosen.where(F.col("k") == k)
+        part = plan.apply(run, lambda d, g, mine=mine: g.attach(d, mine)).select(*MEMBER, "label", "distance", "k")
         labelled = part if labelled is None else labelled.unionByName(part)
     return labelled
 

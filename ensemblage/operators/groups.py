@@ -45,17 +45,28 @@ class TaskGroups:
         window = Window.partitionBy(*self.keys).orderBy(*order)
         return df.withColumn(name, F.lag(value).over(window))
 
+    def attach(self, df: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
+        """Join a table that has one row per key."""
+        return df.join(table, list(self.keys), how)
+
 
 @dataclass(frozen=True)
 class SpreadGroups:
     """Oversized groups: there are at most (all rows / limit) of them, so one row per key is broadcast."""
 
     keys: tuple[str, ...]
+    oversized: DataFrame | None = None
 
     def with_aggs(self, df: DataFrame, **aggs: Column) -> DataFrame:
         stats = df.groupBy(*self.keys).agg(*[agg.alias(name) for name, agg in aggs.items()])
         return df.join(F.broadcast(stats), list(self.keys), "left")
 
+    def attach(self, df: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
+        """Join a table that has one row per key, of which only the oversized keys are broadcast."""
+        if self.oversized is not None:
+            table = table.join(F.broadcast(self.oversized), list(self.keys), "left_semi")
+        return df.join(F.broadcast(table), list(self.keys), how)
+
     def _ranged(self, df: DataFrame, order: Sequence[Column]) -> DataFrame:
         # Written out so that both readers see the same range bounds.
         parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -123,7 +134,7 @@ class GroupPlan:
             return step(df, TaskGroups(self.keys))
         oversized = F.broadcast(self.oversized)
         usual = step(df.join(oversized, keys, "left_anti"), TaskGroups(self.keys))
-        spread = step(df.join(oversized, keys, "left_semi"), SpreadGroups(self.keys))
+        spread = step(df.join(oversized, keys, "left_semi"), SpreadGroups(self.keys, self.oversized))
         return usual.unionByName(spread)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ensemblage.operators.groups import plan_groups
+
 # A task that succeeded counts as such whatever else it signalled; any other signal shows that it started.
 RANKS = {"done_success": 3, "done_failed": 2, "started": 1}
 
@@ -23,7 +25,8 @@ def task_states(events: DataFrame) -> DataFrame:
 def progress(states: DataFrame, sizes: DataFrame) -> DataFrame:
     """Counts per job out of its declared number of tasks."""
     task = F.col("task_idx").between(1, F.col("n_tasks"))
-    counted = states.join(sizes, "job_id").where(task).groupBy("job_id").agg(
+    sized = plan_groups(states, ("job_id",)).apply(states, lambda d, g: g.attach(d, sizes))
+    counted = sized.where(task).groupBy("job_id").agg(
         F.count("*").alias("started"),
         F.count_if(F.col("state") == 3).alias("success"),
         F.count_if(F.col("state") == 2).alias("failed"),

@@ -36,7 +36,7 @@ def energy_window(df: DataFrame, width_kcal: float, survives: Column | None = No
     return plan.apply(df, lambda d, g: within_window(d, g, width_kcal, survives))
 
 
-def resolve_use_energies(df: DataFrame, groups: Groups, mode: str = "auto") -> DataFrame:
+def decide_use_energies(df: DataFrame, groups: Groups, mode: str = "auto") -> DataFrame:
     """``use_energies`` per conformer: with auto only where the whole ensemble has energies."""
     if mode not in ("auto", "true", "false"):
         raise ValueError(f"mode must be auto, true or false, got {mode!r}")
@@ -100,7 +100,7 @@ def geometric_screen(
     plan = plan or plan_groups(df, ENSEMBLE)
 
     def chain(rows: DataFrame, groups: Groups) -> DataFrame:
-        rows = resolve_use_energies(bypass_small(rows, groups, min_conformers), groups, use_energies)
+        rows = decide_use_energies(bypass_small(rows, groups, min_conformers), groups, use_energies)
         rows = apply_mask(rows, mask, groups)
         rows = rows.withColumn("kept", F.when(F.col("screened"), F.col("kept_by_mask")).otherwise(F.lit(True)))
         rows = within_window(rows, groups, width_kcal, F.col("kept"))
@@ -129,7 +129,7 @@ def cluster_screen(
     plan = plan or plan_groups(df, ENSEMBLE)
 
     def chain(rows: DataFrame, groups: Groups) -> DataFrame:
-        rows = within_window(resolve_use_energies(rows, groups, use_energies), groups, width_kcal)
+        rows = within_window(decide_use_energies(rows, groups, use_energies), groups, width_kcal)
         applies = F.col("use_energies") & F.col("have_energies")
         rows = rows.withColumn("in_window", F.when(applies, F.col("in_window")).otherwise(F.lit(True)))
         rows = groups.with_aggs(rows, _n_within=F.count_if("in_window"))
@@ -234,14 +234,15 @@ def join_positional(members: DataFrame, energies: DataFrame, plan: GroupPlan | N
     """Energies of a parallel list by position, used where no member has an energy and the list is long enough."""
     plan = plan or plan_groups(members, ENSEMBLE)
 
+    lengths = energies.groupBy(*ENSEMBLE).agg(F.count("*").alias("_listed"))
+
     def number(rows: DataFrame, groups: Groups) -> DataFrame:
         rows = groups.with_aggs(rows, _known=F.count("energy_kcal"), _n=F.count("*"))
-        return groups.ordinal(rows, "ordinal", [F.col("conf_idx")])
+        return groups.attach(groups.ordinal(rows, "ordinal", [F.col("conf_idx")]), lengths, "left")
 
     numbered = plan.apply(members, number)
-    lengths = energies.groupBy(*ENSEMBLE).agg(F.count("*").alias("_listed"))
     values = energies.select(*ENSEMBLE, F.col("ordinal"), F.col("energy_kcal").alias("_value"))
-    joined = numbered.join(lengths, list(ENSEMBLE), "left").join(values, [*ENSEMBLE, "ordinal"], "left")
+    joined = numbered.join(values, [*ENSEMBLE, "ordinal"], "left")
     usable = (F.col("_known") == 0) & (F.col("_listed") >= F.col("_n"))
     energy = F.when(usable, F.col("_value")).otherwise(F.col("energy_kcal"))
     return joined.withColumn("energy_kcal", energy).drop("_known", "_n", "_listed", "_value")

@@ -171,14 +171,14 @@ class Given:
     def manifest_texts(self) -> DataFrame:
         status, key = F.col("o_orderstatus"), F.col("o_orderkey").cast("string")
         full = (
-            '{"schema":"wf.manifest.v1","ok":true,"step":"prism_screen","created_at_unix":%s,"runtime_seconds":1.5,'
+            '{"schema":"wf.manifest.v1","ok":true,"step":"screen","created_at_unix":%s,"runtime_seconds":1.5,'
             '"cwd":"/d","inputs":{"raw_argv":[]},"upstream":{"ok":true,"manifest_path":"/d/up%s.json"},"failures":[],'
             '"artifacts":{"accepted":[{"path_abs":"/d/%s_1.xyz","index":1,"rel_energy_kcal":0.5},"/d/%s_2.xyz",'
             '{"path":"/d/%s_3.log"}],"xyz":["/d/no.xyz"],"files":[{"label":"csv","path_abs":"/d/t.csv"},'
             '{"label":"Orca_Energies","path_abs":"/d/%s.txt"}],"array":{"n_tasks":3}}}'
         )
         ensemble = (
-            '{"schema":"wf.result.v1","step":"crest","cwd":"/d","artifacts":{"accepted":[],'
+            '{"schema":"wf.result.v1","step":"search","cwd":"/d","artifacts":{"accepted":[],'
             '"xyz_ensemble":["/d/%s_ens.xyz","/d/%s_ens2.xyz"],"files":[{"path_rel":"/d/%s.energies"},'
             '{"label":"energies","path_abs":"/d/later"}]},"failures":[]}'
         )

@@ -250,7 +250,7 @@ def energy_sink(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register("sink_accepted_energies", screen_sql("""
-    SELECT ensemble_id, conf_idx, printf('%6d  % .6f', conf_idx, rel) AS line FROM prism_screen WHERE rel IS NOT NULL"""))
+    SELECT ensemble_id, conf_idx, printf('%6d  % .6f', conf_idx, rel) AS line FROM geo_screen WHERE rel IS NOT NULL"""))
 def accepted_sink(spark: SparkSession, folder: str) -> DataFrame:
     rows = screened(Given(spark, folder)).where(F.col("rel_energy_kcal").isNotNull())
     return rows.select("ensemble_id", "conf_idx", sinks.relative_line(F.col("conf_idx"), F.col("rel_energy_kcal")).alias("line"))

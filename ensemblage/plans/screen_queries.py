@@ -18,39 +18,39 @@ SCREEN_CTES = {
     "masked": """
         SELECT o_custkey AS ensemble_id, o_orderkey + 1 AS conf_idx, o_orderpriority <> '5-LOW' AS kept
         FROM orders""",
-    "prism": f"""
+    "geo": f"""
         SELECT c.*, count(*) {OVER} AS n_input, CASE WHEN count(*) {OVER} >= 3 THEN kept ELSE true END AS kept
         FROM conformers_all c JOIN masked USING (ensemble_id, conf_idx)""",
-    "prism_window": f"""
+    "geo_window": f"""
         SELECT *, coalesce(CASE WHEN kept THEN energy_kcal END - min(CASE WHEN kept THEN energy_kcal END) {OVER} <= 2.0,
-                           true) AS inside FROM prism""",
-    "prism_screen": f"""
+                           true) AS inside FROM geo""",
+    "geo_screen": f"""
         SELECT *, kept AND inside AS accepted,
                CASE WHEN NOT kept THEN '{K.REASON_PRUNED}' WHEN NOT inside THEN '{K.REASON_WINDOW}' END AS reason,
                CASE WHEN kept AND inside THEN energy_kcal - min(CASE WHEN kept AND inside THEN energy_kcal END) {OVER} END
                    AS rel
-        FROM prism_window""",
-    "marc_window": f"""
+        FROM geo_window""",
+    "clu_window": f"""
         SELECT *, energy_kcal - min(energy_kcal) {OVER} <= 3.0 AS inside,
                conf_idx % 4 AS label, abs(energy_kcal - 2.5) AS distance
         FROM conformers_all""",
-    "marc_sized": f"SELECT *, count(*) FILTER (inside) {OVER} >= 3 AS screened FROM marc_window",
-    "marc_centre": """
+    "clu_sized": f"SELECT *, count(*) FILTER (inside) {OVER} >= 3 AS screened FROM clu_window",
+    "clu_centre": """
         SELECT ensemble_id, label, arg_min(conf_idx, (distance, energy_kcal, conf_idx)) AS centre,
                row_number() OVER (PARTITION BY ensemble_id ORDER BY label) - 1 AS dense
-        FROM marc_sized WHERE inside AND screened GROUP BY ensemble_id, label""",
-    "marc_joined": """
+        FROM clu_sized WHERE inside AND screened GROUP BY ensemble_id, label""",
+    "clu_joined": """
         SELECT m.*, centre, dense, inside AND (NOT screened OR conf_idx = centre) AS accepted,
                row_number() OVER (PARTITION BY m.ensemble_id, inside ORDER BY conf_idx) - 1 AS lone
-        FROM marc_sized m LEFT JOIN marc_centre c
+        FROM clu_sized m LEFT JOIN clu_centre c
           ON m.ensemble_id = c.ensemble_id AND m.label = c.label AND inside AND screened""",
-    "marc_screen": f"""
+    "clu_screen": f"""
         SELECT ensemble_id, conf_idx, energy_kcal, accepted,
                CASE WHEN NOT inside THEN '{K.REASON_WINDOW}' WHEN NOT accepted THEN '{K.REASON_CLUSTER}' END AS reason,
                CASE WHEN accepted THEN energy_kcal - min(CASE WHEN accepted THEN energy_kcal END) {OVER} END AS rel,
                CASE WHEN inside THEN CASE WHEN screened THEN dense ELSE lone END END::INTEGER AS cluster_id,
                CASE WHEN inside THEN CASE WHEN screened AND NOT accepted THEN distance ELSE 0.0 END END AS cluster_distance
-        FROM marc_joined""",
+        FROM clu_joined""",
 }
 
 
@@ -84,7 +84,7 @@ def window(spark: SparkSession, folder: str) -> DataFrame:
     return screen.energy_window(Given(spark, folder).conformers(), 2.0).where("in_window").select(*MEMBER)
 
 
-@register("flt_energy_window_post", sql("SELECT ensemble_id, conf_idx, kept, inside FROM prism_window"))
+@register("flt_energy_window_post", sql("SELECT ensemble_id, conf_idx, kept, inside FROM geo_window"))
 def window_post(spark: SparkSession, folder: str) -> DataFrame:
     given = Given(spark, folder)
     plan = plan_groups(given.conformers(), screen.ENSEMBLE)
@@ -98,7 +98,7 @@ def window_post(spark: SparkSession, folder: str) -> DataFrame:
     return plan.apply(joined, chain).select(*MEMBER, "kept", F.col("in_window").alias("inside"))
 
 
-@register("flt_energy_window_pre", sql("SELECT ensemble_id, conf_idx FROM marc_window WHERE inside"))
+@register("flt_energy_window_pre", sql("SELECT ensemble_id, conf_idx FROM clu_window WHERE inside"))
 def window_pre(spark: SparkSession, folder: str) -> DataFrame:
     rows = Given(spark, folder).conformers(all_energies=True)
     return screen.energy_window(rows, 3.0).where("in_window").select(*MEMBER)
@@ -109,7 +109,7 @@ def window_pre(spark: SparkSession, folder: str) -> DataFrame:
 def use_energies(spark: SparkSession, folder: str) -> DataFrame:
     rows = Given(spark, folder).conformers()
     plan = plan_groups(rows, screen.ENSEMBLE)
-    return plan.apply(rows, screen.resolve_use_energies).select(*MEMBER, "use_energies")
+    return plan.apply(rows, screen.decide_use_energies).select(*MEMBER, "use_energies")
 
 
 @register("prj_use_energies_required", sql("""
@@ -128,7 +128,7 @@ def bypass(spark: SparkSession, folder: str) -> DataFrame:
     return plan.apply(rows, lambda d, g: screen.bypass_small(d, g, 8)).select(*MEMBER, "n_input", "screened")
 
 
-@register("prj_relative_energy", sql(f"SELECT ensemble_id, conf_idx, {r6('rel')} AS rel_energy_kcal FROM prism_screen"))
+@register("prj_relative_energy", sql(f"SELECT ensemble_id, conf_idx, {r6('rel')} AS rel_energy_kcal FROM geo_screen"))
 def relative(spark: SparkSession, folder: str) -> DataFrame:
     rows = screened(Given(spark, folder))
     return rows.select(*MEMBER, F.round("rel_energy_kcal", 6).alias("rel_energy_kcal"))
@@ -144,12 +144,12 @@ def hartree(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(*MEMBER, F.round("rel_energy_kcal", 6).alias("rel_energy_kcal"))
 
 
-@register("prj_reject_reason", sql("SELECT ensemble_id, conf_idx, accepted, reason AS rejected_reason FROM prism_screen"))
+@register("prj_reject_reason", sql("SELECT ensemble_id, conf_idx, accepted, reason AS rejected_reason FROM geo_screen"))
 def reasons(spark: SparkSession, folder: str) -> DataFrame:
     return screened(Given(spark, folder)).select(*MEMBER, "accepted", "rejected_reason")
 
 
-@register("prj_keep_rejected", sql("SELECT ensemble_id, conf_idx FROM prism_screen WHERE accepted"))
+@register("prj_keep_rejected", sql("SELECT ensemble_id, conf_idx FROM geo_screen WHERE accepted"))
 def accepted_only(spark: SparkSession, folder: str) -> DataFrame:
     return screened(Given(spark, folder), keep_rejected=False).select(*MEMBER)
 
@@ -184,7 +184,7 @@ def mask_failures(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("scr_cluster_representatives", sql(f"""
     SELECT ensemble_id, conf_idx, accepted, reason AS rejected_reason, {r6('rel')} AS rel_energy_kcal, cluster_id,
-           {r6('cluster_distance')} AS cluster_distance FROM marc_screen"""))
+           {r6('cluster_distance')} AS cluster_distance FROM clu_screen"""))
 def representatives(spark: SparkSession, folder: str) -> DataFrame:
     return clustered(Given(spark, folder)).select(
         *MEMBER, "accepted", "rejected_reason", F.round("rel_energy_kcal", 6).alias("rel_energy_kcal"), "cluster_id",
@@ -194,14 +194,14 @@ def representatives(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("agg_best_conformer", sql("""
     SELECT ensemble_id, arg_min(conf_idx, (rel, conf_idx)) AS conf_idx, 'lowest_rel_energy_kcal' AS best_chosen_by
-    FROM prism_screen WHERE accepted GROUP BY ensemble_id"""))
+    FROM geo_screen WHERE accepted GROUP BY ensemble_id"""))
 def best(spark: SparkSession, folder: str) -> DataFrame:
     return screen.best_conformer(screened(Given(spark, folder)))
 
 
 @register("agg_best_cluster_center", sql("""
     SELECT ensemble_id, arg_min(conf_idx, (cluster_id, conf_idx)) AS conf_idx, 'first_cluster_center' AS best_chosen_by
-    FROM marc_screen WHERE accepted GROUP BY ensemble_id"""))
+    FROM clu_screen WHERE accepted GROUP BY ensemble_id"""))
 def best_centre(spark: SparkSession, folder: str) -> DataFrame:
     rows = clustered(Given(spark, folder)).withColumn("rel_energy_kcal", F.lit(None).cast("double"))
     return screen.best_conformer(rows, "first_cluster_center")
@@ -221,14 +221,14 @@ def best_array(spark: SparkSession, folder: str) -> DataFrame:
 @register("agg_screen_counts", sql(f"""
     SELECT ensemble_id, count(*) AS n_input, count(*) FILTER (accepted) AS n_accepted,
            count(*) FILTER (NOT accepted) AS n_rejected, count(*) FILTER (reason = '{K.REASON_WINDOW}') AS n_above_ewin
-    FROM prism_screen GROUP BY ensemble_id"""))
+    FROM geo_screen GROUP BY ensemble_id"""))
 def counts(spark: SparkSession, folder: str) -> DataFrame:
     return screen.screen_counts(screened(Given(spark, folder)))
 
 
 @register("set_accept_split", sql("""
-    SELECT 'accepted' AS bucket, ensemble_id, conf_idx FROM prism_screen WHERE accepted
-    UNION ALL SELECT 'rejected', ensemble_id, conf_idx FROM prism_screen WHERE NOT accepted"""))
+    SELECT 'accepted' AS bucket, ensemble_id, conf_idx FROM geo_screen WHERE accepted
+    UNION ALL SELECT 'rejected', ensemble_id, conf_idx FROM geo_screen WHERE NOT accepted"""))
 def split(spark: SparkSession, folder: str) -> DataFrame:
     bucket = F.when(F.col("accepted"), "accepted").otherwise("rejected")
     return screened(Given(spark, folder)).select(bucket.alias("bucket"), *MEMBER)
@@ -248,7 +248,7 @@ def topk(spark: SparkSession, folder: str) -> DataFrame:
     return screen.first_members(Given(spark, folder).conformers(), 3).select(*MEMBER)
 
 
-@register("ord_by_index", sql("SELECT ensemble_id, conf_idx, accepted FROM prism_screen ORDER BY ensemble_id, conf_idx"))
+@register("ord_by_index", sql("SELECT ensemble_id, conf_idx, accepted FROM geo_screen ORDER BY ensemble_id, conf_idx"))
 def ordered(spark: SparkSession, folder: str) -> DataFrame:
     return screened(Given(spark, folder)).select(*MEMBER, "accepted").orderBy(*MEMBER)
 

@@ -105,7 +105,7 @@ def blocks(spark: SparkSession, folder: str) -> DataFrame:
 @register("src_manifests", """
     SELECT '/m/' || o_orderkey AS manifest_path,
            CASE o_orderstatus WHEN 'F' THEN 'wf.manifest.v1' ELSE 'wf.result.v1' END AS schema, o_orderstatus = 'F' AS ok,
-           CASE o_orderstatus WHEN 'F' THEN 'prism_screen' WHEN 'O' THEN 'crest' ELSE 'embed' END AS step,
+           CASE o_orderstatus WHEN 'F' THEN 'screen' WHEN 'O' THEN 'search' ELSE 'embed' END AS step,
            CASE o_orderstatus WHEN 'F' THEN o_orderkey ELSE 0 END AS created_at_unix,
            CASE o_orderstatus WHEN 'F' THEN 1.5 ELSE 0 END::DOUBLE AS runtime_seconds,
            CASE o_orderstatus WHEN 'P' THEN '' ELSE '/d' END AS cwd,

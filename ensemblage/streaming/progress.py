@@ -55,9 +55,8 @@ def stream_progress(events: DataFrame, sizes: DataFrame, folder: str | None = No
     def work(batch: DataFrame, batch_id: int) -> None:
         _append(f"{folder}/states")(batch, batch_id)
         session = batch.sparkSession
-        touched = batch.select("job_id").distinct()
-        states = read_states(session, folder).join(touched, "job_id", "left_semi")
-        snapshot = monitor.progress(states, sizes.join(touched, "job_id", "left_semi"))
+        counts = monitor.progress(read_states(session, folder), sizes)
+        snapshot = counts.join(batch.select("job_id").distinct(), "job_id", "left_semi")
         snapshot.write.mode("overwrite").parquet(f"{folder}/snapshots/batch={batch_id}")
 
     _run(monitor.task_states(events), work, f"{folder}/_progress")
