@@ -10,7 +10,7 @@ from ensemblage.functions import constants as K
 from ensemblage.sources.documents import field, type_of
 
 KINDS = {
-    "string": ("string",), "int": ("integer",), "number": ("integer", "number"), "object": ("object",), "list": ("array",),
+    "string": "^STRING$", "int": "^BIGINT$", "number": "^(?:BIGINT|DOUBLE|FLOAT|DECIMAL)", "object": "^OBJECT", "list": "^ARRAY",
 }
 RECORD_FIELDS = (("index", "int"), ("path_abs", "string"), ("sha256", "string"))
 OPTIONAL_RECORD_FIELDS = (
@@ -27,7 +27,7 @@ def problem(where: Column | str, name: str, code: str) -> Column:
 
 
 def is_a(value: Column, kind: str) -> Column:
-    return F.coalesce(type_of(value).isin(*KINDS[kind]), F.lit(False))
+    return F.coalesce(F.schema_of_variant(value).rlike(KINDS[kind]), F.lit(False))
 
 
 def checked(container: Column, where: Column | str, fields: Sequence[tuple[str, str]], required: bool) -> list[Column]:
