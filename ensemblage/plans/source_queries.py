@@ -94,9 +94,10 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register("win_block_id", f"""
-    SELECT l_orderkey AS ensemble_id, l_linenumber AS task_idx, {NMR_FILE_SQL} AS file_name, block, n_lines
+    SELECT l_orderkey AS ensemble_id, l_linenumber AS task_idx, {NMR_FILE_SQL} AS file_name, block, sum(n_lines)::INTEGER AS n_lines
     FROM lineitem JOIN (VALUES ('A', 1, 16), ('A', 2, 3), ('N', 1, 7), ('N', 2, 4), ('R', 1, 2), ('R', 2, 7)
-                       ) b(l_returnflag, block, n_lines) USING (l_returnflag)""")
+                       ) b(l_returnflag, block, n_lines) USING (l_returnflag)
+    GROUP BY ALL""")
 def blocks(spark: SparkSession, folder: str) -> DataFrame:
     rows = logs.block_lines(Given(spark, folder).coupling_files(), r"\bNucleus\s+A\s*[:=]")
     return rows.groupBy(*logs.FILE, "block").agg(F.count("*").cast("int").alias("n_lines"))
