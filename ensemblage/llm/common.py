@@ -33,6 +33,11 @@ def blank_words(text: Column) -> Column:
     return F.when(trimmed == "", none).otherwise(F.split(trimmed, BLANK_CLASS + "+"))
 
 
+def small(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """A stored table of short rows, to be broadcast if it has at most ``most`` of them; else as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def ordinal(df: DataFrame, name: str, group: Sequence[str], order: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Number the rows of each group from 0 without gaps, however large a group is.
 

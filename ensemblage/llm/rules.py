@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ensemblage.llm.common import BLANK_CLASS, blank_words
+from ensemblage.llm.common import BLANK_CLASS, blank_words, small
 from ensemblage.session import cut_lineage
 
 #: Each class is taken out of what the classes before it left; the rest is "other" (outside ASCII).
@@ -100,7 +100,7 @@ def histograms(docs: DataFrame, words: DataFrame) -> DataFrame:
     lines = F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^ \t\n\x0B\f\r]"))
     df = df.withColumns({"_lines": lines, "n_words": F.size("_words").cast("long")})
     df = df.withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long")).drop("_lines", "_text")
-    df = _covered(df).join(words, "_lang", "left")
+    df = _covered(df).join(small(words), "_lang", "left")
     df = df.withColumn("_known", F.filter("_words", lambda w: F.array_contains("ref_words", w))).drop("_words")
     counts = F.transform("ref_words", lambda w: (F.size("_known") - F.size(F.array_remove("_known", w))).cast("long"))
     return df.select(
@@ -147,8 +147,8 @@ def judge(
     js_classes and js_words are null where a guard holds; ``reason`` names the first rule that fails. Texts are
     read twice: for the common words, and for the histograms, which are stored.
     """
-    rows = cut_lineage(histograms(docs, common_words(docs, common)), "histograms")
-    df = rows.join(language_references(rows, common), "_lang", "left")
+    rows = cut_lineage(histograms(docs, cut_lineage(common_words(docs, common), "common_words")), "histograms")
+    df = rows.join(small(cut_lineage(language_references(rows, common), "references")), "_lang", "left")
     pairs = ("classes", "ref_classes", "common", "ref_common")
     df = df.withColumns({f"{name}_total": _sum(F.col(name)) for name in pairs})
     df = df.withColumns({f"{name}_share": _shares(name) for name in pairs})
