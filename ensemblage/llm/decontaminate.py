@@ -101,8 +101,7 @@ class Automaton:
             own = tuple((size, frozenset(names)) for size, names in sorted(found[state].items(), reverse=True))
             made.ends[state] = own + made.ends[made.links[state]]
         made.shortest = min((min(window, len(words)) for _, words in coded if words), default=made.shortest)
-        size = max(len(made.vocabulary), 1)
-        made.pairs = np.unique(np.array([a * size + b for _, words in coded for a, b in zip(words, words[1:], strict=False)], np.int64))
+        made.pairs = np.unique(np.array([a * len(made.vocabulary) + b for _, words in coded for a, b in zip(words, words[1:], strict=False)], np.int64))
         return made
 
     def step(self, state: int, length: int, word: int) -> tuple[int, int]:
@@ -113,21 +112,26 @@ class Automaton:
         following = self.moves[state].get(word)
         return (0, 0) if following is None else (following, length + 1)
 
+    def _stretches(self, codes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Where a window can be at all: stretches in which each word, and each pair of neighbours, is one of an item's."""
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], codes >= 0, [False]]).astype(np.int8)))
+        starts, ends = edges[::2], edges[1::2]
+        long = ends - starts >= self.shortest
+        for start, end in zip(starts[long].tolist(), ends[long].tolist(), strict=True):
+            pairs = codes[start : end - 1] * len(self.vocabulary) + codes[start + 1 : end]
+            place = np.minimum(np.searchsorted(self.pairs, pairs), max(len(self.pairs) - 1, 0))
+            broken = np.flatnonzero(self.pairs[place] != pairs) + 1 if len(self.pairs) else np.arange(1, end - start)
+            cuts = [0, *broken.tolist(), end - start]
+            for a, b in itertools.pairwise(cuts):
+                if b - a >= self.shortest:
+                    yield start + a, start + b
+
     def matches(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Windows that occur, as (first word, word after the last) in order of their end, and the items they are from."""
         codes = np.fromiter(map(self.vocabulary.get, words, itertools.repeat(-1)), np.int64, len(words))
-        known = codes >= 0
-        # a match of two words or more needs each neighbouring pair to be one of an item
-        joined = known[:-1] & known[1:]
-        at = np.flatnonzero(joined)
-        if len(at):
-            joined[at] = np.isin(codes[at] * max(len(self.vocabulary), 1) + codes[at + 1], self.pairs)
-        ends = np.flatnonzero(np.concatenate([~joined, [True]])) + 1 if len(words) else np.empty(0, np.int64)
-        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         spans: list[tuple[int, int]] = []
         items: set[str] = set()
-        long = ends - starts >= self.shortest
-        for start, end in zip(starts[long].tolist(), ends[long].tolist(), strict=True):
+        for start, end in self._stretches(codes):
             state = length = 0
             for i in range(start, end):
                 state, length = self.step(state, length, int(codes[i]))
