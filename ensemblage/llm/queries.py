@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ensemblage.llm import chat, decontaminate, lengths, packing, rules, tokens
+from ensemblage.llm import chat, decontaminate, lengths, packing, rules, sharding, tokens
 from ensemblage.llm.common import table
 from ensemblage.session import cut_lineage
 
@@ -18,6 +18,19 @@ def _query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
     return function
 
 
+@_query
+def op1_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 8 shards of nearly equal bytes, by source, language and length."""
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    rows = table(spark, folder, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), "source", "lang", "n_chars"
+    )
+    sharded = sharding.kd_shards(rows, ["source", "lang", "n_chars"], "size", shards=8)
+    return sharding.with_slots(sharded, ["doc_id", "text_crc32", "size"]).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @_query
 def op4_lengths(spark: SparkSession, folder: str) -> DataFrame:
     """Totals, quantile ranks and truncated totals for every encoded length of all documents."""
