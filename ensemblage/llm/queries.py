@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ensemblage.llm import chat, decontaminate, lengths, packing, rules, sharding, tokens
+from ensemblage.llm import chat, cotraining, decontaminate, lengths, packing, rules, sharding, tokens
 from ensemblage.llm.common import table
 from ensemblage.session import cut_lineage
 
@@ -31,6 +31,13 @@ def op1_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Chance of a bad document by content, by metadata and by both, and the verdict, for all documents."""
+    docs = table(spark, folder, "documents")
+    return cotraining.score(docs, cotraining.fit(docs, table(spark, folder, "labels")))
+
+
 @_query
 def op4_lengths(spark: SparkSession, folder: str) -> DataFrame:
     """Totals, quantile ranks and truncated totals for every encoded length of all documents."""
