@@ -110,7 +110,7 @@ def pack(pieces: DataFrame, capacity: int, order: tuple[str, ...] = ("doc_id", "
     counts = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     runs = _runs(plan(counts, capacity))
     numbered = ordinal(pieces, "seq", ["length"], [*order])
-    names = [c for c in numbered.columns if c != "seq"]
+    names = pieces.columns
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

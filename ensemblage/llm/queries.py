@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ensemblage.llm import chat, cotraining, decontaminate, lengths, packing, rules, sharding, tokens
+from ensemblage.llm import bagminhash, chat, cotraining, decontaminate, lengths, packing, rules, sharding, tokens
 from ensemblage.llm.common import table
 from ensemblage.session import cut_lineage
 
@@ -55,6 +55,12 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op6_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return bagminhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
+
+
 @_query
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
