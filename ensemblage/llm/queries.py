@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ensemblage.llm import bagminhash, chat, cotraining, decontaminate, lengths, packing, rules, sharding, tokens
+from ensemblage.llm import bagminhash, chat, cotraining, decontaminate, fuzzylines, lengths, packing, rules, sharding, tokens
 from ensemblage.llm.common import table
 from ensemblage.session import cut_lineage
 
@@ -61,6 +61,12 @@ def op6_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
 
 
+@_query
+def op7_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of every document that go, and the documents that keep an occurrence of them."""
+    return fuzzylines.line_report(table(spark, folder, "documents"))
+
+
 @_query
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
