@@ -15,7 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Parts a worker remembers before it starts anew; more only saves time.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+#: Parts handed to the tokenizer at once; its results take far more memory than ids.
+AT_ONCE = 2_000
 END_ID = 0
 
 
@@ -42,12 +44,14 @@ class WordEncoder:
         known = self.known
         parted = [text.replace("\n", " ").split(" ") for text in texts]
         new = list(set(itertools.chain.from_iterable(parted)).difference(known))
-        for encoded, part in zip(self.tokenizer.encode_batch_fast(new, add_special_tokens=False), new, strict=True):
-            known[part] = array("I", encoded.ids).tobytes()
+        for at in range(0, len(new), AT_ONCE):
+            some = new[at : at + AT_ONCE]
+            for encoded, part in zip(self.tokenizer.encode_batch_fast(some, add_special_tokens=False), some, strict=True):
+                known[part] = array("I", encoded.ids).tobytes()
         return [b"".join(map(known.__getitem__, parts)) for parts in parted]
 
 
-def _groups(texts: list[str | None], most: int = 4_000_000) -> Iterator[list[str]]:
+def _groups(texts: list[str | None], most: int = 1_000_000) -> Iterator[list[str]]:
     """Runs of texts of limited size together, so that memory doesn't depend on how texts are batched."""
     run: list[str] = []
     size = 0
