@@ -1,8 +1,10 @@
 """Encoding documents with a given word tokenizer, by whole words kept in a bounded memory.
 
-The tokenizer never joins characters across a space or a line feed, so a text's ids are the ids of its parts
-between them, and frequent parts are encoded once per worker. ``path`` is a parameter; by default the file
-comes from the installed ``public_tokenizers``.
+The tokenizer encodes words, digits and runs of marks apart from each other, in lower case. A text of Latin
+letters, digits and marks is cut into these pieces here, and a piece is encoded once per worker as long as it is
+remembered. Of other texts the parts between spaces and line feeds, across which the tokenizer never joins
+characters, are treated so, or given to the tokenizer as they are. ``path`` is a parameter; by default the file comes from the installed
+``public_tokenizers``. Tests compare with the tokenizer on whole texts.
 """
 
 from __future__ import annotations
@@ -11,15 +13,23 @@ import itertools
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
-#: Parts a worker remembers before it starts anew; more only saves time.
+#: Pieces a worker remembers before it starts anew; more only saves time.
 REMEMBERED = 200_000
-#: Parts handed to the tokenizer at once; its results take far more memory than ids.
-AT_ONCE = 2_000
+#: Pieces handed to the tokenizer as one text; its results take far more memory than ids.
+AT_ONCE = 1_000
 END_ID = 0
 
+#: Characters for which lower case, normal form and classes are beyond doubt.
+_PLAIN = regex.compile("[ \n!-~\u00a1-\u024f]*")
+#: Fixed: how the tokenizer's file parts a text.
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_WORD_END = "</w>"
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -35,20 +45,54 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
+        self.pieces: dict[str, bytes] = {}
+
+    def _directly(self, texts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(texts), AT_ONCE):
+            for encoded in self.tokenizer.encode_batch_fast(texts[at : at + AT_ONCE], add_special_tokens=False):
+                yield array("I", encoded.ids).tobytes()
+
+    def _add_pieces(self, pieces: list[str]) -> None:
+        """Encode pieces as one text; the last id of each is one that ends a word."""
+        for at in range(0, len(pieces), AT_ONCE):
+            some = pieces[at : at + AT_ONCE]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(some):
+                raw = ids.tobytes()
+                cuts = [0, *(4 * ends).tolist()]
+                self.pieces.update(zip(some, (raw[a:b] for a, b in itertools.pairwise(cuts)), strict=True))
+            else:
+                self.pieces.update(zip(some, self._directly(some), strict=True))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; parts seen for the first time are encoded together."""
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        parted = [text.replace("\n", " ").split(" ") for text in texts]
-        new = list(set(itertools.chain.from_iterable(parted)).difference(known))
-        for at in range(0, len(new), AT_ONCE):
-            some = new[at : at + AT_ONCE]
-            for encoded, part in zip(self.tokenizer.encode_batch_fast(some, add_special_tokens=False), some, strict=True):
-                known[part] = array("I", encoded.ids).tobytes()
-        return [b"".join(map(known.__getitem__, parts)) for parts in parted]
+        """The ids of each text; pieces seen for the first time are encoded together."""
+        if len(self.pieces) > REMEMBERED:
+            self.pieces = {}
+        parted: list[list[str]] = []
+        odd: set[str] = set()
+        for text in texts:
+            low = text.lower()
+            if _PLAIN.fullmatch(text) and _PLAIN.fullmatch(low):
+                parted.append(_PIECES.findall(low))
+                continue
+            pieces: list[str] = []
+            for part in text.replace("\n", " ").split(" "):
+                low = part.lower()
+                if _PLAIN.fullmatch(part) and _PLAIN.fullmatch(low):
+                    pieces += _PIECES.findall(low)
+                else:
+                    odd.add(part)
+                    pieces.append(part)
+            parted.append(pieces)
+        new = set(itertools.chain.from_iterable(parted)).difference(self.pieces)
+        self._add_pieces(list(new - odd))
+        odd &= new
+        self.pieces.update(zip(odd, self._directly(list(odd)), strict=True))
+        return [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in parted]
 
 
 def _groups(texts: list[str | None], most: int = 1_000_000) -> Iterator[list[str]]:
