@@ -239,3 +239,20 @@ def score(docs: DataFrame, model: Model | None, limit: float = LIMIT) -> DataFra
             )
 
     return docs.select(*INPUT).mapInArrow(judge, f"doc_id {kind}, p_content double, p_metadata double, p_bad double, kept boolean")
+
+
+def kept(docs: DataFrame, model: Model | None, limit: float = LIMIT) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that aren't taken for bad."""
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MOST_WORDS
+    places = [docs.columns.index(name) for name in INPUT[1:]]
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features, known = Features(), shared.value
+        for batch in batches:
+            rows = zip(*(batch.column(i).to_pylist() for i in places), strict=True)
+            bad = [_sigmoid(known.logits(features.content(t), Features.metadata(t, lang, s))[2]) for t, lang, s in rows]
+            yield batch.filter(pa.array([p <= limit for p in bad], pa.bool_()))
+
+    return docs.mapInArrow(choose, docs.schema)

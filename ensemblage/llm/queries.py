@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ensemblage.llm import bagminhash, chat, cotraining, decontaminate, fuzzylines, lengths, packing, rules, sharding, tokens
+from ensemblage.llm import bagminhash, chat, cotraining, decontaminate, fuzzylines, lengths, packing, pitmanyor, rules, sharding, tokens
 from ensemblage.llm.common import table
 from ensemblage.session import cut_lineage
 
@@ -31,6 +31,13 @@ def op1_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op2_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents, by a model of those whose remainder isn't 2."""
+    train = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) != 2
+    return pitmanyor.score(table(spark, folder, "documents"), train)
+
+
 @_query
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Chance of a bad document by content, by metadata and by both, and the verdict, for all documents."""
