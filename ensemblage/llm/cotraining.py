@@ -35,7 +35,7 @@ from ensemblage.session import cut_lineage
 
 MOST_LABELLED = 20_000
 MOST_POOL = 10_000
-MIN_DOCS = 8
+MIN_DOCS = 5
 MOST_WORDS = 1 << 17
 ROUNDS = 2
 CONFIDENT = 0.98
@@ -154,7 +154,7 @@ def _chosen(docs: DataFrame, labels: DataFrame, most_labelled: int, most_pool: i
 
 
 def _fit(rows: DataFrame, vector: str, penalty: float) -> LogisticRegressionModel:
-    learner = LogisticRegression(featuresCol=vector, labelCol="label", regParam=penalty, elasticNetParam=1.0, maxIter=40)
+    learner = LogisticRegression(featuresCol=vector, labelCol="label", regParam=penalty, elasticNetParam=1.0, maxIter=30, tol=1e-4)
     return learner.fit(rows.select(vector, "label"))
 
 
