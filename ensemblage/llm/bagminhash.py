@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ensemblage.llm.common import plain_words
-from ensemblage.llm.neighbours import components, linked, shared_buckets
+from ensemblage.llm.neighbours import groups_of, shared_buckets
 from ensemblage.session import cut_lineage
 
 WORDS = 5
@@ -212,8 +212,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     wanted = buckets.select("id").distinct()
     found = docs.where(F.col("text").isNotNull()).select(_digest().alias("id"), "text").join(wanted, "id", "left_semi")
     texts = cut_lineage(found.dropDuplicates(["id"]), "texts")
-    links = linked(buckets, lambda pairs: _similar(pairs, texts, similarity))
-    groups = components(links)
+    groups = groups_of(buckets, lambda pairs: _similar(pairs, texts, similarity))
     placed = signed.join(groups.withColumnRenamed("id", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     placed = placed.select("doc_id", "digest", F.when(F.col("n_words") > 0, F.col("root")).alias("root"))
     placed = cut_lineage(placed, "placed")

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, functions as F
 from ensemblage.session import cut_lineage
 
 SMALL = 16
+#: Edges per task where their number is known.
+EDGES = 200_000
 
 
 def _mark(df: DataFrame) -> tuple[int, int]:
@@ -39,7 +41,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.where(F.col("a") != F.col("b")).distinct()
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(lower.select("a", F.col("m").alias("b")))
-        following = cut_lineage(small.where(F.col("a") != F.col("b")).distinct(), "edges", replaces=e)
+        tasks = -(-mark[0] // EDGES)  # edges never become more
+        following = cut_lineage(small.where(F.col("a") != F.col("b")).distinct().coalesce(tasks), "edges", replaces=e)
         e, before, mark = following, mark, _mark(following)
         if mark == before:
             break
@@ -52,8 +55,8 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     return cut_lineage(rows.join(sizes, "key"), "buckets")
 
 
-def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Stored links (a, b) among the members of stored ``buckets`` (key, id, size).
+def groups_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """id and root of the members of stored ``buckets`` (key, id, size) that have links.
 
     ``verify`` gets distinct candidate pairs (a, b) and returns those that hold.
     """
@@ -61,7 +64,7 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Data
     pairs = few.select("key", F.col("id").alias("a")).join(few.select("key", F.col("id").alias("b")), "key").where(F.col("a") < F.col("b")).select("a", "b")
     large = buckets.where(F.col("size") > SMALL)
     if large.isEmpty():
-        return cut_lineage(verify(cut_lineage(pairs.distinct(), "pairs")), "links")
+        return components(cut_lineage(verify(cut_lineage(pairs.distinct(), "pairs")), "links"))
     score = buckets.groupBy("id").agg(F.sum("size").alias("score"))
     large = cut_lineage(large.select("key", "id").join(score, "id"), "large")
     best = F.max_by("id", F.struct("score", "id")).alias("leader")
@@ -81,13 +84,13 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Data
         led = members.join(leaders.select("key", F.col("leader").alias("id")), ["key", "id"]).select("key", "root").distinct()
         following = cut_lineage(members.join(led, ["key", "root"], "left_anti").groupBy("key").agg(best), "next_leaders")
         if following.isEmpty():
-            return links
+            return groups
         own = members.join(following.select("key", F.col("leader").alias("id")), ["key", "id"]).select("key", F.col("root").alias("own"))
         others = members.join(own, "key").where(F.col("root") != F.col("own")).select("key", "id")
         pairs = cut_lineage(with_members(following, others).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         found = cut_lineage(verify(pairs), "links")
         if found.isEmpty():
-            return links
+            return groups
         ends = found.select(F.col("a").alias("leader")).unionByName(found.select(F.col("b").alias("leader"))).distinct()
         active = cut_lineage(following.join(ends, "leader", "left_semi").select("key"), "active")
         leaders = cut_lineage(leaders.unionByName(following), "leaders")
