@@ -36,7 +36,7 @@ from ensemblage.session import cut_lineage
 MOST_LABELLED = 20_000
 MOST_POOL = 10_000
 MIN_DOCS = 5
-MOST_WORDS = 1 << 17
+MOST_WORDS = 1 << 15
 ROUNDS = 2
 CONFIDENT = 0.98
 LIMIT = 0.5
