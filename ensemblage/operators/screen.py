@@ -45,11 +45,19 @@ def decide_use_energies(df: DataFrame, groups: Groups, mode: str = "auto") -> Da
     return df.withColumn("use_energies", use)
 
 
+#: Why nothing of an ensemble is accepted that must use energies but lacks some.
+ENERGIES_MISSING = "use_energies_required_but_unavailable"
+
+
+def _lacks_energies(mode: str) -> Column:
+    return ~F.col("have_energies") if mode == "true" else F.lit(False)
+
+
 def energies_required(df: DataFrame) -> DataFrame:
     """Failure rows of ensembles that must use energies but lack some."""
     state = df.groupBy(*ENSEMBLE).agg(F.count("energy_kcal").alias("n_with_energy"), F.count("*").alias("n_input"))
     return state.where("n_with_energy < n_input").withColumn(
-        "error", F.lit("use_energies_required_but_unavailable")
+        "error", F.lit(ENERGIES_MISSING)
     )
 
 
@@ -64,18 +72,21 @@ def apply_mask(df: DataFrame, mask: DataFrame, groups: Groups) -> DataFrame:
 
     ``mask_ok`` tells which of the two happened.
     """
-    joined = df.join(mask.select(*MEMBER, F.col("accepted").alias("_accepted")), MEMBER, "left")
-    joined = groups.with_aggs(joined, mask_ok=F.bool_and(F.col("_accepted").isNotNull()))
+    once = mask.groupBy(*MEMBER).agg(F.bool_and("accepted").alias("_accepted"))  # a repeated row must not repeat conformers
+    lengths = mask.groupBy(*ENSEMBLE).agg(F.count("*").alias("_n_mask"))
+    joined = groups.attach(df.join(once, MEMBER, "left"), lengths, "left")
+    joined = groups.with_aggs(joined, _covered=F.bool_and(F.col("_accepted").isNotNull()), _n=F.count("*"))
+    joined = joined.withColumn("mask_ok", F.col("_covered") & (F.coalesce("_n_mask", F.lit(0)) == F.col("_n")))
     kept = F.when(F.col("mask_ok"), F.col("_accepted")).otherwise(F.lit(True))
-    return joined.withColumn("kept_by_mask", kept).drop("_accepted")
+    return joined.withColumn("kept_by_mask", kept).drop("_accepted", "_n_mask", "_covered", "_n")
 
 
-def mask_failures(df: DataFrame, mask: DataFrame) -> DataFrame:
-    """Ensembles whose mask has another length than the ensemble."""
+def mask_failures(df: DataFrame, mask: DataFrame, min_conformers: int = 3) -> DataFrame:
+    """Ensembles whose mask has another length than the ensemble; those too small to be screened need none."""
     expected = df.groupBy(*ENSEMBLE).agg(F.count("*").alias("n_input"))
     given = mask.groupBy(*ENSEMBLE).agg(F.count("*").alias("n_mask"))
     joined = expected.join(given, list(ENSEMBLE), "left").fillna(0, ["n_mask"])
-    return joined.where("n_input <> n_mask").withColumn("error", F.lit("pruning_returned_unexpected_mask_length"))
+    return joined.where((F.col("n_input") != F.col("n_mask")) & (F.col("n_input") >= min_conformers)).withColumn("error", F.lit("pruning_returned_unexpected_mask_length"))
 
 
 def relative_energy(df: DataFrame, groups: Groups) -> DataFrame:
@@ -106,8 +117,9 @@ def geometric_screen(
         rows = within_window(rows, groups, width_kcal, F.col("kept"))
         applies = F.col("use_energies") & F.col("have_energies")
         rows = rows.withColumn("in_window", F.when(applies, F.col("in_window")).otherwise(F.lit(True)))
-        reason = F.when(~F.col("kept"), K.REASON_PRUNED).when(~F.col("in_window"), K.REASON_WINDOW)
-        rows = rows.withColumns({"accepted": F.col("kept") & F.col("in_window"), "rejected_reason": reason})
+        failed = _lacks_energies(use_energies)
+        reason = F.when(failed, ENERGIES_MISSING).when(~F.col("kept"), K.REASON_PRUNED).when(~F.col("in_window"), K.REASON_WINDOW)
+        rows = rows.withColumns({"accepted": ~failed & F.col("kept") & F.col("in_window"), "rejected_reason": reason})
         return relative_energy(rows, groups)
 
     result = plan.apply(df, chain).select(
@@ -123,7 +135,8 @@ def cluster_screen(
     """Energy window first, then one accepted centre per cluster; ``clusters`` has a label and a distance per conformer.
 
     Conformers outside the window have no cluster. The centre is the one nearest to it, then the lowest
-    in energy, then the first. Ensembles with too few survivors keep them all, each its own cluster.
+    in energy, then the first. Ensembles with too few survivors keep them all, each its own cluster; so do those
+    where a survivor has no label, which ``label_failures`` lists.
     """
     check_window(width_kcal)
     plan = plan or plan_groups(df, ENSEMBLE)
@@ -132,22 +145,27 @@ def cluster_screen(
         rows = within_window(decide_use_energies(rows, groups, use_energies), groups, width_kcal)
         applies = F.col("use_energies") & F.col("have_energies")
         rows = rows.withColumn("in_window", F.when(applies, F.col("in_window")).otherwise(F.lit(True)))
-        rows = groups.with_aggs(rows, _n_within=F.count_if("in_window"))
-        return rows.withColumn("screened", F.col("_n_within") >= min_conformers).drop("_n_within")
-
-    windowed = plan.apply(df, chain)
-    labelled = windowed.join(clusters.select(*MEMBER, "label", "distance"), MEMBER, "left")
+        rows = rows.withColumn("failed", _lacks_energies(use_energies))
+        unlabelled = F.col("in_window") & F.col("label").isNull()
+        rows = groups.with_aggs(rows, _n_within=F.count_if("in_window"), _unlabelled=F.count_if(unlabelled))
+        enough = (F.col("_n_within") >= min_conformers) & (F.col("_unlabelled") == 0)
+        return rows.withColumn("screened", enough).drop("_n_within", "_unlabelled")
+
+    once = clusters.groupBy(*MEMBER).agg(F.min_by(F.struct("label", "distance"), F.struct("distance", "label")).alias("_c"))
+    once = once.select(*MEMBER, "_c.label", "_c.distance")
+    labelled = plan.apply(df.join(once, MEMBER, "left"), chain)
     centres = cluster_centres(labelled.where(F.col("in_window") & F.col("screened")), plan)
     within = F.col("in_window") & F.col("screened")
     joined = labelled.join(
         centres, (labelled.ensemble_id == centres.c_ensemble) & (labelled.label == centres.c_label) & within, "left"
     )
     is_centre = F.col("conf_idx") == F.col("c_conf")
-    accepted = F.col("in_window") & (~F.col("screened") | F.coalesce(is_centre, F.lit(False)))
+    accepted = ~F.col("failed") & F.col("in_window") & (~F.col("screened") | F.coalesce(is_centre, F.lit(False)))
     joined = joined.withColumns(
         {
             "accepted": accepted,
-            "rejected_reason": F.when(~F.col("in_window"), K.REASON_WINDOW).when(~accepted, K.REASON_CLUSTER),
+            "rejected_reason": F.when(F.col("failed"), ENERGIES_MISSING).when(~F.col("in_window"), K.REASON_WINDOW)
+            .when(~accepted, K.REASON_CLUSTER),
             "cluster_id": F.when(within, F.col("c_dense")),
             "cluster_distance": F.when(within, F.when(is_centre, F.lit(0.0)).otherwise(F.col("distance"))),
         }
@@ -169,6 +187,13 @@ def cluster_screen(
     return result if keep_rejected else result.where("accepted")
 
 
+def label_failures(df: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Ensembles in which conformers have no label: nothing of them is taken for a duplicate."""
+    known = clusters.where(F.col("label").isNotNull()).select(*MEMBER).distinct().withColumn("_labelled", F.lit(1))
+    state = df.join(known, MEMBER, "left").groupBy(*ENSEMBLE).agg(F.count("_labelled").alias("n_labelled"), F.count("*").alias("n_input"))
+    return state.where("n_labelled < n_input").withColumn("error", F.lit("clustering_returned_unexpected_label_count"))
+
+
 def cluster_centres(labelled: DataFrame, plan: GroupPlan | None = None) -> DataFrame:
     """One row per cluster: its centre and a dense id from 0 in label order.
 

@@ -155,7 +155,7 @@ def accepted_only(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register("scr_external_mask", sql("""
-    SELECT ensemble_id, conf_idx, CASE WHEN bool_and(label IS NOT NULL) OVER (PARTITION BY ensemble_id)
+    SELECT ensemble_id, conf_idx, CASE WHEN bool_and(label IS NOT NULL) OVER (PARTITION BY ensemble_id) AND ensemble_id % 5 <> 0
                                   THEN label ELSE true END AS kept_by_mask
     FROM conformers c LEFT JOIN
       (SELECT o_custkey AS ensemble_id, o_orderkey + 1 AS conf_idx, o_orderstatus = 'F' AS label
@@ -167,6 +167,8 @@ def external(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_custkey").alias("ensemble_id"), (F.col("o_orderkey") + 1).alias("conf_idx"),
         (F.col("o_orderstatus") == "F").alias("accepted"),
     )
+    # every fifth ensemble's mask is too long: its rows come twice
+    supplied = supplied.unionByName(supplied.where("ensemble_id % 5 = 0"))
     plan = plan_groups(rows, screen.ENSEMBLE)
     return plan.apply(rows, lambda d, g: screen.apply_mask(d, supplied, g)).select(*MEMBER, "kept_by_mask")
 
@@ -175,7 +177,7 @@ def external(spark: SparkSession, folder: str) -> DataFrame:
     SELECT ensemble_id, count(*) AS n_input, count(*) FILTER (o_totalprice < 450000) AS n_mask,
            'pruning_returned_unexpected_mask_length' AS error
     FROM (SELECT o_custkey AS ensemble_id, * FROM orders) GROUP BY ensemble_id
-    HAVING count(*) <> count(*) FILTER (o_totalprice < 450000)"""))
+    HAVING count(*) <> count(*) FILTER (o_totalprice < 450000) AND count(*) >= 3"""))
 def mask_failures(spark: SparkSession, folder: str) -> DataFrame:
     given = Given(spark, folder)
     return screen.mask_failures(given.conformers(), given.table("orders").where("o_totalprice < 450000").select(
