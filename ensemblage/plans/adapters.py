@@ -179,15 +179,17 @@ class Given:
         )
         ensemble = (
             '{"schema":"wf.result.v1","step":"search","cwd":"/d","artifacts":{"accepted":[],'
-            '"xyz_ensemble":["/d/%s_ens.xyz","/d/%s_ens2.xyz"],"files":[{"path_rel":"/d/%s.energies"},'
-            '{"label":"energies","path_abs":"/d/later"}]},"failures":[]}'
+            '"xyz_ensemble":["/d/%s_ens.xyz","/d/%s_ens2.xyz"],"plots":[{"path_abs":"/d/%s.png","dpi":300}],"files":[{"path_rel":"/d/%s.energies"},'
+            '{"label":"energies","path_abs":"/d/later"}]},"failures":[{"error":"no_energies","task":%s},"stopped"]}'
         )
         single = '{"ok":false,"step":"embed","artifacts":{"xyz":[{"path_abs":"","path":"/d/%s_s.xyz"}]}}'
 
         def filled(template: str) -> Column:
             return F.format_string(template, *[key] * template.count("%s"))
 
-        text = F.when(status == "F", filled(full)).when(status == "O", filled(ensemble)).otherwise(filled(single))
+        # some of the third kind can't be read
+        broken = F.when(F.col("o_orderpriority") == "5-LOW", F.concat(F.lit('{"ok":'), key)).when(F.col("o_orderpriority") == "2-HIGH", key)
+        text = F.when(status == "F", filled(full)).when(status == "O", filled(ensemble)).otherwise(F.coalesce(broken, filled(single)))
         return spread(self.table("orders")).select(F.concat(F.lit("/m/"), key).alias("manifest_path"), text.alias("text"))
 
     def pointer_texts(self) -> DataFrame:

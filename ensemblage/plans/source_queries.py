@@ -105,13 +105,17 @@ def blocks(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("src_manifests", """
     SELECT '/m/' || o_orderkey AS manifest_path,
-           CASE o_orderstatus WHEN 'F' THEN 'wf.manifest.v1' ELSE 'wf.result.v1' END AS schema, o_orderstatus = 'F' AS ok,
-           CASE o_orderstatus WHEN 'F' THEN 'screen' WHEN 'O' THEN 'search' ELSE 'embed' END AS step,
-           CASE o_orderstatus WHEN 'F' THEN o_orderkey ELSE 0 END AS created_at_unix,
-           CASE o_orderstatus WHEN 'F' THEN 1.5 ELSE 0 END::DOUBLE AS runtime_seconds,
-           CASE o_orderstatus WHEN 'P' THEN '' ELSE '/d' END AS cwd,
-           CASE o_orderstatus WHEN 'F' THEN '/d/up' || o_orderkey || '.json' END AS upstream_path
-    FROM orders""")
+           CASE WHEN problem IS NULL THEN CASE o_orderstatus WHEN 'F' THEN 'wf.manifest.v1' ELSE 'wf.result.v1' END END AS schema,
+           CASE WHEN problem IS NULL THEN o_orderstatus = 'F' END AS ok,
+           CASE WHEN problem IS NULL THEN CASE o_orderstatus WHEN 'F' THEN 'screen' WHEN 'O' THEN 'search' ELSE 'embed' END END AS step,
+           CASE WHEN problem IS NULL THEN CASE o_orderstatus WHEN 'F' THEN o_orderkey ELSE 0 END END AS created_at_unix,
+           CASE WHEN problem IS NULL THEN CASE o_orderstatus WHEN 'F' THEN 1.5 ELSE 0 END END::DOUBLE AS runtime_seconds,
+           CASE WHEN problem IS NULL THEN CASE o_orderstatus WHEN 'P' THEN '' ELSE '/d' END END AS cwd,
+           CASE o_orderstatus WHEN 'F' THEN '/d/up' || o_orderkey || '.json' END AS upstream_path,
+           NULL::VARCHAR AS upstream_schema, CASE o_orderstatus WHEN 'F' THEN true END AS upstream_ok,
+           CASE o_orderstatus WHEN 'F' THEN '{"raw_argv":[]}' END AS inputs, NULL::VARCHAR AS environment, problem
+    FROM (SELECT *, CASE WHEN o_orderstatus = 'P' THEN CASE o_orderpriority WHEN '5-LOW' THEN 'not_json' WHEN '2-HIGH' THEN 'not_an_object' END END AS problem
+          FROM orders)""")
 def manifests(spark: SparkSession, folder: str) -> DataFrame:
     return documents.manifests(Given(spark, folder).manifest_texts()).drop("doc")
 
@@ -130,19 +134,29 @@ def pointers(spark: SparkSession, folder: str) -> DataFrame:
 
 ARTIFACTS = """
     SELECT '/m/' || o_orderkey AS manifest_path, bucket, pos,
-           prefix || CASE WHEN suffix IN ('later', 't.csv', 'no.xyz') THEN '' ELSE o_orderkey::VARCHAR END || suffix AS path_abs, label
+           prefix || CASE WHEN suffix IN ('later', 't.csv', 'no.xyz') THEN '' ELSE o_orderkey::VARCHAR END || suffix AS path_abs, label,
+           CASE suffix WHEN '.png' THEN '{"dpi":"300"}' END AS extra
     FROM orders JOIN (VALUES ('F', 'accepted', 0, '/d/', '_1.xyz', NULL), ('F', 'accepted', 1, '/d/', '_2.xyz', NULL),
         ('F', 'accepted', 2, '/d/', '_3.log', NULL), ('F', 'xyz', 0, '/d/', 'no.xyz', NULL),
         ('F', 'files', 0, '/d/', 't.csv', 'csv'), ('F', 'files', 1, '/d/', '.txt', 'Orca_Energies'),
         ('O', 'xyz_ensemble', 0, '/d/', '_ens.xyz', NULL), ('O', 'xyz_ensemble', 1, '/d/', '_ens2.xyz', NULL),
-        ('O', 'files', 0, '/d/', '.energies', NULL), ('O', 'files', 1, '/d/', 'later', 'energies'),
-        ('P', 'xyz', 0, '/d/', '_s.xyz', NULL)) a(o_orderstatus, bucket, pos, prefix, suffix, label) USING (o_orderstatus)"""
+        ('O', 'plots', 0, '/d/', '.png', NULL), ('O', 'files', 0, '/d/', '.energies', NULL), ('O', 'files', 1, '/d/', 'later', 'energies'),
+        ('P', 'xyz', 0, '/d/', '_s.xyz', NULL)) a(o_orderstatus, bucket, pos, prefix, suffix, label) USING (o_orderstatus)
+    WHERE o_orderstatus <> 'P' OR o_orderpriority NOT IN ('5-LOW', '2-HIGH')"""
+
+
+@register("src_failures", """
+    SELECT '/m/' || o_orderkey AS manifest_path, pos, error, CASE pos WHEN 0 THEN '{"task":"' || o_orderkey || '"}' END AS extra
+    FROM orders, (VALUES (0, 'no_energies'), (1, 'stopped')) f(pos, error) WHERE o_orderstatus = 'O'""")
+def failures(spark: SparkSession, folder: str) -> DataFrame:
+    found = documents.failures(documents.manifests(Given(spark, folder).manifest_texts()))
+    return found.withColumn("extra", F.to_json("extra"))
 
 
 @register("src_artifacts", ARTIFACTS)
 def artifacts(spark: SparkSession, folder: str) -> DataFrame:
     listed = documents.artifacts(documents.manifests(Given(spark, folder).manifest_texts()))
-    return listed.select("manifest_path", "bucket", "pos", "path_abs", "label")
+    return listed.select("manifest_path", "bucket", "pos", "path_abs", "label", F.to_json("extra").alias("extra"))
 
 
 @register("src_energy_file_pick", """

@@ -51,25 +51,33 @@ def pointers(texts: DataFrame) -> DataFrame:
 
 
 def manifests(texts: DataFrame) -> DataFrame:
-    """Manifest texts to one typed row each; the document itself stays as a variant column."""
-    document = F.try_parse_json("text")
-    read = texts.withColumn("doc", document).where(F.col("doc").isNotNull())
+    """Manifest texts to one typed row each; the document itself stays as a variant column.
+
+    A text that is no JSON object keeps its row: ``problem`` says what it is, and the fields are NULL.
+    """
+    read = texts.withColumn("doc", F.try_parse_json("text"))
     doc = F.col("doc")
+    problem = F.when(doc.isNull(), "not_json").when(type_of(doc) != "object", "not_an_object")
+    read = read.withColumn("problem", problem)
 
     def amount(path: str, kind: str, default: object) -> Column:
-        return F.coalesce(field(doc, path, kind), F.lit(default).cast(kind))
+        return F.when(F.col("problem").isNull(), F.coalesce(field(doc, path, kind), F.lit(default).cast(kind)))
 
-    schema = field(doc, "$.schema", "string")
+    schema = F.when(F.col("problem").isNull(), F.coalesce(F.nullif(field(doc, "$.schema", "string"), F.lit("")), F.lit(K.RESULT_TAG)))
     return read.select(
         "manifest_path",
-        F.coalesce(F.nullif(schema, F.lit("")), F.lit(K.RESULT_TAG)).alias("schema"),
+        schema.alias("schema"),
         amount("$.ok", "boolean", False).alias("ok"),
         amount("$.step", "string", "").alias("step"),
         amount("$.created_at_unix", "bigint", 0).alias("created_at_unix"),
         amount("$.runtime_seconds", "double", 0.0).alias("runtime_seconds"),
         amount("$.cwd", "string", "").alias("cwd"),
         field(doc, "$.upstream.manifest_path", "string").alias("upstream_path"),
-        "doc",
+        field(doc, "$.upstream.schema", "string").alias("upstream_schema"),
+        field(doc, "$.upstream.ok", "boolean").alias("upstream_ok"),
+        F.to_json(field(doc, "$.inputs", "variant")).alias("inputs"),
+        F.to_json(field(doc, "$.environment", "variant")).alias("environment"),
+        "problem", "doc",
     )
 
 
@@ -80,16 +88,37 @@ def read_manifests(spark: SparkSession, root: str) -> DataFrame:
     return manifests(texts.select(F.col("_metadata.file_path").alias("manifest_path"), F.col("value").alias("text")))
 
 
-def artifacts(read: DataFrame) -> DataFrame:
-    """One row per listed artifact; a bare string is its path, and older names of the path are accepted."""
-    buckets = [b for b in K.ARTIFACT_BUCKETS if b != "array"]
-    doc = F.col("doc")
-    entries = F.array(
-        *[F.struct(F.lit(b).alias("bucket"), field(doc, f"$.artifacts.{b}", "array<variant>").alias("items")) for b in buckets]
+def failures(read: DataFrame) -> DataFrame:
+    """One row per recorded failure: its place, its error, and its other fields as a map of JSON texts."""
+    listed = read.select("manifest_path", F.posexplode(field(F.col("doc"), "$.failures", "array<variant>")).alias("pos", "item"))
+    item = F.col("item")
+    as_text = F.when(type_of(item) == "string", item.try_cast("string"))
+    return listed.select(
+        "manifest_path", "pos", F.coalesce(as_text, field(item, "$.error", "string")).alias("error"), _others(item, ("error",)).alias("extra")
     )
-    listed = read.select("manifest_path", F.explode(entries).alias("e")).select("manifest_path", "e.bucket", "e.items")
+
+
+def _others(item: Column, known: tuple[str, ...]) -> Column:
+    """The fields of an object beyond the known ones, as a map of JSON texts; NULL if there are none."""
+    fields = field(item, "$", "map<string,variant>")
+    rest = F.transform_values(F.map_filter(fields, lambda name, _: ~name.isin(*known)), lambda _, value: F.to_json(value))
+    return F.when(F.size(rest) > 0, rest)
+
+
+#: Fields of an artifact that have columns of their own, under all their names.
+ARTIFACT_FIELDS = ("path_abs", "path", "path_rel", "label", "format", "sha256", "index", "rel_energy_kcal", "rel_energy")
+
+
+def artifacts(read: DataFrame) -> DataFrame:
+    """One row per listed artifact of every bucket that is a list, whatever its name.
+
+    A bare string is its path, older names of the path are accepted, and further fields are in ``extra``.
+    """
+    buckets = field(F.col("doc"), "$.artifacts", "map<string,variant>")
+    listed = read.select("manifest_path", F.explode(buckets).alias("bucket", "listed"))
     item = F.col("item")
-    rows = listed.select("manifest_path", "bucket", F.posexplode("items").alias("pos", "item"))
+    items = field(F.col("listed"), "$", "array<variant>")
+    rows = listed.select("manifest_path", "bucket", F.posexplode(items).alias("pos", "item"))
     as_path = F.when(type_of(item) == "string", item.try_cast("string"))
     paths = [F.nullif(field(item, f"$.{name}", "string"), F.lit("")) for name in ("path_abs", "path", "path_rel")]
     return rows.select(
@@ -102,6 +131,7 @@ def artifacts(read: DataFrame) -> DataFrame:
         F.coalesce(
             field(item, "$.rel_energy_kcal", "double"), field(item, "$.rel_energy", "double")
         ).alias("energy_kcal"),
+        _others(item, ARTIFACT_FIELDS).alias("extra"),
     )
 
 
