@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import itertools
+import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ensemblage.operators.geometry import with_cells
+from ensemblage.operators.geometry import union, with_cells
 from ensemblage.operators.groups import GroupPlan, plan_groups
 from ensemblage.session import cut_lineage
 
@@ -18,7 +19,7 @@ def square_distance(left: Column, right: Column) -> Column:
 
 
 def _assigned(points: DataFrame, centres: DataFrame, plan: GroupPlan) -> DataFrame:
-    joined = plan.apply(points, lambda d, g: g.attach(d, centres))
+    joined = plan.apply(points, lambda d, g: g.attach(d, centres.select("ensemble_id", "centres")))
     distances = F.transform("centres", lambda c: square_distance(c, F.col("features")))
     joined = joined.select(*MEMBER, "features", distances.alias("distances"))
     nearest = F.array_min("distances")
@@ -28,9 +29,12 @@ def _assigned(points: DataFrame, centres: DataFrame, plan: GroupPlan) -> DataFra
     )
 
 
-def kmeans(points: DataFrame, k: int, dimensions: int, max_rounds: int = 50, tolerance: float = 1e-6) -> DataFrame:
+def kmeans(points: DataFrame, k: int, dimensions: int, max_rounds: int = 300, tolerance: float = 1e-6) -> DataFrame:
     """Lloyd's algorithm per ensemble over ``features`` (an array of doubles); gives ``label`` and ``distance``.
 
+    ``converged`` is false for the ensembles whose centres still moved in the last round, which ``rounds`` counts.
+    Ensembles whose centres rest leave the rounds.
+
     It starts from the k members whose index hashes lowest. Centres are one short row per ensemble; the
     points are only ever joined to them and averaged, so a large ensemble is spread like any other.
     """
@@ -42,25 +46,25 @@ def kmeans(points: DataFrame, k: int, dimensions: int, max_rounds: int = 50, tol
     ranked = plan.apply(hashed, lambda d, g: g.ordinal(d, "rank", [F.col("hash"), F.col("conf_idx")])).where(F.col("rank") <= k)
     centres = ranked.groupBy("ensemble_id").agg(F.sort_array(F.collect_list(F.struct("rank", "features"))).alias("c"))
     centres = cut_lineage(centres.select("ensemble_id", F.transform("c", lambda c: c["features"]).alias("centres")), "centres")
-    before = centres
-    for _ in range(max_rounds):
-        means = _assigned(points, centres, plan).groupBy("ensemble_id", "label").agg(
+    centres = cut_lineage(centres.withColumns({"moving": F.lit(True), "rounds": F.lit(0)}), "centres", replaces=centres)
+    for number in range(1, max_rounds + 1):
+        moving = centres.where("moving")
+        means = _assigned(points, moving, plan).groupBy("ensemble_id", "label").agg(
             F.array(*[F.avg(F.col("features")[i]) for i in range(dimensions)]).alias("mean")
         )
         new = means.groupBy("ensemble_id").agg(F.map_from_entries(F.collect_list(F.struct("label", "mean"))).alias("means"))
         # a cluster that lost all members keeps its centre
-        moved = centres.join(new, "ensemble_id").select(
+        moved = moving.join(new, "ensemble_id").select(
             "ensemble_id", F.col("centres").alias("old"),
             F.transform("centres", lambda c, i: F.coalesce(F.try_element_at(F.col("means"), i), c)).alias("centres"),
         )
-        moved = cut_lineage(moved, "centres", replaces=before)
-        before = moved
         shift = F.array_max(F.zip_with("old", "centres", square_distance))
-        furthest = moved.agg(F.max(shift)).first()[0]
-        centres = moved.select("ensemble_id", "centres")
-        if furthest is None or furthest <= tolerance * tolerance:
+        moved = moved.select("ensemble_id", "centres", (shift > tolerance * tolerance).alias("moving"), F.lit(number).alias("rounds"))
+        centres = cut_lineage(moved.unionByName(centres.where(~F.col("moving"))), "centres", replaces=centres)
+        if centres.where("moving").isEmpty():
             break
-    return _assigned(points, centres, plan)
+    state = centres.select("ensemble_id", (~F.col("moving")).alias("converged"), "rounds")
+    return plan.apply(_assigned(points, centres.select("ensemble_id", "centres"), plan), lambda d, g: g.attach(d, state))
 
 
 def silhouette(assigned: DataFrame) -> DataFrame:
@@ -88,20 +92,28 @@ def kmeans_auto(points: DataFrame, dimensions: int, k_max: int = 8) -> DataFrame
     return labelled
 
 
+#: Tests of single members against each other for one pair of cells; beyond it both cells are halved first.
+DIRECT = 1_000
+
+
 def threshold_clusters(points: DataFrame, coordinates: list[str], cut: float, min_members: int = 1, max_rounds: int = 1000) -> DataFrame:
-    """Cells of width ``cut`` that hold at least ``min_members`` and touch form a cluster; with 1 this is
-    linkage by contact, with more a density clustering whose sparse cells join a touching cluster or none.
+    """Clusters by real distance: single linkage at ``cut``, and with ``min_members`` above 1 a density clustering.
+
+    A member is a core if at least ``min_members`` members, itself included, lie within ``cut`` of it. Cores within
+    ``cut`` of each other share a cluster; another member joins the lowest cluster that has a core within ``cut``, or
+    else is a cluster of its own. ``label`` is the lowest index of the cluster's cores.
 
-    Gives ``label``, the lowest index of the cluster's dense cells. Rows are reduced to cells first, and
-    only cells are linked.
+    Rows are put in cells of width ``cut`` / sqrt(d), whose members are within ``cut`` of each other for certain.
+    Two cells are linked if their nearest cores are close enough: boxes around the cores settle most pairs, small
+    pairs are measured, and larger ones are halved until they are settled, so no large cell meets another whole.
     """
     cells = [f"cell_{i}" for i in range(len(coordinates))]
-    placed = with_cells(points, [F.col(c) for c in coordinates], cut)
-    counted = placed.groupBy("ensemble_id", *cells).agg(F.count("*").alias("n"), F.min("conf_idx").alias("node"))
-    counted = cut_lineage(counted, "cells")
-    dense = counted.where(F.col("n") >= min_members)
-    links = cut_lineage(_touching(dense, dense, cells), "links")
-    labels = before = cut_lineage(dense.select("ensemble_id", "node", F.col("node").alias("label")), "labels")
+    width = cut / math.sqrt(len(coordinates)) * (1 - 1e-12)
+    placed = cut_lineage(with_cells(points, [F.col(c) for c in coordinates], width), "placed")
+    cores = _cores(placed, coordinates, cells, cut, min_members)
+    counted = cut_lineage(cores.groupBy("ensemble_id", *cells).agg(F.min("conf_idx").alias("node")), "cells")
+    links = _linked_cells(cores.join(counted, ["ensemble_id", *cells]), coordinates, cells, cut, width)
+    labels = before = cut_lineage(counted.select("ensemble_id", "node", F.col("node").alias("label")), "labels")
     for _ in range(max_rounds):
         around = links.join(labels.withColumnRenamed("node", "other"), ["ensemble_id", "other"]).groupBy("ensemble_id", "node").agg(
             F.min("label").alias("seen"))
@@ -118,20 +130,102 @@ def threshold_clusters(points: DataFrame, coordinates: list[str], cut: float, mi
             break
     else:
         raise RuntimeError(f"clusters still grow after {max_rounds} rounds")
-    sparse = counted.where(F.col("n") < min_members)
-    border = _touching(sparse, dense, cells).join(labels.withColumnRenamed("node", "other"), ["ensemble_id", "other"])
-    border = border.groupBy("ensemble_id", "node").agg(F.min("label").alias("label"))
-    named = counted.select("ensemble_id", *cells, "node").join(labels.unionByName(border), ["ensemble_id", "node"], "left")
-    return placed.join(named.select("ensemble_id", *cells, "label"), ["ensemble_id", *cells]).select(*points.columns, "label")
-
-
-def _touching(left: DataFrame, right: DataFrame, cells: list[str]) -> DataFrame:
-    """Pairs of neighbouring cells, by their nodes; a cell has a fixed number of neighbours."""
-    steps = [s for s in itertools.product((-1, 0, 1), repeat=len(cells)) if any(s)]
-    moves = F.array(*[F.struct(*[(F.col(c) + d).alias(c) for c, d in zip(cells, step)]) for step in steps])
-    reach = left.select("ensemble_id", "node", F.explode(moves).alias("c")).select("ensemble_id", "node", "c.*")
-    return reach.join(right.select("ensemble_id", *cells, F.col("node").alias("other")), ["ensemble_id", *cells]).select(
-        "ensemble_id", "node", "other")
+    named = counted.join(labels, ["ensemble_id", "node"]).select("ensemble_id", *cells, "label")
+    labelled = cores.join(named, ["ensemble_id", *cells])
+    if min_members == 1:
+        return labelled.select(*points.columns, "label")
+    labelled = cut_lineage(labelled, "labelled_cores")
+    others = placed.join(cores.select(*MEMBER), MEMBER, "left_anti")
+    near = _around(others, labelled, coordinates, cells, cut).groupBy(*MEMBER).agg(F.min("label").alias("label"))
+    rest = others.join(near, MEMBER, "left").withColumn("label", F.coalesce("label", "conf_idx"))
+    return labelled.select(*points.columns, "label").unionByName(rest.select(*points.columns, "label"))
+
+
+def _steps(cells: list[str]) -> list[tuple[int, ...]]:
+    """The moves to cells that may hold members within the cut."""
+    reach = math.ceil(math.sqrt(len(cells)))
+    return [s for s in itertools.product(range(-reach, reach + 1), repeat=len(cells)) if any(s)]
+
+
+def _around(few: DataFrame, many: DataFrame, coordinates: list[str], cells: list[str], cut: float) -> DataFrame:
+    """Rows of ``few`` with the label of each row of ``many`` within the cut, in their own and the nearby cells.
+
+    ``few`` are members that aren't cores, of which a cell has fewer than a core needs neighbours.
+    """
+    moves = F.array(*[F.struct(*[(F.col(c) + d).alias(c) for c, d in zip(cells, step)]) for step in [(0,) * len(cells), *_steps(cells)]])
+    spread = few.select(*MEMBER, *[F.col(c).alias(f"_{c}") for c in coordinates], F.explode(moves).alias("c")).select(
+        *MEMBER, *[f"_{c}" for c in coordinates], "c.*")
+    label = "label" if "label" in many.columns else "conf_idx"
+    wide = many.select("ensemble_id", *cells, *coordinates, F.col(label).alias("label"))
+    square = sum(((F.col(c) - F.col(f"_{c}")) * (F.col(c) - F.col(f"_{c}")) for c in coordinates), F.lit(0.0))
+    return spread.join(wide, ["ensemble_id", *cells]).where(square <= cut * cut).select(*MEMBER, "label")
+
+
+def _cores(placed: DataFrame, coordinates: list[str], cells: list[str], cut: float, min_members: int) -> DataFrame:
+    if min_members <= 1:
+        return placed
+    full = placed.groupBy("ensemble_id", *cells).agg(F.count("*").alias("n"))
+    sized = cut_lineage(placed.join(full, ["ensemble_id", *cells]), "sized")
+    sparse = sized.where(F.col("n") < min_members).drop("n")
+    counts = _around(sparse, placed, coordinates, cells, cut).groupBy(*MEMBER).agg(F.count("*").alias("n_near"))
+    dense = sparse.join(counts.where(F.col("n_near") >= min_members).select(*MEMBER), MEMBER, "left_semi")
+    return cut_lineage(sized.where(F.col("n") >= min_members).drop("n").unionByName(dense), "cores")
+
+
+def _linked_cells(cores: DataFrame, coordinates: list[str], cells: list[str], cut: float, width: float) -> DataFrame:
+    """Pairs (ensemble_id, node, other), both ways, of cells whose nearest cores are within the cut."""
+    columns = ["ensemble_id", "node", *[F.col(c).alias(f"x{i}") for i, c in enumerate(coordinates)]]
+    rows = cut_lineage(cores.select(*columns, *cells), "core_points")
+    xs = [f"x{i}" for i in range(len(coordinates))]
+    parts = [f"part_{i}" for i in range(len(xs))]
+    moves = F.array(*[F.struct(*[(F.col(c) + d).alias(c) for c, d in zip(cells, step)]) for step in _steps(cells)])
+    nodes = rows.select("ensemble_id", "node", *cells).distinct()
+    reach = nodes.select("ensemble_id", "node", F.explode(moves).alias("c")).select("ensemble_id", "node", "c.*")
+    pairs = reach.join(nodes.withColumnRenamed("node", "other"), ["ensemble_id", *cells]).where("node < other").select("ensemble_id", "node", "other")
+    whole = [F.lit(0).cast("long").alias(p) for p in parts]
+    open_pairs = pairs.select("*", *[p.alias(f"a_{n}") for p, n in zip(whole, parts)], *[p.alias(f"b_{n}") for p, n in zip(whole, parts)])
+    found: list[DataFrame] = []
+    for level in itertools.count():
+        size = width / 2**level
+        # a cell's corner, so that halves lie inside their cell
+        inside = [
+            F.greatest(F.lit(0), F.least(F.lit(2**level - 1), F.floor((F.col(x) - F.col(c) * width) / size))).cast("long") for x, c in zip(xs, cells)
+        ]
+        located = rows.withColumns(dict(zip(parts, inside)))
+        boxes = located.groupBy("ensemble_id", "node", *parts).agg(
+            F.count("*").alias("n"), *[f(x).alias(f"{k}_{x}") for x in xs for k, f in (("low", F.min), ("high", F.max))])
+        sides = []
+        for side, node in (("a", "node"), ("b", "other")):
+            sides.append(boxes.select("ensemble_id", F.col("node").alias(node), *[F.col(p).alias(f"{side}_{p}") for p in parts], F.col("n").alias(f"{side}_n"),
+                                      *[F.col(f"{k}_{x}").alias(f"{side}_{k}_{x}") for x in xs for k in ("low", "high")]))
+        met = open_pairs.join(sides[0], ["ensemble_id", "node", *[f"a_{p}" for p in parts]]).join(
+            sides[1], ["ensemble_id", "other", *[f"b_{p}" for p in parts]])
+        gap = [F.greatest(F.col(f"a_low_{x}") - F.col(f"b_high_{x}"), F.col(f"b_low_{x}") - F.col(f"a_high_{x}"), F.lit(0.0)) for x in xs]
+        span = [F.greatest(F.col(f"a_high_{x}") - F.col(f"b_low_{x}"), F.col(f"b_high_{x}") - F.col(f"a_low_{x}")) for x in xs]
+        least, most = (sum((d * d for d in ds), F.lit(0.0)) for ds in (gap, span))
+        met = cut_lineage(met.withColumns({"least": least, "most": most}).where(F.col("least") <= cut * cut), "box_pairs")
+        key = ["ensemble_id", "node", "other"]
+        sure = met.where(F.col("most") <= cut * cut).select(*key).distinct()
+        unsure = met.where(F.col("most") > cut * cut).join(sure, key, "left_anti")
+        direct = unsure.where(F.col("a_n") * F.col("b_n") <= DIRECT)
+        left = located.select("ensemble_id", "node", *[F.col(p).alias(f"a_{p}") for p in parts], *[F.col(x).alias(f"a_{x}") for x in xs])
+        right = located.select("ensemble_id", F.col("node").alias("other"), *[F.col(p).alias(f"b_{p}") for p in parts], *[F.col(x).alias(f"b_{x}") for x in xs])
+        measured = direct.select(*key, *[f"{s}_{p}" for s in "ab" for p in parts]).join(
+            left, ["ensemble_id", "node", *[f"a_{p}" for p in parts]]).join(right, ["ensemble_id", "other", *[f"b_{p}" for p in parts]])
+        square = sum(((F.col(f"a_{x}") - F.col(f"b_{x}")) * (F.col(f"a_{x}") - F.col(f"b_{x}")) for x in xs), F.lit(0.0))
+        near = measured.where(square <= cut * cut).select(*key).distinct()
+        settled = cut_lineage(sure.unionByName(near).distinct(), "cell_links")
+        found.append(settled)
+        wide = unsure.where(F.col("a_n") * F.col("b_n") > DIRECT).join(settled, key, "left_anti")
+        if wide.isEmpty():
+            break
+        halves = wide.select(*key, *[f"{s}_{p}" for s in "ab" for p in parts])
+        for s in "ab":
+            for p in parts:
+                halves = halves.withColumn(f"{s}_{p}", F.explode(F.array(F.col(f"{s}_{p}") * 2, F.col(f"{s}_{p}") * 2 + 1)))
+        open_pairs = cut_lineage(halves, "open_pairs")
+    links = union(found).distinct()
+    return cut_lineage(links.unionByName(links.select("ensemble_id", F.col("other").alias("node"), F.col("node").alias("other"))), "links")
 
 
 def centroid_distances(labelled: DataFrame, features: list[str]) -> DataFrame:

@@ -17,12 +17,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ensemblage.functions import constants as K
 from ensemblage.functions.scalars import named
+from ensemblage.operators.groups import SpreadGroups, TaskGroups, plan_groups
 from ensemblage.session import cut_lineage
 
 MEMBER = ["ensemble_id", "conf_idx"]
 MOMENT_TOLERANCE = 0.01
 RMSD_TOLERANCE = 0.25
 ENERGY_GATE_KCAL = 0.5
+#: Conformers of an ensemble that one task walks through; larger ensembles go through rounds.
+WALK_ROWS = 20_000
 
 
 def eigenvalues(xx: Column, yy: Column, zz: Column, xy: Column, xz: Column, yz: Column) -> list[Column]:
@@ -79,19 +82,64 @@ def neighbour_cells(cells: list[str]) -> Column:
     return F.array(*[F.struct(*[(F.col(c) + s).alias(c) for c, s in zip(cells, step)]) for step in steps])
 
 
+#: Says which of the rows ``others`` of a frame are duplicates of its row ``kept``.
+Same = Callable[[pd.DataFrame, int, np.ndarray], np.ndarray]
+
+
 def greedy_duplicates(
     points: DataFrame,
     coordinates: list[Column],
     width: float,
     keep_same: Callable[[DataFrame], DataFrame],
     payload: list[str],
+    same: Same,
     max_rounds: int = 100_000,
 ) -> DataFrame:
     """Walk each ensemble by energy (unknown last), then index; drop whoever has a kept duplicate before them.
 
-    ``points`` has ``energy_kcal`` and the ``payload`` columns; ``keep_same`` reduces candidate rows, with
-    the kept conformer's payload as ``kept_*``, to the true duplicates. Duplicates must be at most ``width``
-    apart in every coordinate. Gives ``kept_idx`` per conformer, its own index where it is kept.
+    ``points`` has ``energy_kcal`` and the ``payload`` columns. Gives ``kept_idx`` per conformer, its own index
+    where it is kept. An ensemble of up to ``WALK_ROWS`` conformers is walked through by one task, which compares
+    each kept conformer with all that come after it at once (``same``), however many of them differ. Larger
+    ensembles go through rounds, in which ``keep_same`` reduces candidate rows.
+    """
+    points = points.select(*MEMBER, "energy_kcal", *[p for p in payload if p != "energy_kcal"])
+    schema = "ensemble_id {0}, conf_idx {1}, kept_idx {1}".format(*[points.schema[c].dataType.simpleString() for c in MEMBER])
+
+    def walk(frame: pd.DataFrame) -> pd.DataFrame:
+        energy, index = frame["energy_kcal"].to_numpy(float, na_value=np.nan), frame["conf_idx"].to_numpy()
+        order = np.lexsort((index, energy, np.isnan(energy)))
+        kept = np.full(len(frame), -1)
+        for at, row in enumerate(order):
+            if kept[row] >= 0:
+                continue
+            kept[row] = row
+            later = order[at + 1 :]
+            later = later[kept[later] < 0]
+            if len(later):
+                kept[later[same(frame, row, later)]] = row
+        return pd.DataFrame({"ensemble_id": frame["ensemble_id"], "conf_idx": index, "kept_idx": index[kept]})
+
+    def step(rows: DataFrame, groups: TaskGroups | SpreadGroups) -> DataFrame:
+        if isinstance(groups, TaskGroups):
+            return rows.groupBy("ensemble_id").applyInPandas(walk, schema)
+        return _in_rounds(rows, coordinates, width, keep_same, payload, max_rounds)
+
+    return plan_groups(points, ("ensemble_id",), WALK_ROWS).apply(points, step)
+
+
+def _gate(frame: pd.DataFrame, kept: int, others: np.ndarray, max_gap_kcal: float | None) -> np.ndarray:
+    if max_gap_kcal is None:
+        return np.ones(len(others), bool)
+    energy = frame["energy_kcal"].to_numpy(float, na_value=np.nan)
+    gap = np.abs(energy[others] - energy[kept])
+    return np.isnan(gap) | (gap <= max_gap_kcal)
+
+
+def _in_rounds(
+    points: DataFrame, coordinates: list[Column], width: float, keep_same: Callable[[DataFrame], DataFrame], payload: list[str], max_rounds: int,
+) -> DataFrame:
+    """The walk for large ensembles. Duplicates must be at most ``width`` apart in every coordinate, and ``keep_same``
+    gets candidate rows with the kept conformer's payload as ``kept_*``.
 
     In a round the first undecided conformer of each cell looks at the surrounding cells: if it comes
     before everyone there it is kept, and its duplicates there are dropped. Two conformers kept in one
@@ -156,13 +204,20 @@ def moment_duplicates(points: DataFrame, tolerance: float = MOMENT_TOLERANCE, ma
     logs = [f"log_{n}" for n in names]
     points = points.withColumns({f"log_{n}": F.log(F.greatest(F.col(n), F.lit(1e-9))) for n in names})
 
-    def same(candidates: DataFrame) -> DataFrame:
+    def same_rows(candidates: DataFrame) -> DataFrame:
         near = energy_gate(max_gap_kcal)
         for name in logs:
             near = near & (F.abs(F.col(name) - F.col(f"kept_{name}")) <= width)
         return candidates.where(near)
 
-    return greedy_duplicates(points, [F.col(n) for n in logs], width, same, ["energy_kcal", *logs])
+    def same(frame: pd.DataFrame, kept: int, others: np.ndarray) -> np.ndarray:
+        near = _gate(frame, kept, others, max_gap_kcal)
+        for name in logs:
+            values = frame[name].to_numpy()
+            near &= np.abs(values[others] - values[kept]) <= width
+        return near
+
+    return greedy_duplicates(points, [F.col(n) for n in logs], width, same_rows, ["energy_kcal", *logs], same)
 
 
 def coordinate_lists(atoms: DataFrame) -> DataFrame:
@@ -200,7 +255,7 @@ def rmsd_duplicates(points: DataFrame, tolerance: float = RMSD_TOLERANCE, max_ga
     """
     spread = ["spread_a", "spread_b", "spread_c"]
 
-    def same(candidates: DataFrame) -> DataFrame:
+    def same_rows(candidates: DataFrame) -> DataFrame:
         matching = candidates.where(energy_gate(max_gap_kcal) & (F.col("formula") == F.col("kept_formula")))
         wanted = matching.select(*MEMBER, "kept_idx", "kept_place", "xyz", "kept_xyz")
         schema = wanted.drop("xyz", "kept_xyz").schema
@@ -220,8 +275,20 @@ def rmsd_duplicates(points: DataFrame, tolerance: float = RMSD_TOLERANCE, max_ga
                 *[schema[c].dataType.simpleString() for c in ("ensemble_id", "conf_idx", "kept_idx")])
         ).withColumn("kept_place", F.from_json("kept_place", schema["kept_place"].dataType))
 
+    def same(frame: pd.DataFrame, kept: int, others: np.ndarray) -> np.ndarray:
+        near = _gate(frame, kept, others, max_gap_kcal) & (frame["formula"].to_numpy()[others] == frame["formula"].iloc[kept])
+        for name in spread:
+            values = frame[name].to_numpy()
+            near &= np.abs(values[others] - values[kept]) <= tolerance * (1 + 1e-9)
+        rows = np.flatnonzero(near)
+        if len(rows):
+            shapes = np.stack(frame["xyz"].iloc[others[rows]].to_numpy()).reshape(len(rows), -1, 3)
+            one = np.asarray(frame["xyz"].iloc[kept], float).reshape(1, -1, 3)
+            near[rows] = superposed_rmsd(shapes, np.broadcast_to(one, shapes.shape)) <= tolerance
+        return near
+
     return greedy_duplicates(
-        points, [F.col(s) for s in spread], tolerance * (1 + 1e-9), same, ["energy_kcal", "xyz", "formula"] + spread
+        points, [F.col(s) for s in spread], tolerance * (1 + 1e-9), same_rows, ["energy_kcal", "xyz", "formula"] + spread, same
     )
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ensemblage.operators import clustering, geometry
+from ensemblage.functions import constants as K
+from ensemblage.operators import clustering, geometry, screen
 from ensemblage.plans.adapters import Given
 from ensemblage.plans.catalog import register
 from ensemblage.plans.oracle import r6, with_ctes
@@ -47,7 +48,26 @@ def descriptor(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(*MEMBER, *[F.round(f"moment_{n}", 3).alias(f"moment_{n}") for n in "abc"])
 
 
-@register("scr_moi_pairs")
+SAME_MOMENTS = " AND ".join(
+    ["(m.energy_kcal IS NULL OR k.e IS NULL OR abs(m.energy_kcal - k.e) <= 2.0)", *[f"abs(m.{x} - k.{x}) <= -ln(1 - 0.2::DOUBLE)" for x in "abc"]])
+WALK = {
+    **tensor_sql(),
+    "ordered": """
+        SELECT ensemble_id, conf_idx, energy_kcal, ln(greatest(low, 1e-9)) AS a, ln(greatest(mid, 1e-9)) AS b, ln(greatest(high, 1e-9)) AS c,
+               row_number() OVER (PARTITION BY ensemble_id ORDER BY energy_kcal IS NULL, energy_kcal, conf_idx) AS pos
+        FROM conformers_all JOIN eigen USING (ensemble_id, conf_idx)""",
+    "walk": f"""
+        SELECT ensemble_id, pos, conf_idx, conf_idx AS kept_idx, [struct_pack(i := conf_idx, e := energy_kcal, a := a, b := b, c := c)] AS kept
+        FROM ordered WHERE pos = 1
+        UNION ALL
+        SELECT ensemble_id, pos, conf_idx, coalesce(hit, conf_idx),
+               CASE WHEN hit IS NULL THEN list_append(kept, struct_pack(i := conf_idx, e := energy_kcal, a := a, b := b, c := c)) ELSE kept END
+        FROM (SELECT m.*, w.kept, list_filter(w.kept, lambda k: {SAME_MOMENTS})[1].i AS hit
+              FROM walk w JOIN ordered m ON m.ensemble_id = w.ensemble_id AND m.pos = w.pos + 1)""",
+}
+
+
+@register("scr_moi_pairs", with_ctes("SELECT ensemble_id, conf_idx, kept_idx FROM walk WHERE kept_idx <> conf_idx", WALK))
 def moment_pairs(spark: SparkSession, folder: str) -> DataFrame:
     given = Given(spark, folder)
     points = given.conformers(all_energies=True).join(geometry.moments(given.coordinates()), MEMBER)
@@ -82,29 +102,35 @@ def kmeans_auto(spark: SparkSession, folder: str) -> DataFrame:
     return clustering.kmeans_auto(points, 64, 3).select(*MEMBER, "label", "k", F.round("distance", 6).alias("distance"))
 
 
-CELLS = {
-    "placed": """
-        SELECT c_nationkey AS ensemble_id, c_custkey AS conf_idx, floor(round(c_acctbal / 1000, 3) / 0.4)::BIGINT AS a,
-               floor(length(c_mktsegment) / 0.4)::BIGINT AS b FROM customer""",
-    "cells": "SELECT ensemble_id, a, b, count(*) AS n, min(conf_idx) AS node FROM placed GROUP BY ALL",
+NEAR = "(a.u - b.u) * (a.u - b.u) + (a.v - b.v) * (a.v - b.v) <= 0.4 * 0.4"
+REACHED = {
+    "spots": """
+        SELECT c_nationkey AS ensemble_id, c_custkey AS conf_idx, round(c_acctbal / 1000, 3) AS u, length(c_mktsegment)::DOUBLE AS v
+        FROM customer""",
+    "cores": f"""
+        SELECT a.* FROM spots a JOIN spots b ON a.ensemble_id = b.ensemble_id AND {NEAR}
+        GROUP BY ALL HAVING count(*) >= MIN""",
+    "core_links": f"""
+        SELECT a.ensemble_id, a.conf_idx, b.conf_idx AS other FROM cores a JOIN cores b ON a.ensemble_id = b.ensemble_id AND {NEAR}""",
     "reach": """
-        SELECT ensemble_id, a, b, node AS label FROM cells WHERE n >= MIN
+        SELECT ensemble_id, conf_idx, conf_idx AS label FROM cores
         UNION
-        SELECT c.ensemble_id, c.a, c.b, r.label FROM reach r JOIN cells c
-          ON c.ensemble_id = r.ensemble_id AND abs(c.a - r.a) <= 1 AND abs(c.b - r.b) <= 1 AND c.n >= MIN""",
-    "named": "SELECT ensemble_id, a, b, min(label) AS label FROM reach GROUP BY ensemble_id, a, b",
-    "bordered": """
-        SELECT c.ensemble_id, c.a, c.b, min(n.label) AS label FROM cells c JOIN named n
-          ON c.ensemble_id = n.ensemble_id AND abs(c.a - n.a) <= 1 AND abs(c.b - n.b) <= 1 AND c.n < MIN
-        GROUP BY c.ensemble_id, c.a, c.b""",
+        SELECT l.ensemble_id, l.other, r.label FROM reach r JOIN core_links l USING (ensemble_id, conf_idx)""",
+    "named": "SELECT ensemble_id, conf_idx, min(label) AS label FROM reach GROUP BY ensemble_id, conf_idx",
+    "bordered": f"""
+        SELECT a.ensemble_id, a.conf_idx, min(n.label) AS label FROM spots a JOIN cores b ON a.ensemble_id = b.ensemble_id AND {NEAR}
+        JOIN named n ON n.ensemble_id = b.ensemble_id AND n.conf_idx = b.conf_idx
+        WHERE NOT EXISTS (SELECT 1 FROM cores c WHERE c.ensemble_id = a.ensemble_id AND c.conf_idx = a.conf_idx)
+        GROUP BY a.ensemble_id, a.conf_idx""",
 }
 
 
 def cluster_sql(min_members: int) -> str:
+    """Labels by real distances and reachability, member by member."""
     body = """
-        SELECT ensemble_id, conf_idx, coalesce(n.label, x.label) AS label FROM placed p
-        LEFT JOIN named n USING (ensemble_id, a, b) LEFT JOIN bordered x USING (ensemble_id, a, b)"""
-    return with_ctes(body, {k: v.replace("MIN", str(min_members)) for k, v in CELLS.items()})
+        SELECT ensemble_id, conf_idx, coalesce(n.label, x.label, conf_idx) AS label FROM spots
+        LEFT JOIN named n USING (ensemble_id, conf_idx) LEFT JOIN bordered x USING (ensemble_id, conf_idx)"""
+    return with_ctes(body, {k: v.replace("MIN", str(min_members)) for k, v in REACHED.items()})
 
 
 @register("scr_cluster_threshold", cluster_sql(1))
@@ -117,3 +143,26 @@ def linkage(spark: SparkSession, folder: str) -> DataFrame:
 def density(spark: SparkSession, folder: str) -> DataFrame:
     points = Given(spark, folder).descriptors()
     return clustering.threshold_clusters(points, ["u", "v"], 0.4, 3).select(*MEMBER, "label")
+
+
+@register("scr_cluster_pipeline", with_ctes(f"""
+    SELECT ensemble_id, conf_idx, accepted, reason AS rejected_reason FROM (
+        SELECT s.*, CASE WHEN NOT inside THEN '{K.REASON_WINDOW}' WHEN NOT accepted THEN '{K.REASON_CLUSTER}' END AS reason FROM (
+            SELECT w.*, inside AND (NOT screened OR conf_idx = centre) AS accepted FROM sized w LEFT JOIN centres USING (ensemble_id, label)) s)""",
+    {**{k: v.replace("MIN", "1") for k, v in REACHED.items()},
+     "labelled": "SELECT s.*, n.label FROM spots s JOIN named n USING (ensemble_id, conf_idx)",
+     "far": """
+        SELECT *, round(sqrt((u - avg(u) OVER c) * (u - avg(u) OVER c) + (v - avg(v) OVER c) * (v - avg(v) OVER c)), 6) AS distance
+        FROM labelled WINDOW c AS (PARTITION BY ensemble_id, label)""",
+     "windowed": """
+        SELECT f.*, c_acctbal AS energy, c_acctbal - min(c_acctbal) OVER (PARTITION BY ensemble_id) <= 9000 AS inside
+        FROM far f JOIN customer ON c_custkey = conf_idx""",
+     "sized": "SELECT *, count(*) FILTER (inside) OVER (PARTITION BY ensemble_id) >= 3 AS screened FROM windowed",
+     "centres": "SELECT ensemble_id, label, arg_min(conf_idx, (distance, energy, conf_idx)) AS centre FROM sized WHERE inside AND screened GROUP BY ALL"}))
+def cluster_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Points to clusters by distance, their members' distances to the mean, and the screen that keeps one of each."""
+    points = Given(spark, folder).descriptors()
+    labelled = clustering.threshold_clusters(points, ["u", "v"], 0.4)
+    distances = clustering.centroid_distances(labelled, ["u", "v"]).withColumn("distance", F.round("distance", 6))
+    screened = screen.cluster_screen(points.select(*MEMBER, "energy_kcal"), distances, 9000.0)
+    return screened.select(*MEMBER, "accepted", "rejected_reason")
