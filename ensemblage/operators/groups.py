@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -56,10 +57,12 @@ class SpreadGroups:
 
     keys: tuple[str, ...]
     oversized: DataFrame | None = None
+    ranges: int = 0
 
     def with_aggs(self, df: DataFrame, **aggs: Column) -> DataFrame:
         stats = df.groupBy(*self.keys).agg(*[agg.alias(name) for name, agg in aggs.items()])
-        return df.join(F.broadcast(stats), list(self.keys), "left")
+        renamed = stats.select(*[F.col(k).alias(f"_of_{k}") for k in self.keys], *aggs)
+        return df.join(F.broadcast(renamed), _same(df, renamed, self.keys), "left").drop(*[f"_of_{k}" for k in self.keys])
 
     def attach(self, df: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
         """Join a table that has one row per key, of which only the oversized keys are broadcast."""
@@ -68,8 +71,8 @@ class SpreadGroups:
         return df.join(F.broadcast(table), list(self.keys), how)
 
     def _ranged(self, df: DataFrame, order: Sequence[Column]) -> DataFrame:
-        # Written out so that both readers see the same range bounds.
-        parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        # Written out so that both readers see the same range bounds; no range holds much more than a task may.
+        parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), self.ranges)
         ranged = df.repartitionByRange(parts, *[F.col(k) for k in self.keys], *order)
         return cut_lineage(ranged.withColumn("_range", F.spark_partition_id()), "ranged")
 
@@ -126,22 +129,29 @@ class GroupPlan:
 
     keys: tuple[str, ...]
     oversized: DataFrame | None
+    ranges: int = 0
 
     def apply(self, df: DataFrame, step: Callable[[DataFrame, TaskGroups | SpreadGroups], DataFrame]) -> DataFrame:
         """Run ``step`` on the ordinary groups and, where there are any, on the oversized ones."""
-        keys = list(self.keys)
         if self.oversized is None:
             return step(df, TaskGroups(self.keys))
-        oversized = F.broadcast(self.oversized)
-        usual = step(df.join(oversized, keys, "left_anti"), TaskGroups(self.keys))
-        spread = step(df.join(oversized, keys, "left_semi"), SpreadGroups(self.keys, self.oversized))
+        renamed = self.oversized.select(*[F.col(k).alias(f"_of_{k}") for k in self.keys])
+        oversized, same = F.broadcast(renamed), _same(df, renamed, self.keys)
+        usual = step(df.join(oversized, same, "left_anti"), TaskGroups(self.keys))
+        spread = step(df.join(oversized, same, "left_semi"), SpreadGroups(self.keys, self.oversized, self.ranges))
         return usual.unionByName(spread)
 
 
+def _same(df: DataFrame, renamed: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal keys, where NULL equals NULL: a large group may be the one without a key."""
+    return reduce(lambda a, b: a & b, [df[k].eqNullSafe(renamed[f"_of_{k}"]) for k in keys])
+
+
 def plan_groups(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> GroupPlan:
     """Count rows per key (a scan of the key columns only) and list the keys beyond ``limit``."""
     limit = group_limit(df.sparkSession) if limit is None else limit
-    oversized = df.groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
-    if oversized.isEmpty():
+    oversized = cut_lineage(df.groupBy(*keys).count().where(F.col("count") > limit), "oversized")
+    rows = oversized.agg(F.sum("count")).first()[0]
+    if rows is None:
         return GroupPlan(tuple(keys), None)
-    return GroupPlan(tuple(keys), cut_lineage(oversized, "oversized"))
+    return GroupPlan(tuple(keys), oversized.select(*keys), -(-rows // limit))

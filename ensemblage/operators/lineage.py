@@ -7,14 +7,16 @@ from pyspark.sql import DataFrame, functions as F
 from ensemblage.session import cut_lineage
 
 
-def upstream_chain(runs: DataFrame, max_rounds: int = 64) -> DataFrame:
+def upstream_chain(runs: DataFrame) -> DataFrame:
     """Per run: depth, root, and the nearest failed ancestor with its distance.
 
     ``runs`` has ``run``, ``upstream`` (NULL or unknown for a root) and ``ok``. Pointer doubling: a round
     doubles how far each run has looked, so a chain of length n takes log2(n) joins, and only runs that
-    still look are joined. A loop among the runs is an error.
+    still look are joined. No chain without a loop is longer than the number of runs; runs that look further than
+    that are in a loop or behind one: ``in_loop`` is true, and they have no depth and no root.
     """
     runs = runs.select("run", "upstream", "ok")
+    rounds = max(runs.count(), 1).bit_length() + 1
     known = runs.select(F.col("run").alias("upstream"), F.col("ok").alias("up_ok"))
     start = runs.join(known, "upstream", "left").select(
         "run",
@@ -25,7 +27,7 @@ def upstream_chain(runs: DataFrame, max_rounds: int = 64) -> DataFrame:
         F.when(F.col("up_ok").isNotNull(), F.col("upstream")).otherwise(F.col("run")).alias("root"),
     )
     state = cut_lineage(start, "chain")
-    for _ in range(max_rounds):
+    for _ in range(rounds):
         jump = state.select(
             F.col("run").alias("ahead"), F.col("ahead").alias("next"), F.col("depth").alias("more"),
             F.col("failed").alias("next_failed"), F.col("failed_depth").alias("next_failed_depth"), F.col("root").alias("next_root"),
@@ -33,7 +35,7 @@ def upstream_chain(runs: DataFrame, max_rounds: int = 64) -> DataFrame:
         looking = state.where(F.col("ahead").isNotNull())
         done = state.where(F.col("ahead").isNull())
         if looking.isEmpty():
-            return state.drop("ahead")
+            break
         moved = looking.join(jump, "ahead").select(
             "run", F.col("next").alias("ahead"), (F.col("depth") + F.col("more")).alias("depth"),
             F.coalesce("failed", "next_failed").alias("failed"),
@@ -41,7 +43,11 @@ def upstream_chain(runs: DataFrame, max_rounds: int = 64) -> DataFrame:
             F.col("next_root").alias("root"),
         )
         state = cut_lineage(done.unionByName(moved), "chain", replaces=state)
-    raise RuntimeError("the runs form a loop")
+    lost = F.col("ahead").isNotNull()
+    return state.select(
+        "run", F.when(~lost, F.col("depth")).alias("depth"), "failed", "failed_depth", F.when(~lost, F.col("root")).alias("root"),
+        lost.alias("in_loop"),
+    )
 
 
 def hash_drift(recorded: DataFrame, contents: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ensemblage.functions import constants as K
 from ensemblage.operators.thermo import standard_state_shift
@@ -66,7 +66,7 @@ def thermo_summary(df: DataFrame, standard_state: str, temperature_k: float) ->
         F.count("*").alias("n_conformers"), F.count("g_composite_eh").alias("n_with_G"), F.min("g_composite_eh").alias("Gmin_eh")
     )
     fields = (
-        F.col("n_conformers"), F.col("n_with_G"), F.round("Gmin_eh", 6).alias("Gmin_eh"), F.lit(temperature_k).alias("temperature_k"),
+        F.col("n_conformers"), F.col("n_with_G"), F.col("Gmin_eh"), F.lit(temperature_k).alias("temperature_k"),
         F.lit(standard_state).alias("standard_state"), F.lit(shift).alias("std_state_corr_kcal"),
     )
     return counts.select("ensemble_id", F.to_json(F.struct(*fields)).alias("summary"))
@@ -87,7 +87,16 @@ def write_table(df: DataFrame, path: str, order: list[str], file_format: str = "
 
 
 def write_lines(df: DataFrame, path: str, order: list[str], line: str = "text", separator: str = "\n") -> None:
-    """Write one text column, sorted by ensemble and ``order``; frames that end in a newline take no separator of their own."""
+    """Write one text column below ``path``, a folder per ensemble, sorted by ``order``.
+
+    Frames that end in a newline take no separator of their own. A large ensemble spans several files, whose names
+    are in order; ``read_lines`` gives the ensemble with each line.
+    """
     keys = ["ensemble_id", *order]
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    ranged.select(line).write.mode("overwrite").option("lineSep", separator).text(path)
+    ranged.select("ensemble_id", line).write.mode("overwrite").partitionBy("ensemble_id").option("lineSep", separator).text(path)
+
+
+def read_lines(spark: SparkSession, path: str, separator: str = "\n") -> DataFrame:
+    """``ensemble_id`` and ``text`` of what ``write_lines`` wrote."""
+    return spark.read.option("lineSep", separator).text(path).select("ensemble_id", F.col("value").alias("text"))

@@ -56,7 +56,9 @@ def stream_progress(events: DataFrame, sizes: DataFrame, folder: str | None = No
         _append(f"{folder}/states")(batch, batch_id)
         session = batch.sparkSession
         counts = monitor.progress(read_states(session, folder), sizes)
-        snapshot = counts.join(batch.select("job_id").distinct(), "job_id", "left_semi")
+        # what was just written, so that the stateful step isn't run again
+        touched = session.read.parquet(f"{folder}/states/batch={batch_id}").select("job_id").distinct()
+        snapshot = counts.join(touched, "job_id", "left_semi")
         snapshot.write.mode("overwrite").parquet(f"{folder}/snapshots/batch={batch_id}")
 
     _run(monitor.task_states(events), work, f"{folder}/_progress")
@@ -80,15 +82,17 @@ def stream_timeouts(events: DataFrame, sizes: DataFrame, limit_minutes: int, fol
     return monitor.timeouts(span, counts, F.lit(clock), limit_minutes)
 
 
-def stream_windows(events: DataFrame, width: str = "1 day", lateness: str = "1 day", folder: str | None = None) -> DataFrame:
-    """Signals per job and time window; windows older than the lateness leave the state."""
+def stream_windows(events: DataFrame, width: str = "1 day", folder: str | None = None) -> DataFrame:
+    """Signals per job and time window. Each batch writes its own counts, which are summed when read.
+
+    No event comes too late and no state is kept; a replayed batch overwrites its counts.
+    """
     spark = events.sparkSession
     folder = folder or scratch_path(spark, "windows")
-    counted = (
-        events.withWatermark("ts", lateness).groupBy("job_id", F.window("ts", width).alias("w"), "signal")
-        .agg(F.count("*").alias("n"))
-    )
-    flat = counted.select("job_id", F.col("w.start").alias("window_start"), "signal", "n")
-    _run(flat, _append(f"{folder}/windows"), f"{folder}/_windows")
-    updates = spark.read.parquet(f"{folder}/windows")
-    return updates.groupBy("job_id", "window_start", "signal").agg(F.max("n").alias("n"))
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        counted = batch.groupBy("job_id", F.window("ts", width).alias("w"), "signal").agg(F.count("*").alias("n"))
+        _append(f"{folder}/windows")(counted.select("job_id", F.col("w.start").alias("window_start"), "signal", "n"), batch_id)
+
+    _run(events, work, f"{folder}/_windows")
+    return spark.read.parquet(f"{folder}/windows").groupBy("job_id", "window_start", "signal").agg(F.sum("n").alias("n"))

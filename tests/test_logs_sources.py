@@ -191,7 +191,19 @@ def test_written_tables_read_back(spark, tmp_path):
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
     frames = df.select("ensemble_id", "conf_idx", F.lit("1\nc\nH 0 0 0").alias("text"))
     sinks.write_lines(sinks.ensemble_frames(frames), str(tmp_path / "x"), ["conf_idx"], separator="\n")
-    assert sum(1 for _ in spark.read.text(str(tmp_path / "x")).where("value <> ''").collect()) == 9
+    back = sinks.read_lines(spark, str(tmp_path / "x")).where("text <> ''").groupBy("ensemble_id").count().collect()
+    assert {r.ensemble_id: r["count"] for r in back} == {"a": 6, "b": 3}
+
+
+def test_manifests_keep_unreadable_texts_and_custom_buckets(spark):
+    texts = ['{"ok":true,"artifacts":{"plots":[{"path":"/p.png","dpi":300},"/q.png"],"array":{"n_tasks":2}},"failures":[{"error":"x","step":1},"y",5]}', "{", "[1]"]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "manifest_path string, text string")
+    read = documents.manifests(df)
+    assert [(r.ok, r.problem) for r in read.orderBy("manifest_path").collect()] == [(True, None), (None, "not_json"), (None, "not_an_object")]
+    listed = documents.artifacts(read).orderBy("pos").collect()
+    assert [(r.bucket, r.path_abs, r.extra) for r in listed] == [("plots", "/p.png", {"dpi": "300"}), ("plots", "/q.png", None)]
+    failed = documents.failures(read).orderBy("pos").collect()
+    assert [(r.pos, r.error, r.extra) for r in failed] == [(0, "x", {"step": "1"}), (1, "y", None), (2, None, None)]
 
 
 def test_energy_lines(spark):

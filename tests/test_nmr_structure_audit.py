@@ -138,9 +138,9 @@ def test_chain_and_loop(spark):
     df = spark.createDataFrame(rows, "run string, upstream string, ok boolean")
     got = {r.run: (r.depth, r.root, r.failed, r.failed_depth) for r in lineage.upstream_chain(df).collect()}
     assert got["r8"] == (8, "r0", "r2", 6) and got["r2"] == (2, "r0", None, None) and got["s"] == (0, "s", None, None)
-    loop = spark.createDataFrame([("a", "b", True), ("b", "a", True)], df.schema)
-    with pytest.raises(RuntimeError):
-        lineage.upstream_chain(loop, max_rounds=5)
+    loop = spark.createDataFrame([("a", "b", True), ("b", "a", True), ("c", "a", True), ("d", None, True), ("e", "d", True)], df.schema)
+    found = {r.run: (r.in_loop, r.depth, r.root) for r in lineage.upstream_chain(loop).collect()}
+    assert found == {"a": (True, None, None), "b": (True, None, None), "c": (True, None, None), "d": (False, 0, "d"), "e": (False, 1, "d")}
 
 
 GOOD = {

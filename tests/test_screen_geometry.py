@@ -61,6 +61,30 @@ def test_incomplete_mask_accepts_all_and_small_ensembles_bypass(spark):
     assert [(r.ensemble_id, r.n_input, r.n_mask) for r in failed] == [("m", 3, 2)]
 
 
+def test_masks_that_are_too_long_accept_all(spark):
+    df = conformers(spark, [0.0, 1.0, 2.0])
+    rows = [("m", 1, False), ("m", 2, True), ("m", 3, False)]
+    for more in ([("m", 4, True)], [("m", 1, False)]):
+        mask = spark.createDataFrame(rows + more, "ensemble_id string, conf_idx int, accepted boolean")
+        got = screen.geometric_screen(df, mask, 5.0).collect()
+        assert len(got) == 3 and all(r.accepted and not r.mask_ok for r in got)
+        assert [(r.n_input, r.n_mask) for r in screen.mask_failures(df, mask).collect()] == [(3, 4)]
+    small = conformers(spark, [0.0, 1.0])
+    assert screen.mask_failures(small, mask).count() == 0
+
+
+def test_required_energies_and_labels(spark):
+    df = conformers(spark, [0.0, None, 2.0])
+    mask = spark.createDataFrame([("m", i, True) for i in (1, 2, 3)], "ensemble_id string, conf_idx int, accepted boolean")
+    labels = spark.createDataFrame([("m", i, 1, 0.1 * i) for i in (1, 2, 3)], "ensemble_id string, conf_idx int, label int, distance double")
+    for got in (screen.geometric_screen(df, mask, 5.0, "true").collect(), screen.cluster_screen(df, labels, 5.0, "true").collect()):
+        assert [(r.accepted, r.rejected_reason) for r in got] == [(False, "use_energies_required_but_unavailable")] * 3
+    missing = labels.where("conf_idx <> 2")
+    got = screen.cluster_screen(df, missing, 5.0).orderBy("conf_idx").collect()
+    assert [(r.accepted, r.cluster_id) for r in got] == [(True, 0), (True, 1), (True, 2)]
+    assert [(r.n_labelled, r.n_input) for r in screen.label_failures(df, missing).collect()] == [(2, 3)]
+
+
 def test_clusters_keep_one_centre(spark):
     df = conformers(spark, [0.0, 1.0, 2.0, 3.0, 50.0])
     labels = spark.createDataFrame(
@@ -189,11 +213,27 @@ def test_threshold_clusters_match_brute_force(spark):
     rows = [(i % 3, i, draw.random() * 12, draw.random() * 12) for i in range(150)]
     df = spark.createDataFrame(rows, "ensemble_id int, conf_idx int, u double, v double")
     got = {(r.ensemble_id, r.conf_idx): r.label for r in clustering.threshold_clusters(df, ["u", "v"], 1.0).collect()}
-    cell = {(e, i): (e, int(u), int(v)) for e, i, u, v in rows}
-    label = {k: k[1] for k in cell}
+    assert got == linked_by_distance(rows, 1.0, 1)
+    dense = {(r.ensemble_id, r.conf_idx): r.label for r in clustering.threshold_clusters(df, ["u", "v"], 1.0, 4).collect()}
+    assert dense == linked_by_distance(rows, 1.0, 4)
+    assert len(set(dense.values())) > len(set(got.values()))
+
+
+def linked_by_distance(rows, cut, min_members):
+    """Cores, what reaches them, and the rest, by comparing every two members of an ensemble."""
+    near = {(e, i): {(f, j) for f, j, a, b in rows if f == e and (a - u) ** 2 + (b - v) ** 2 <= cut * cut} for e, i, u, v in rows}
+    cores = {k for k, around in near.items() if len(around) >= min_members}
+    label = {k: k[1] for k in cores}
     for _ in range(len(rows)):
-        label = {
-            k: min(label[o] for o in cell if o[0] == k[0] and abs(cell[o][1] - cell[k][1]) <= 1 and abs(cell[o][2] - cell[k][2]) <= 1)
-            for k in cell
-        }
-    assert got == label
+        label = {k: min(label[o] for o in near[k] & cores) for k in cores}
+    return {k: label[k] if k in cores else min((label[o] for o in near[k] & cores), default=k[1]) for k in near}
+
+
+def test_full_cells_are_halved_until_settled(spark, monkeypatch):
+    monkeypatch.setattr(clustering, "DIRECT", 4)
+    draw = random.Random(8)
+    rows = [(0, i, 5 * (i % 2) * 0.31 + draw.random() * 0.7, draw.random() * 0.7) for i in range(60)] + [(0, 60 + i, 2.0, 0.1) for i in range(40)]
+    df = spark.createDataFrame(rows, "ensemble_id int, conf_idx int, u double, v double")
+    for cut in (0.3, 0.86, 1.0):
+        got = {(r.ensemble_id, r.conf_idx): r.label for r in clustering.threshold_clusters(df, ["u", "v"], cut).collect()}
+        assert got == linked_by_distance(rows, cut, 1)

@@ -58,6 +58,17 @@ def test_windows_count_signals(spark, tmp_path):
         ("b", 1, "extra.out", 1), ("b", 3, "done_success", 1), ("b", 3, "started", 1)]
 
 
+def test_windows_lose_nothing_over_unordered_batches(spark, tmp_path):
+    events, folder = str(tmp_path / "events"), str(tmp_path / "state")
+    rows = FIRST + LATER
+    for start in range(0, len(rows), 2):  # the latest first, each pair in its own run
+        write(spark, events, rows[::-1][start : start + 2])
+        got = streams.stream_windows(spark.readStream.schema(SCHEMA).parquet(events), folder=folder)
+    whole = spark.read.schema(SCHEMA).parquet(events)
+    want = whole.groupBy("job_id", F.date_trunc("day", "ts").alias("day"), "signal").count()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_blocks_of_a_log(spark):
     text = "head\nNucleus A: 1\nx\nNUCLEUS A = 2\r\ny\nz"
     df = spark.createDataFrame([("m", 1, "f", text), ("m", 2, "f", "Nucleus A: 1\nx")], "ensemble_id string, task_idx int, file_name string, content string")
