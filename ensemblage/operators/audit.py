@@ -172,7 +172,7 @@ def is_a_true(value: Column) -> Column:
 
 
 def status_with_failures(manifests: DataFrame, failures: DataFrame) -> DataFrame:
-    """A run with any failure is not ok, whatever it recorded."""
+    """A run with any failure is not ok, whatever it recorded; nor is one that can't be read."""
     counted = failures.groupBy("manifest_path").agg(F.count("*").alias("n_failures"))
     joined = manifests.select("manifest_path", "ok").join(counted, "manifest_path", "left").fillna(0, ["n_failures"])
-    return joined.withColumn("ok", F.col("ok") & (F.col("n_failures") == 0))
+    return joined.withColumn("ok", F.coalesce("ok", F.lit(False)) & (F.col("n_failures") == 0))

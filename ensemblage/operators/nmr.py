@@ -224,8 +224,13 @@ def nmr_failures(weights: DataFrame, shieldings: DataFrame, couplings: DataFrame
     )
 
 
-def nmr_summary(shifts: DataFrame, couplings: DataFrame, table: DataFrame, settings: NmrSettings = NmrSettings()) -> DataFrame:
-    """Counts per ensemble, and for each calibration whether it exists and whether a row used it."""
+def nmr_summary(
+    shifts: DataFrame, couplings: DataFrame, table: DataFrame, settings: NmrSettings = NmrSettings(), conformers: DataFrame | None = None,
+) -> DataFrame:
+    """Counts per ensemble, and for each calibration whether it exists and whether a row used it.
+
+    ``conformers`` (ensemble_id, conf_idx) are all that were to be averaged; without them their number is NULL.
+    """
     scaled_h = (F.col("element") == "H") & F.col("delta_ppm").isNotNull()
     scaled_c = (F.col("element") == "C") & F.col("delta_ppm").isNotNull()
     atoms = shifts.groupBy("ensemble_id").agg(
@@ -242,15 +247,24 @@ def nmr_summary(shifts: DataFrame, couplings: DataFrame, table: DataFrame, setti
         F.max("n_used").alias("n_with_couplings"),
     )
     joined = atoms.join(pairs, "ensemble_id", "left").fillna(0, ["n_hh_pairs", "n_hh_scaled", "n_with_couplings"])
-    joined = joined.withColumn("nucleus", F.lit("1H-1H_J")).withColumns(
+    if conformers is None:
+        joined = joined.withColumn("n_conformers_total", F.lit(None).cast("long"))
+    else:
+        totals = conformers.groupBy("ensemble_id").agg(F.count_distinct("conf_idx").alias("n_conformers_total"))
+        joined = joined.join(totals, "ensemble_id", "left")
+    nuclei = {"1H": "cal_h_found", "13C": "cal_c_found", "1H-1H_J": "cal_j_found"}
+    wanted = shifts.sparkSession.createDataFrame([(n,) for n in nuclei], "nucleus string").withColumns(
         {"functional": settings.method(), "basis": settings.basis(), "solvent": F.lit(settings.solvent)}
     )
-    return join_calibration(joined, table).select(
-        "ensemble_id", "n_atoms", "n_h_atoms", "n_with_shielding", "n_with_couplings", "n_hh_pairs",
+    # one row per nucleus
+    found = {r["nucleus"]: r["slope"] is not None for r in join_calibration(wanted, table).select("nucleus", "slope").collect()}
+    joined = joined.withColumns({name: F.lit(found[nucleus]) for nucleus, name in nuclei.items()})
+    return joined.select(
+        "ensemble_id", F.lit(settings.solvent).alias("solvent"), "n_conformers_total", "n_atoms", "n_h_atoms", "n_with_shielding", "n_with_couplings", "n_hh_pairs",
         "n_h_scaled", "n_c_scaled", "n_hh_scaled",
         (F.col("n_h_scaled") > 0).alias("cal_h_used"),
         (F.col("n_c_scaled") > 0).alias("cal_c_used"),
-        F.col("slope").isNotNull().alias("cal_j_found"),
+        "cal_h_found", "cal_c_found", "cal_j_found",
         (F.col("n_hh_scaled") > 0).alias("cal_j_used"),
     )
 

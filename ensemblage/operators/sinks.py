@@ -72,6 +72,11 @@ def thermo_summary(df: DataFrame, standard_state: str, temperature_k: float) ->
     return counts.select("ensemble_id", F.to_json(F.struct(*fields)).alias("summary"))
 
 
+def nmr_summary_json(summary: DataFrame) -> DataFrame:
+    """One JSON text per ensemble of all columns of an NMR summary."""
+    return summary.select("ensemble_id", F.to_json(F.struct(*[c for c in summary.columns if c != "ensemble_id"])).alias("summary"))
+
+
 def write_table(df: DataFrame, path: str, order: list[str], file_format: str = "csv") -> None:
     """Write sorted by ensemble and ``order``, range partitioned so that a large ensemble spans several files.
 

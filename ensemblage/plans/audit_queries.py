@@ -8,6 +8,7 @@ from ensemblage.operators import audit, lineage
 from ensemblage.plans.adapters import Given
 from ensemblage.plans.catalog import register
 from ensemblage.plans.oracle import with_ctes
+from ensemblage.sources import documents
 
 CHAIN = {
     "runs": """
@@ -61,6 +62,15 @@ def failure_status(spark: SparkSession, folder: str) -> DataFrame:
     return audit.status_with_failures(runs, audit.envelope_problems(texts))
 
 
+@register("dq_recorded_failures", """
+    SELECT '/m/' || o_orderkey AS manifest_path, CASE o_orderstatus WHEN 'O' THEN 2 ELSE 0 END::BIGINT AS n_failures, o_orderstatus = 'F' AS ok
+    FROM orders""")
+def recorded_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs by the failures that their own manifests record."""
+    read = documents.manifests(Given(spark, folder).manifest_texts())
+    return audit.status_with_failures(read, documents.failures(read))
+
+
 @register("lin_upstream_chain", with_ctes("""
     SELECT run, max(depth) AS depth, arg_max(node, depth) AS root FROM walk GROUP BY run""", CHAIN))
 def chain(spark: SparkSession, folder: str) -> DataFrame:

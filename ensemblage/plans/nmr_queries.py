@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ensemblage.operators import nmr, thermo
+from ensemblage.operators import nmr, sinks, thermo
 from ensemblage.plans.adapters import Given
 from ensemblage.plans.catalog import register
 from ensemblage.plans.oracle import r6, with_ctes
@@ -175,26 +175,40 @@ def failures(spark: SparkSession, folder: str) -> DataFrame:
 
 
 NMR_SUMMARY = with_ctes("""
-    SELECT ensemble_id, n_atoms, n_h_atoms, n_with_shielding, coalesce(n_users, 0) AS n_with_couplings,
+    SELECT ensemble_id, 'CHCl3' AS solvent, n_conformers_total, true AS cal_h_found, true AS cal_c_found,
+           n_atoms, n_h_atoms, n_with_shielding, coalesce(n_users, 0) AS n_with_couplings,
            coalesce(n_hh, 0) AS n_hh_pairs, n_h_atoms AS n_h_scaled, n_c AS n_c_scaled, coalesce(n_hh, 0) AS n_hh_scaled,
            n_h_atoms > 0 AS cal_h_used, n_c > 0 AS cal_c_used, true AS cal_j_found, coalesce(n_hh, 0) > 0 AS cal_j_used
     FROM (SELECT ensemble_id, count(*) AS n_atoms, count(*) FILTER (element = 'H') AS n_h_atoms,
                  count(*) FILTER (element = 'C') AS n_c, max(n_used) AS n_with_shielding
           FROM sigma_means GROUP BY ensemble_id)
     LEFT JOIN (SELECT ensemble_id, count(*) FILTER (hh) AS n_hh, max(n_used) AS n_users
-               FROM coupling_table GROUP BY ensemble_id) USING (ensemble_id)""")
+               FROM coupling_table GROUP BY ensemble_id) USING (ensemble_id)
+    LEFT JOIN (SELECT ensemble_id, count(DISTINCT conf_idx) AS n_conformers_total FROM weighted GROUP BY ensemble_id) USING (ensemble_id)""")
 
 
 def summary_table(spark: SparkSession, folder: str) -> DataFrame:
     given = Given(spark, folder)
     table = nmr.calibration_table(spark)
-    predicted = nmr.nmr_tables(weights(given), given.shieldings(), given.couplings(), table)
-    return nmr.nmr_summary(*predicted, table)
+    known = weights(given)
+    predicted = nmr.nmr_tables(known, given.shieldings(), given.couplings(), table)
+    return nmr.nmr_summary(*predicted, table, conformers=known)
 
 
 register("agg_nmr_summary", NMR_SUMMARY)(summary_table)
 
 
+@register("sink_nmr_summary_json", f"""
+    SELECT ensemble_id, '{{"solvent":"' || solvent || '","n_conformers_total":' || n_conformers_total || ',"n_atoms":' || n_atoms ||
+           ',"n_h_atoms":' || n_h_atoms || ',"n_with_shielding":' || n_with_shielding || ',"n_with_couplings":' || n_with_couplings ||
+           ',"n_hh_pairs":' || n_hh_pairs || ',"n_h_scaled":' || n_h_scaled || ',"n_c_scaled":' || n_c_scaled || ',"n_hh_scaled":' || n_hh_scaled ||
+           ',"cal_h_used":' || cal_h_used || ',"cal_c_used":' || cal_c_used || ',"cal_h_found":' || cal_h_found || ',"cal_c_found":' || cal_c_found ||
+           ',"cal_j_found":' || cal_j_found || ',"cal_j_used":' || cal_j_used || '}}' AS summary
+    FROM ({NMR_SUMMARY})""")
+def summary_json(spark: SparkSession, folder: str) -> DataFrame:
+    return sinks.nmr_summary_json(summary_table(spark, folder))
+
+
 @register("set_nmr_union", with_ctes("""
     SELECT *, 'nmr' AS job_kind FROM dedicated
     UNION ALL

@@ -69,6 +69,18 @@ def roster(spark: SparkSession, folder: str) -> DataFrame:
     return files.task_roster(sizes)
 
 
+@register("src_declared_roster", """
+    SELECT '/m/' || o_orderkey AS ensemble_id, unnest(range(1, CASE o_orderstatus WHEN 'F' THEN 3 WHEN 'O' THEN 5 ELSE 1 END + 1))::INTEGER AS task_idx
+    FROM orders WHERE o_orderstatus <> 'P' OR o_orderpriority NOT IN ('5-LOW', '2-HIGH')""")
+def declared_roster(spark: SparkSession, folder: str) -> DataFrame:
+    """The tasks that a manifest declares, else as many as it lists artifacts."""
+    read = documents.manifests(Given(spark, folder).manifest_texts())
+    listed = documents.artifacts(read).groupBy("manifest_path").agg(F.count("*").alias("n_listed"))
+    sizes = documents.declared_tasks(read).join(listed, "manifest_path", "left")
+    return files.task_roster(sizes.select(
+        F.col("manifest_path").alias("ensemble_id"), files.roster_size(F.col("n_tasks"), F.col("n_listed")).alias("n_tasks")))
+
+
 @register("join_missing_tasks", sql("""
     SELECT o_custkey AS ensemble_id, o_orderkey AS task_idx, 'missing_task_dir' AS error FROM orders
     WHERE o_totalprice < 20000

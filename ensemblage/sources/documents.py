@@ -105,6 +105,11 @@ def _others(item: Column, known: tuple[str, ...]) -> Column:
     return F.when(F.size(rest) > 0, rest)
 
 
+def declared_tasks(read: DataFrame) -> DataFrame:
+    """``manifest_path`` and ``n_tasks``, the size that a run's array declares; NULL where it declares none."""
+    return read.select("manifest_path", field(F.col("doc"), "$.artifacts.array.n_tasks", "int").alias("n_tasks"))
+
+
 #: Fields of an artifact that have columns of their own, under all their names.
 ARTIFACT_FIELDS = ("path_abs", "path", "path_rel", "label", "format", "sha256", "index", "rel_energy_kcal", "rel_energy")
 
