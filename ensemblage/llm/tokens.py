@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Pieces a worker remembers before it starts anew; more only saves time.
-REMEMBERED = 200_000
+REMEMBERED = 1_000_000
 #: Pieces handed to the tokenizer as one text; its results take far more memory than ids.
 AT_ONCE = 1_000
 END_ID = 0
