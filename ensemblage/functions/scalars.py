@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from ensemblage.functions import constants as K
@@ -149,7 +151,13 @@ def functional_keyword(text: Column) -> Column:
 
 
 def is_3c_composite(text: Column) -> Column:
-    return F.coalesce(text.rlike(K.COMPOSITE_3C), F.lit(False))
+    """One of the words is a composite method; hyphens join words, so a name may stand inside a longer one."""
+    words = F.split(F.lower(text), r"[^a-z0-9ω-]+")
+    return F.coalesce(F.exists(words, lambda w: any_of([F.contains(F.concat(F.lit("-"), w, F.lit("-")), F.lit(f"-{name}-")) for name in K.COMPOSITE_3C])), F.lit(False))
+
+
+def any_of(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
 
 
 def _operation_tokens(text: Column) -> Column:

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ensemblage.functions import constants as K
+from ensemblage.functions.scalars import any_of
 
 FILE = ["ensemble_id", "task_idx", "file_name"]
 NMR_FILE = r"^orca_nmr_[hcj]\.out$"
@@ -200,31 +201,35 @@ def coupling_rows(files: DataFrame) -> DataFrame:
         F.when(F.col("p.in_order"), F.col("p.elem_b")).otherwise(F.col("p.elem_a")).alias("elem_j"),
         F.filter(lines_of(F.col("p.body")), lambda line: line.rlike(candidate)).alias("lines"),
     )
-    marked = (
-        r"(?i)J\[\s*(\d+)\s*,\s*(\d+)\s*\]\s*\((" + "|".join(K.COUPLING_TERMS) + r")\).*?\biso\s*=\s*" + K.COUPLING_NUMBER
-    )
-    cross = "(?i)" + K.SPELLED_TERMS["SD/FC"]
-
     def hit(term: Column, value: Column) -> Column:
         return F.struct(term.alias("term"), value.alias("value"))
 
     def marked_hits(line: Column) -> Column:
-        groups = F.arrays_zip(*[F.regexp_extract_all(line, F.lit(marked), F.lit(g)).alias(f"g{g}") for g in (1, 2, 3, 4)])
+        """Of each mark J[i,j](term): the term, and the value after "iso" if the indices are the pair's."""
+        def one(mark: Column) -> Column:
+            indices = F.transform(F.split(F.substring_index(mark, "]", 1), ","), lambda x: whole(F.trim(x)))
+            term = F.trim(F.substring_index(F.substring_index(mark, ")", 1), "(", -1))
+            value = number(F.regexp_extract(mark, r"(?i)\biso\s*=\s*([-+.0-9eE]+)", 1))
+            mine = (F.size(indices) == 2) & (F.array_min(indices) == F.col("i")) & (F.array_max(indices) == F.col("j"))
+            return hit(F.upper(term), F.when(mine, value))
 
-        def one(found: Column) -> Column:
-            first, second = whole(found["g1"]), whole(found["g2"])
-            mine = (F.least(first, second) == F.col("i")) & (F.greatest(first, second) == F.col("j"))
-            return hit(F.upper(found["g3"]), F.when(mine, found["g4"].cast("double")))
-
-        return F.transform(groups, one)
+        return F.transform(F.slice(F.split(line, r"(?i)J\["), 2, 1_000), one)
 
     def spelled_hits(line: Column) -> Column:
-        def value(name: str) -> Column:
-            found = F.regexp_extract(line, "(?i)" + K.SPELLED_TERMS[name] + r"[^=:]*[=:]\s*(" + K.NUMBER + ")", 1)
-            return hit(F.lit(name.upper()), F.nullif(found, F.lit("")).cast("double"))
+        """The line's labels and values: what stands before a colon or equals sign, and the number after it."""
+        parts = F.split(line, "[:=]")
+
+        def one(part: Column, place: Column) -> Column:
+            label = F.concat(F.lit(" "), F.regexp_replace(F.lower(part), "[^a-z/]+", " "), F.lit(" "))
+            value = F.regexp_extract(F.get(parts, place + 1), r"^\s*(" + K.NUMBER + ")", 1)
+            term = F.coalesce(*[
+                F.when(any_of([F.contains(label, F.lit(f" {name} ")) for name in names]), term.upper()) for term, names in K.TERM_LABELS.items()
+            ])
+            return hit(term, F.nullif(value, F.lit("")).cast("double"))
 
-        plain = F.array(*[value(name) for name in K.COUPLING_TERMS if name != "SD/FC"])
-        return F.when(line.rlike(cross), F.array(value("SD/FC"))).otherwise(plain)
+        found = F.filter(F.transform(parts, one), lambda h: h["term"].isNotNull())
+        cross = F.filter(found, lambda h: h["term"] == "SD/FC")
+        return F.when(F.size(cross) > 0, cross).otherwise(found)
 
     def hits(line: Column) -> Column:
         return F.when(line.rlike(r"(?i)J\["), marked_hits(line)).otherwise(spelled_hits(line))
@@ -251,7 +256,15 @@ def coupling_total() -> Column:
 
 def comment_energy(comment: Column) -> Column:
     """kcal/mol in a frame's comment: a named relative energy, else the first number unless it is in Hartree only."""
-    first = number(F.regexp_extract(comment, K.COMMENT_NUMBER, 1))
-    hartree_only = comment.rlike(r"(?i)\b(?:Eh|Hartree)\b") & ~comment.rlike(r"(?i)\bkcal\b")
-    relative = number(F.regexp_extract(comment, K.COMMENT_RELATIVE, 1))
-    return F.coalesce(relative, F.when(~hartree_only, first))
+    words = F.split(F.trim(F.regexp_replace(comment, "[:=,;()]+", " ")), r"\s+")
+    numbers = F.filter(F.transform(words, _leading_number), lambda n: n.isNotNull())
+    named_at = F.array_position(words, F.lit(K.COMMENT_RELATIVE))
+    after = F.when(named_at > 0, F.get(words, named_at.cast("int")))
+    units = F.transform(words, lambda w: F.lower(w))
+    hartree_only = (F.array_contains(units, "eh") | F.array_contains(units, "hartree")) & ~F.exists(units, lambda u: u.startswith("kcal"))
+    return F.coalesce(_leading_number(after), F.when(~hartree_only, F.get(numbers, F.lit(0))))
+
+
+def _leading_number(word: Column) -> Column:
+    """The number a word starts with; a unit may be joined to it."""
+    return number(F.regexp_extract(word, "^[-+]?[0-9.]+([eE][-+]?[0-9]+)?", 0))
