@@ -10,25 +10,28 @@ characters, are treated so, or given to the tokenizer as they are. ``path`` is a
 from __future__ import annotations
 
 import itertools
+import re
 from array import array
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 #: Pieces a worker remembers before it starts anew; more only saves time.
 REMEMBERED = 1_000_000
-#: Pieces handed to the tokenizer as one text; its results take far more memory than ids.
+#: Parts handed to the tokenizer at once; its results take far more memory than ids.
 AT_ONCE = 1_000
 END_ID = 0
 
 #: Characters for which lower case, normal form and classes are beyond doubt.
-_PLAIN = regex.compile("[ \n!-~\u00a1-\u024f]*")
-#: Fixed: how the tokenizer's file parts a text.
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_WORD_END = "</w>"
+_PLAIN = re.compile("[ \n!-~\u00a1-\u024f]*")
+_LETTERS, _NUMBERS = ("".join(regex.findall(kind, "".join(map(chr, range(0xA1, 0x250))))) for kind in (r"\p{L}", r"\p{N}"))
+#: How the tokenizer's file parts a text, for these characters: words, single digits, endings, runs of other marks.
+_PIECES = re.compile(f"[a-z{_LETTERS}]+|[0-9{_NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^\\sa-z0-9{_LETTERS}{_NUMBERS}]+")
+#: Byte-level vocabularies write printable bytes as themselves and the others, in order, as characters from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {byte: chr(256 + n) for n, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 def default_path() -> str:
@@ -45,9 +48,6 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.last[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
         self.pieces: dict[str, bytes] = {}
 
     def _directly(self, texts: list[str]) -> Iterator[bytes]:
@@ -56,17 +56,11 @@ class WordEncoder:
                 yield array("I", encoded.ids).tobytes()
 
     def _add_pieces(self, pieces: list[str]) -> None:
-        """Encode pieces as one text; the last id of each is one that ends a word."""
-        for at in range(0, len(pieces), AT_ONCE):
-            some = pieces[at : at + AT_ONCE]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) == len(some):
-                raw = ids.tobytes()
-                cuts = [0, *(4 * ends).tolist()]
-                self.pieces.update(zip(some, (raw[a:b] for a, b in itertools.pairwise(cuts)), strict=True))
-            else:
-                self.pieces.update(zip(some, self._directly(some), strict=True))
+        """Encode pieces by the tokenizer's model alone; it takes their bytes as characters."""
+        tokenize = self.tokenizer.model.tokenize
+        for piece in pieces:
+            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTES)
+            self.pieces[piece] = array("I", [token.id for token in tokenize(shown)]).tobytes()
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; pieces seen for the first time are encoded together."""
@@ -76,7 +70,7 @@ class WordEncoder:
         odd: set[str] = set()
         for text in texts:
             low = text.lower()
-            if _PLAIN.fullmatch(text) and _PLAIN.fullmatch(low):
+            if _PLAIN.fullmatch(low) and (text.isascii() or _PLAIN.fullmatch(text)):
                 parted.append(_PIECES.findall(low))
                 continue
             pieces: list[str] = []
