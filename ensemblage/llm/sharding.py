@@ -86,10 +86,10 @@ def kd_shards(rows: DataFrame, dims: Sequence[str], size: str, *, target_bytes:
     rows = rows.drop("shard")
     # the tie decides among rows with equal coordinates; rows that are equal in all columns go together
     hashed = F.pmod(F.xxhash64(*rows.columns), F.lit(BINS[2])).cast("int")
-    table = cut_lineage(rows.withColumns({
-        "_node": F.lit(0), "_size": F.coalesce(F.col(size).cast("long"), F.lit(0).cast("long")), "_tie": hashed,
-        "_at": F.array(*_coordinates(rows, dims).values()),
-    }), "kd")
+    table = cut_lineage(rows.select(
+        F.struct(*rows.columns).alias("_row"), F.lit(0).alias("_node"), F.coalesce(F.col(size).cast("long"), F.lit(0).cast("long")).alias("_size"),
+        hashed.alias("_tie"), F.array(*_coordinates(rows, dims).values()).alias("_at"),
+    ), "kd")
     total = table.agg(F.sum("_size")).first()[0] or 0
     if shards is None:
         shards = max(1, -(-total // target_bytes)) if target_bytes else 1
@@ -131,7 +131,7 @@ def kd_shards(rows: DataFrame, dims: Sequence[str], size: str, *, target_bytes:
         table = cut_lineage(moved.select(*table.columns), "kd", replaces=table)
         nodes = following
     names = small(spark.createDataFrame([(k, n.first) for k, n in nodes.items()] or [(0, 0)], "_node int, shard int"))
-    return table.join(names, "_node").select(*rows.columns, "shard")
+    return table.join(names, "_node").select("_row.*", "shard")
 
 
 def with_slots(sharded: DataFrame, order: Sequence[str]) -> DataFrame:

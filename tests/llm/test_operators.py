@@ -405,5 +405,6 @@ def test_rules_against_brute_force(spark):
     if got[5]["n_words"] >= 50:
         assert got[5]["js_words"] == pytest.approx(js(mine, every))
     assert got[61]["reason"] in ("characters", "words") and not got[61]["kept"]
-    assert sum(got[i]["kept"] for i in range(60) if not got[i]["base_failed"]) >= 50
+    passed = [got[i]["kept"] for i in range(60) if not got[i]["base_failed"]]
+    assert len(passed) > 10 and sum(passed) >= 0.9 * len(passed)
     assert rules.judge(docs.limit(0)).count() == 0
