@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 from ensemblage.session import cut_lineage
 
 #: Tokens per block, and customers of a context per partition.
-BLOCK_TOKENS, HOT = 2_000_000, 1_000_000
+BLOCK_TOKENS, HOT = 2_000_000, 250_000
 #: Discount and strength of the contexts and of the parent.
 DISCOUNT, STRENGTH = 0.85, 20.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.5, 10.0
