@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ensemblage.session import cut_lineage
 
 SMALL = 16
+#: Members of a block, of which two are compared in one go.
+BLOCK = 1_000
 #: Edges per task where their number is known.
 EDGES = 200_000
 
@@ -55,24 +57,36 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     return cut_lineage(rows.join(sizes, "key"), "buckets")
 
 
-def groups_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """id and root of the members of stored ``buckets`` (key, id, size) that have links.
+def groups_of(
+    buckets: DataFrame, verify: Callable[[DataFrame], DataFrame], possible: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
+    """id and root of the members of stored ``buckets`` (key, id, size and others) that have links.
 
-    ``verify`` gets distinct candidate pairs (a, b) and returns those that hold.
+    ``verify`` gets distinct candidate pairs (a, b) and returns those that hold. ``possible`` tells from two rows of
+    a bucket, as structs, whether they can hold; pairs that can't are never made.
     """
+    values = [name for name in buckets.columns if name not in ("key", "size")]
+    member = F.struct(*values)
+
+    def paired(met: DataFrame) -> DataFrame:
+        """a and b of the rows whose members left and right may be linked."""
+        met = met if possible is None else met.where(possible(F.col("left"), F.col("right")))
+        return met.select(F.least("left.id", "right.id").alias("a"), F.greatest("left.id", "right.id").alias("b"))
+
     few = buckets.where(F.col("size") <= SMALL)
-    pairs = few.select("key", F.col("id").alias("a")).join(few.select("key", F.col("id").alias("b")), "key").where(F.col("a") < F.col("b")).select("a", "b")
+    pairs = few.select("key", member.alias("left")).join(few.select("key", member.alias("right")), "key")
+    pairs = paired(pairs.where(F.col("left.id") < F.col("right.id")))
     large = buckets.where(F.col("size") > SMALL)
     if large.isEmpty():
         return components(cut_lineage(verify(cut_lineage(pairs.distinct(), "pairs")), "links"))
     score = buckets.groupBy("id").agg(F.sum("size").alias("score"))
-    large = cut_lineage(large.select("key", "id").join(score, "id"), "large")
-    best = F.max_by("id", F.struct("score", "id")).alias("leader")
+    large = cut_lineage(large.select("key", *values).join(score, "id"), "large")
+    best = F.max_by(member, F.struct("score", "id")).alias("leader")
     leaders = cut_lineage(large.groupBy("key").agg(best), "leaders")
 
     def with_members(chosen: DataFrame, members: DataFrame) -> DataFrame:
-        met = members.join(chosen, "key").where(F.col("id") != F.col("leader"))
-        return met.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"))
+        met = members.select("key", member.alias("left")).join(chosen.select("key", F.col("leader").alias("right")), "key")
+        return paired(met.where(F.col("left.id") != F.col("right.id")))
 
     tested = cut_lineage(pairs.unionByName(with_members(leaders, large)).distinct(), "pairs")
     links = cut_lineage(verify(tested), "links")
@@ -81,18 +95,38 @@ def groups_of(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> D
         groups = components(links)
         members = large.join(active, "key", "left_semi").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
         members = cut_lineage(members, "members")
-        led = members.join(leaders.select("key", F.col("leader").alias("id")), ["key", "id"]).select("key", "root").distinct()
+        led = members.join(leaders.select("key", F.col("leader.id").alias("id")), ["key", "id"]).select("key", "root").distinct()
         following = cut_lineage(members.join(led, ["key", "root"], "left_anti").groupBy("key").agg(best), "next_leaders")
         if following.isEmpty():
-            return groups
-        own = members.join(following.select("key", F.col("leader").alias("id")), ["key", "id"]).select("key", F.col("root").alias("own"))
-        others = members.join(own, "key").where(F.col("root") != F.col("own")).select("key", "id")
+            break
+        own = members.join(following.select("key", F.col("leader.id").alias("id")), ["key", "id"]).select("key", F.col("root").alias("own"))
+        others = members.join(own, "key").where(F.col("root") != F.col("own"))
         pairs = cut_lineage(with_members(following, others).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         found = cut_lineage(verify(pairs), "links")
         if found.isEmpty():
-            return groups
+            break
         ends = found.select(F.col("a").alias("leader")).unionByName(found.select(F.col("b").alias("leader"))).distinct()
-        active = cut_lineage(following.join(ends, "leader", "left_semi").select("key"), "active")
+        active = cut_lineage(following.select("key", F.col("leader.id").alias("leader")).join(ends, "leader", "left_semi").select("key"), "active")
         leaders = cut_lineage(leaders.unionByName(following), "leaders")
         links = cut_lineage(links.unionByName(found), "links")
         tested = cut_lineage(tested.unionByName(pairs), "pairs")
+    tested = tested.unionByName(pairs)
+    pairs = cut_lineage(paired(_across(large, groups, values)).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+    found = cut_lineage(verify(pairs), "links")
+    return groups if found.isEmpty() else components(links.unionByName(found))
+
+
+def _across(large: DataFrame, groups: DataFrame, values: list[str]) -> DataFrame:
+    """Members left and right of each pair in a bucket of ``large`` that isn't in one group.
+
+    A bucket is dealt into blocks by hash, and each pair of blocks is joined by itself, so that it is spread.
+    """
+    rooted = large.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = rooted.groupBy("key").agg(F.count("*").alias("n"), (F.min("root") != F.max("root")).alias("mixed")).where("mixed")
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = rooted.join(mixed, "key").select("key", "root", F.struct(*values).alias("member"), parts.alias("parts"), F.pmod(F.xxhash64("id"), parts).cast("int").alias("block"))
+    dealt = cut_lineage(dealt, "dealt")
+    left = dealt.select("key", F.col("block").alias("p"), F.explode(F.sequence("block", F.col("parts") - 1)).alias("q"), F.col("member").alias("left"), F.col("root").alias("_left_root"))
+    right = dealt.select("key", F.explode(F.sequence(F.lit(0), "block")).alias("p"), F.col("block").alias("q"), F.col("member").alias("right"), F.col("root").alias("_right_root"))
+    once = (F.col("p") < F.col("q")) | (F.col("left.id") < F.col("right.id"))
+    return left.join(right, ["key", "p", "q"]).where(once & (F.col("_left_root") != F.col("_right_root")))
