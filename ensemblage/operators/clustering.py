@@ -75,7 +75,10 @@ def silhouette(assigned: DataFrame) -> DataFrame:
 
 
 def kmeans_auto(points: DataFrame, dimensions: int, k_max: int = 8) -> DataFrame:
-    """k-means with the k of 2..k_max that scores best for each ensemble; ensembles of one member stay one cluster."""
+    """k-means with the k of 2..k_max that scores best for each ensemble; ensembles of one member stay one cluster.
+
+    ``k_least`` and ``k_most`` are the range that was searched; ``converged`` and ``rounds`` are those of the chosen k.
+    """
     plan = plan_groups(points, ("ensemble_id",))
     runs = [(k, cut_lineage(kmeans(points, k, dimensions), "kmeans")) for k in range(2, k_max + 1)]
     scores = [silhouette(run.where(F.size("distances") == k)).withColumn("k", F.lit(k)) for k, run in runs]
@@ -87,7 +90,9 @@ def kmeans_auto(points: DataFrame, dimensions: int, k_max: int = 8) -> DataFrame
     labelled = None
     for k, run in runs:
         mine = chosen.where(F.col("k") == k)
-        part = plan.apply(run, lambda d, g, mine=mine: g.attach(d, mine)).select(*MEMBER, "label", "distance", "k")
+        part = plan.apply(run, lambda d, g, mine=mine: g.attach(d, mine)).select(
+            *MEMBER, "label", "distance", "k", F.lit(2).alias("k_least"), F.lit(k_max).alias("k_most"), "converged", "rounds",
+        )
         labelled = part if labelled is None else labelled.unionByName(part)
     return labelled
 

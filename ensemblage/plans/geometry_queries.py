@@ -93,13 +93,14 @@ def dedupe(spark: SparkSession, folder: str) -> DataFrame:
 @register("scr_cluster_kmeans")
 def kmeans(spark: SparkSession, folder: str) -> DataFrame:
     points = Given(spark, folder).embedding_points()
-    return clustering.kmeans(points, 4, 64).select(*MEMBER, "label", F.round("distance", 6).alias("distance"))
+    return clustering.kmeans(points, 4, 64).select(*MEMBER, "label", F.round("distance", 6).alias("distance"), "converged", "rounds")
 
 
 @register("scr_cluster_kmeans_auto")
 def kmeans_auto(spark: SparkSession, folder: str) -> DataFrame:
     points = Given(spark, folder).embedding_points()
-    return clustering.kmeans_auto(points, 64, 3).select(*MEMBER, "label", "k", F.round("distance", 6).alias("distance"))
+    return clustering.kmeans_auto(points, 64).select(
+        *MEMBER, "label", "k", F.round("distance", 6).alias("distance"), "k_least", "k_most", "converged", "rounds")
 
 
 NEAR = "(a.u - b.u) * (a.u - b.u) + (a.v - b.v) * (a.v - b.v) <= 0.4 * 0.4"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ensemblage.operators import clustering, geometry, screen
 from ensemblage.operators.groups import plan_groups
+from ensemblage.plans import geometry_queries
 
 
 def conformers(spark, energies, ensemble="m"):
@@ -208,6 +209,18 @@ def test_kmeans_finds_separate_groups(spark):
             assert len({labels[i] for i in range(0, 40, 2)}) == 1 and labels[0] != labels[1]
 
 
+def test_registered_kmeans_searches_the_whole_range(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(1, i, [float(v) for v in rng.normal(size=64) * 0.1 + 10 * (np.arange(64) % 5 == i % 5)]) for i in range(50)]
+    df = spark.createDataFrame(rows, "ensemble_id int, conf_idx int, features array<double>")
+    monkeypatch.setattr(geometry_queries.Given, "embedding_points", lambda self: df)
+    auto = geometry_queries.kmeans_auto(spark, "").collect()
+    assert len(auto) == 50 and {(r.k_least, r.k_most) for r in auto} == {(2, 8)}
+    assert {r.k for r in auto} <= set(range(4, 9)) and all(r.converged and r.rounds > 0 for r in auto)
+    plain = geometry_queries.kmeans(spark, "").collect()
+    assert len(plain) == 50 and all(r.converged and r.rounds > 0 for r in plain)
+
+
 def test_threshold_clusters_match_brute_force(spark):
     draw = random.Random(6)
     rows = [(i % 3, i, draw.random() * 12, draw.random() * 12) for i in range(150)]
