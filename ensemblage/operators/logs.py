@@ -213,7 +213,7 @@ def coupling_rows(files: DataFrame) -> DataFrame:
             mine = (F.size(indices) == 2) & (F.array_min(indices) == F.col("i")) & (F.array_max(indices) == F.col("j"))
             return hit(F.upper(term), F.when(mine, value))
 
-        return F.transform(F.slice(F.split(line, r"(?i)J\["), 2, 1_000), one)
+        return F.transform(F.slice(F.split(line, r"(?i)J\["), 2, 1 << 30), one)
 
     def spelled_hits(line: Column) -> Column:
         """The line's labels and values: what stands before a colon or equals sign, and the number after it."""

@@ -121,6 +121,12 @@ def test_last_block_of_a_pair_wins_and_foreign_marks_do_not_count(spark):
     assert couplings(spark, "Nucleus A: 0 C\nno partner\n") == []
 
 
+def test_no_coupling_mark_of_a_long_line_is_lost(spark):
+    marks = " J[1,2](FC) iso= 7.0" * 1_200 + " J[8,9](Total) iso= 2.0"
+    text = f" NUCLEUS A = H 8 NUCLEUS B = C 9\n{marks}\n"
+    assert [r[:5] for r in couplings(spark, text)] == [(8, "H", 9, "C", 2.0)]
+
+
 def test_comment_energies(spark):
     lines = ["   0.5 kcal/mol", "Erel:   1.234 kcal/mol Etot: -123.45 Eh", "Energy: -123.456 Eh", "2.5", "", "none"]
     df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "n int, c string")
