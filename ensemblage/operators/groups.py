@@ -96,7 +96,7 @@ class SpreadGroups:
         )
         # offsets: one row per oversized key and range partition
         return (
-            ranged.join(F.broadcast(offsets), cells, "left")
+            _with_cells(ranged, offsets, cells)
             .withColumn(name, F.when(F.col("_where"), F.sum("_value").over(inside) + F.col("_offset")))
             .drop("_where", "_value", "_range", "_offset")
         )
@@ -116,7 +116,7 @@ class SpreadGroups:
         )
         inside = Window.partitionBy(*cells).orderBy(*order)
         return (
-            ranged.join(F.broadcast(edges), cells, "left")
+            _with_cells(ranged, edges, cells)
             .withColumn("_first", F.row_number().over(inside) == 1)
             .withColumn(name, F.when(F.col("_first"), F.col("_edge")).otherwise(F.lag("_value").over(inside)))
             .drop("_value", "_range", "_edge", "_first")
@@ -142,6 +142,12 @@ class GroupPlan:
         return usual.unionByName(spread)
 
 
+def _with_cells(ranged: DataFrame, table: DataFrame, cells: Sequence[str]) -> DataFrame:
+    """``ranged`` with the columns that a table has per key and range, also for the key NULL."""
+    renamed = table.withColumnsRenamed({c: f"_of_{c}" for c in cells})
+    return ranged.join(F.broadcast(renamed), _same(ranged, renamed, cells), "left").drop(*[f"_of_{c}" for c in cells])
+
+
 def _same(df: DataFrame, renamed: DataFrame, keys: Sequence[str]) -> Column:
     """Equal keys, where NULL equals NULL: a large group may be the one without a key."""
     return reduce(lambda a, b: a & b, [df[k].eqNullSafe(renamed[f"_of_{k}"]) for k in keys])
