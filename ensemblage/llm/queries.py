@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ensemblage.llm import bagminhash, chat, cotraining, decontaminate, fuzzylines, lengths, packing, pitmanyor, rules, sharding, tokens
+from ensemblage.llm import bagminhash, chat, cotraining, decontaminate, fuzzylines, lengths, packing, pitmanyor, repair, rules, sharding, tokens
 from ensemblage.llm.common import table
 from ensemblage.session import cut_lineage
 
@@ -97,3 +97,10 @@ def op9_chat(spark: SparkSession, folder: str) -> DataFrame:
 def op10_divergence(spark: SparkSession, folder: str) -> DataFrame:
     """Base rules and divergence verdict of all documents."""
     return rules.judge(table(spark, folder, "documents")).drop("js_classes", "js_words")
+
+
+@_query
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations damaged in a fixed way, and their cheapest repairs."""
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.report(repair.damaged(conversations), conversations)
