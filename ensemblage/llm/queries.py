@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ensemblage.llm import bagminhash, chat, cotraining, decontaminate, fuzzylines, lengths, packing, pitmanyor, repair, rules, sharding, tokens
+from ensemblage.llm import bagminhash, bpe, chat, cotraining, decontaminate, fuzzylines, lengths, packing, pitmanyor, repair, rules, sharding, tokens, vectorcodes
 from ensemblage.llm.common import table
 from ensemblage.session import cut_lineage
 
@@ -104,3 +104,15 @@ def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations damaged in a fixed way, and their cheapest repairs."""
     conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return repair.report(repair.damaged(conversations), conversations)
+
+
+@_query
+def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded and decoded again."""
+    return bpe.digests(bpe.decoded(bpe.encoded(table(spark, folder, "documents"))))
+
+
+@_query
+def op13_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all embeddings, and the codebooks fitted to them."""
+    return vectorcodes.report(table(spark, folder, "embeddings"))
