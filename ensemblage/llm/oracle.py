@@ -90,3 +90,36 @@ ORACLES["op10_divergence"] = rf"""
     SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
            n_repeat_words::BIGINT AS n_repeat_words, base_failed, reason IS NULL AS kept, reason
     FROM named"""
+
+
+def _book_round(number: int) -> str:
+    """Parts at their nearest entries of one codebook, and the next one."""
+    places = range(1, 5)
+    gap = " + ".join(f"(a.q{i} - b.q{i}) * (a.q{i} - b.q{i})" for i in places)
+    means = ", ".join(f"((sum(q{i}) - ((sum(q{i}) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS q{i}" for i in places)
+    return f"""
+    near{number} AS (
+        SELECT a.row, a.p, {", ".join(f"any_value(a.q{i}) AS q{i}" for i in places)}, min(({gap}) * 64 + b.e) AS m
+        FROM parts a JOIN book{number} b ON a.p = b.p GROUP BY a.row, a.p),
+    mean{number} AS (SELECT p, m % 64 AS e, {means} FROM near{number} GROUP BY ALL),
+    book{number + 1} AS (
+        SELECT b.p, b.e, {", ".join(f"coalesce(n.q{i}, b.q{i}) AS q{i}" for i in places)}
+        FROM book{number} b LEFT JOIN mean{number} n ON n.p = b.p AND n.e = b.e)"""
+
+
+#: For vectors of 64 components, as in the given table.
+ORACLES["op13_codes"] = f"""
+    WITH kept AS (
+        SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS (
+        SELECT row, p, {", ".join(f"v[(p * 4 + {i})::BIGINT] AS q{i}" for i in range(1, 5))} FROM kept CROSS JOIN (SELECT unnest(range(16)) AS p)),
+    book0 AS (SELECT p, row - 1 AS e, q1, q2, q3, q4 FROM parts WHERE row <= 64),
+    {_book_round(0)}, {_book_round(1)}, {_book_round(2)},
+    sums AS (
+        SELECT row, string_agg(lower(lpad(printf('%x', m % 64), 2, '0')), '' ORDER BY p) AS code, sum(m // 64)::BIGINT AS error
+        FROM near2 GROUP BY row),
+    labelled AS (SELECT label, sum(error)::BIGINT AS label_error FROM kept JOIN sums USING (row) GROUP BY label),
+    books AS (SELECT sha256(string_agg(concat_ws(',', q1, q2, q3, q4), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2)
+    SELECT vec_id, code, error, label_error, codebooks_sha256
+    FROM kept JOIN sums USING (row) JOIN labelled l ON l.label IS NOT DISTINCT FROM kept.label CROSS JOIN books"""
