@@ -35,9 +35,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Transitions kept by a worker before it starts anew; more only saves time.
-MOST_TRANSITIONS = 300_000
+MOST_TRANSITIONS = 150_000
 #: Pieces of text whose ids a worker remembers before it starts anew; longer pieces are not remembered.
-MOST_PIECES, LONGEST_PIECE = 400_000, 64
+MOST_PIECES, LONGEST_PIECE = 150_000, 64
 #: Bytes behind the last emitted token beyond which states are not kept but made again.
 LONGEST_WINDOW = 512
 #: Ids per row of encoded text.
@@ -88,7 +88,7 @@ class Transducer:
                 self.beginnings[token[:size]] = self.beginnings.get(token[:size], 0) | 1
         self.longest = max(map(len, ranks), default=1)
         self.edges = functools.lru_cache(1 << 17)(self._edges)
-        self.neighbours = functools.lru_cache(1 << 18)(self._neighbours)
+        self.neighbours = functools.lru_cache(1 << 17)(self._neighbours)
         self._forget()
 
     def _forget(self) -> None:
@@ -394,32 +394,38 @@ def decoded(parts: DataFrame, path: str | None = None) -> DataFrame:
     return parts.select("doc_id", "part", "ids").mapInArrow(work, f"doc_id {kind.simpleString()}, part bigint, ids binary, text string")
 
 
-def digests(texts: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of rows as ``decoded`` gives them."""
-    kind = texts.schema["doc_id"].dataType
+def digests(parts: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of rows as ``encoded`` gives them: the digests of the ids and of what they decode to."""
+    spark = parts.sparkSession
+    shared = spark.sparkContext.broadcast({rank: token for token, rank in read_ranks(spark, path or default_path()).items()})
+    kind = parts.schema["doc_id"].dataType
     schema = pa.schema([("doc_id", to_arrow_type(kind)), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc, count, of_ids, of_text, any_row = pa.scalar(None, schema.field(0).type), 0, hashlib.sha256(), hashlib.sha256(), False
+        decoder = StreamDecoder(shared.value)
+        doc, count, of_ids, of_text, any_row = None, 0, hashlib.sha256(), hashlib.sha256(), False
+
+        def closed() -> tuple[Any, int, str, str]:
+            of_text.update(decoder.close().encode("utf-8"))
+            return doc, count, of_ids.hexdigest(), of_text.hexdigest()
+
+        def made(found: list[tuple[Any, int, str, str]]) -> pa.RecordBatch:
+            columns = list(zip(*found, strict=True)) or [[], [], [], []]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
         for batch in batches:
-            found: list[tuple[pa.Scalar, int, str, str]] = []
-            rows = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            for row, (part, ids, text) in enumerate(rows):
+            found: list[tuple[Any, int, str, str]] = []
+            for row_doc, part, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if part == 0:
                     if any_row:
-                        found.append((doc, count, of_ids.hexdigest(), of_text.hexdigest()))
-                    doc, count, of_ids, of_text, any_row = batch.column(0)[row], 0, hashlib.sha256(), hashlib.sha256(), True
+                        found.append(closed())
+                    doc, count, of_ids, of_text, any_row = row_doc, 0, hashlib.sha256(), hashlib.sha256(), True
                 count += len(ids) // 4
                 of_ids.update(ids)
-                of_text.update(text.encode("utf-8"))
-            yield _rows(found)
+                of_text.update(decoder.feed(_ids(ids)).encode("utf-8"))
+            yield made(found)
         if any_row:
-            yield _rows([(doc, count, of_ids.hexdigest(), of_text.hexdigest())])
-
-    def _rows(found: list[tuple[pa.Scalar, int, str, str]]) -> pa.RecordBatch:
-        columns = list(zip(*found, strict=True)) or [[], [], [], []]
-        first = pa.array([value.as_py() for value in columns[0]], schema.field(0).type)
-        return pa.RecordBatch.from_arrays([first, *[pa.array(c, schema.field(i + 1).type) for i, c in enumerate(columns[1:])]], schema=schema)
+            yield made([closed()])
 
-    return texts.select("doc_id", "part", "ids", "text").mapInArrow(
+    return parts.select("doc_id", "part", "ids").mapInArrow(
         work, f"doc_id {kind.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
