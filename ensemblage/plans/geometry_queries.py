@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ensemblage.functions import constants as K
-from ensemblage.operators import clustering, geometry, screen
+from ensemblage.operators import clustering, geometry, linkage as trees, screen
 from ensemblage.plans.adapters import Given
 from ensemblage.plans.catalog import register
 from ensemblage.plans.oracle import r6, with_ctes
@@ -146,6 +146,48 @@ def density(spark: SparkSession, folder: str) -> DataFrame:
     return clustering.threshold_clusters(points, ["u", "v"], 0.4, 3).select(*MEMBER, "label")
 
 
+LINKED = {
+    "spots": REACHED["spots"],
+    "gaps": """
+        SELECT a.ensemble_id, a.conf_idx AS x, b.conf_idx AS y, least(a.conf_idx, b.conf_idx) AS a, greatest(a.conf_idx, b.conf_idx) AS b,
+               (a.u - b.u) * (a.u - b.u) + (a.v - b.v) * (a.v - b.v) AS square
+        FROM spots a JOIN spots b ON a.ensemble_id = b.ensemble_id AND a.conf_idx <> b.conf_idx""",
+    "grown": """
+        SELECT ensemble_id, [min(conf_idx)] AS seen, NULL::BIGINT AS a, NULL::BIGINT AS b, NULL::DOUBLE AS square FROM spots GROUP BY ensemble_id
+        UNION ALL
+        SELECT ensemble_id, list_append(seen, e.y), e.a, e.b, e.square FROM (
+            SELECT t.ensemble_id, any_value(t.seen) AS seen, min(struct_pack(square := g.square, a := g.a, b := g.b, y := g.y)) AS e
+            FROM grown t JOIN gaps g ON g.ensemble_id = t.ensemble_id AND list_contains(t.seen, g.x) AND NOT list_contains(t.seen, g.y)
+            GROUP BY t.ensemble_id)""",
+    "tree": """
+        SELECT ensemble_id, a, b, square, row_number() OVER (PARTITION BY ensemble_id ORDER BY square, a, b) AS merge FROM grown WHERE a IS NOT NULL""",
+    "sides": "SELECT ensemble_id, a AS x, b AS y, merge FROM tree UNION ALL SELECT ensemble_id, b, a, merge FROM tree",
+    "ways": """
+        SELECT ensemble_id, conf_idx AS x, conf_idx AS y, conf_idx AS before, 0::BIGINT AS top FROM spots
+        UNION ALL
+        SELECT w.ensemble_id, w.x, s.y, w.y, greatest(w.top, s.merge) FROM ways w JOIN sides s ON s.ensemble_id = w.ensemble_id AND s.x = w.y AND s.y <> w.before""",
+}
+
+
+@register("scr_cluster_dendrogram", with_ctes(f"""
+    SELECT ensemble_id, merge, least(a_name, b_name) AS left, greatest(a_name, b_name) AS right, {r6('sqrt(square)')} AS height, a_size + b_size AS size FROM (
+        SELECT t.ensemble_id, t.merge, any_value(t.square) AS square, min(w.y) FILTER (w.x = t.a) AS a_name, min(w.y) FILTER (w.x = t.b) AS b_name,
+               count(*) FILTER (w.x = t.a) AS a_size, count(*) FILTER (w.x = t.b) AS b_size
+        FROM tree t JOIN ways w ON w.ensemble_id = t.ensemble_id AND w.x IN (t.a, t.b) AND w.top < t.merge GROUP BY t.ensemble_id, t.merge)""", LINKED))
+def linkage_tree(spark: SparkSession, folder: str) -> DataFrame:
+    merges = trees.dendrogram(Given(spark, folder).descriptors(), ["u", "v"])
+    return merges.select("ensemble_id", "merge", "left", "right", F.round("height", 6).alias("height"), "size")
+
+
+@register("scr_cluster_agglomerative", with_ctes("""
+    SELECT w.ensemble_id, w.x AS conf_idx, min(w.y) AS label FROM ways w JOIN (SELECT ensemble_id, count(*) AS n FROM spots GROUP BY ensemble_id) c
+    ON c.ensemble_id = w.ensemble_id AND w.top <= c.n - 4 GROUP BY ALL""", LINKED))
+def linkage_by_count(spark: SparkSession, folder: str) -> DataFrame:
+    """Four clusters of each ensemble that has so many members."""
+    points = Given(spark, folder).descriptors()
+    return trees.cut(trees.dendrogram(points, ["u", "v"]), points, n_clusters=4)
+
+
 @register("scr_cluster_pipeline", with_ctes(f"""
     SELECT ensemble_id, conf_idx, accepted, reason AS rejected_reason FROM (
         SELECT s.*, CASE WHEN NOT inside THEN '{K.REASON_WINDOW}' WHEN NOT accepted THEN '{K.REASON_CLUSTER}' END AS reason FROM (
