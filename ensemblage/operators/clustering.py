@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ensemblage.operators.geometry import union, with_cells
-from ensemblage.operators.groups import GroupPlan, plan_groups
+from ensemblage.operators.groups import SpreadGroups, TaskGroups, join_on, plan_groups
 from ensemblage.session import cut_lineage
 
 MEMBER = ["ensemble_id", "conf_idx"]
@@ -18,83 +21,159 @@ def square_distance(left: Column, right: Column) -> Column:
     return F.aggregate(F.zip_with(left, right, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, d: total + d)
 
 
-def _assigned(points: DataFrame, centres: DataFrame, plan: GroupPlan) -> DataFrame:
-    joined = plan.apply(points, lambda d, g: g.attach(d, centres.select("ensemble_id", "centres")))
-    distances = F.transform("centres", lambda c: square_distance(c, F.col("features")))
-    joined = joined.select(*MEMBER, "features", distances.alias("distances"))
-    nearest = F.array_min("distances")
-    return joined.select(
-        *MEMBER, "features", "distances",
-        (F.array_position("distances", nearest) - 1).cast("int").alias("label"), F.sqrt(nearest).alias("distance"),
-    )
+#: Members of an ensemble that one task clusters for all numbers of clusters; larger ensembles go through rounds.
+LLOYD_ROWS = 50_000
+RUN = ["ensemble_id", "k"]
 
 
-def kmeans(points: DataFrame, k: int, dimensions: int, max_rounds: int = 300, tolerance: float = 1e-6) -> DataFrame:
-    """Lloyd's algorithm per ensemble over ``features`` (an array of doubles); gives ``label`` and ``distance``.
+def _start_order() -> list[Column]:
+    """Members in the order of a digest of their index, which any engine can compute."""
+    return [F.md5(F.col("conf_idx").cast("string").cast("binary")), F.col("conf_idx")]
 
-    ``converged`` is false for the ensembles whose centres still moved in the last round, which ``rounds`` counts.
-    Ensembles whose centres rest leave the rounds.
 
-    It starts from the k members whose index hashes lowest. Centres are one short row per ensemble; the
-    points are only ever joined to them and averaged, so a large ensemble is spread like any other.
-    """
-    if k < 1:
-        raise ValueError(f"k must be at least 1, got {k}")
+def _nearest(features: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    squares = np.stack([((features - c) ** 2).sum(axis=1) for c in centres], axis=1)
+    labels = squares.argmin(axis=1)
+    return labels, squares[np.arange(len(labels)), labels]
+
+
+def _lloyd(features: np.ndarray, k: int, max_rounds: int, tolerance: float) -> tuple[np.ndarray, np.ndarray, bool, int]:
+    """Labels, squared distances, whether the centres rest and the rounds it took, from rows in the order of their start."""
+    centres = features[:k].copy()
+    for number in range(1, max_rounds + 1):
+        labels, _ = _nearest(features, centres)
+        new = np.stack([features[labels == c].mean(axis=0) if (labels == c).any() else centres[c] for c in range(len(centres))])
+        shift = ((new - centres) ** 2).sum(axis=1).max()
+        centres = new
+        if shift <= tolerance * tolerance:
+            break
+    return *_nearest(features, centres), bool(shift <= tolerance * tolerance), number
+
+
+def _silhouettes(features: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Each member's silhouette by squared distances, from the count, sum and sum of squares of each cluster."""
+    names, codes, counts = np.unique(labels, return_inverse=True, return_counts=True)
+    if len(names) < 2:
+        return np.zeros(len(labels))
+    sums = np.stack([features[codes == c].sum(axis=0) for c in range(len(names))])
+    own = (features**2).sum(axis=1)
+    squares = np.array([own[codes == c].sum() for c in range(len(names))])
+    total = counts * own[:, None] + squares - 2 * features @ sums.T  # to all members of each cluster
+    mine = total[np.arange(len(codes)), codes]
+    within = mine / np.maximum(counts[codes] - 1, 1)
+    others = total / counts
+    others[np.arange(len(codes)), codes] = np.inf
+    between = others.min(axis=1)
+    most = np.maximum(within, between)
+    score = np.divide(between - within, most, out=np.zeros(len(codes)), where=most > 0)
+    return np.where(counts[codes] == 1, 0.0, score)
+
+
+def _clusters(points: DataFrame, ks: Sequence[int], dimensions: int, max_rounds: int, tolerance: float, task_rows: int | None) -> DataFrame:
+    """ensemble_id, conf_idx, k, label, square, converged, rounds, score (the silhouette) for each number of clusters."""
+    if min(ks) < 1:
+        raise ValueError(f"k must be at least 1, got {min(ks)}")
     points = points.select(*MEMBER, "features")
-    hashed = points.withColumn("hash", F.xxhash64("conf_idx"))
-    plan = plan_groups(points, ("ensemble_id",))
-    ranked = plan.apply(hashed, lambda d, g: g.ordinal(d, "rank", [F.col("hash"), F.col("conf_idx")])).where(F.col("rank") <= k)
-    centres = ranked.groupBy("ensemble_id").agg(F.sort_array(F.collect_list(F.struct("rank", "features"))).alias("c"))
-    centres = cut_lineage(centres.select("ensemble_id", F.transform("c", lambda c: c["features"]).alias("centres")), "centres")
-    centres = cut_lineage(centres.withColumns({"moving": F.lit(True), "rounds": F.lit(0)}), "centres", replaces=centres)
+    kinds = [points.schema[c].dataType.simpleString() for c in MEMBER]
+    schema = f"ensemble_id {kinds[0]}, conf_idx {kinds[1]}, k int, label int, square double, converged boolean, rounds int, score double"
+    order = _start_order()
+
+    def in_task(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("rank")
+        features = np.stack(frame["features"].to_numpy()).astype(float)
+        found = []
+        for k in ks:
+            labels, squares, converged, rounds = _lloyd(features, k, max_rounds, tolerance)
+            found.append(pd.DataFrame({
+                "ensemble_id": frame["ensemble_id"].to_numpy(), "conf_idx": frame["conf_idx"].to_numpy(), "k": k, "label": labels, "square": squares,
+                "converged": converged, "rounds": rounds, "score": _silhouettes(features, labels)}))
+        return pd.concat(found)
+
+    def step(rows: DataFrame, groups: TaskGroups | SpreadGroups) -> DataFrame:
+        ranked = groups.ordinal(rows, "rank", order)
+        if isinstance(groups, TaskGroups):
+            return ranked.groupBy("ensemble_id").applyInPandas(in_task, schema)
+        return _lloyd_in_rounds(cut_lineage(ranked, "ranked"), groups, ks, dimensions, max_rounds, tolerance)
+
+    return plan_groups(points, ("ensemble_id",), task_rows or LLOYD_ROWS).apply(points, step)
+
+
+def _lloyd_in_rounds(points: DataFrame, groups: SpreadGroups, ks: Sequence[int], dimensions: int, max_rounds: int, tolerance: float) -> DataFrame:
+    """The same for large ensembles: all numbers of clusters in one loop, whose centres are one short row per run.
+
+    Points are only joined to centres, which are broadcast, and averaged before they are shuffled.
+    """
+    start = points.where(F.col("rank") <= max(ks)).groupBy("ensemble_id").agg(F.sort_array(F.collect_list(F.struct("rank", "features"))).alias("c"))
+    start = start.select("ensemble_id", F.transform("c", lambda c: c["features"]).alias("all"), F.explode(F.array(*map(F.lit, ks))).alias("k"))
+    centres = cut_lineage(start.select(*RUN, F.slice("all", 1, F.col("k")).alias("centres"), F.lit(True).alias("moving"), F.lit(0).alias("rounds")), "centres")
+
+    def assigned(runs: DataFrame) -> DataFrame:
+        joined = groups.attach(points, runs.select(*RUN, "centres"))
+        squares = F.transform("centres", lambda c: square_distance(c, F.col("features")))
+        nearest = joined.select(*MEMBER, "k", "features", squares.alias("squares"))
+        least = F.array_min("squares")
+        return nearest.select(*MEMBER, "k", "features", (F.array_position("squares", least) - 1).cast("int").alias("label"), least.alias("square"))
+
     for number in range(1, max_rounds + 1):
         moving = centres.where("moving")
-        means = _assigned(points, moving, plan).groupBy("ensemble_id", "label").agg(
-            F.array(*[F.avg(F.col("features")[i]) for i in range(dimensions)]).alias("mean")
-        )
-        new = means.groupBy("ensemble_id").agg(F.map_from_entries(F.collect_list(F.struct("label", "mean"))).alias("means"))
+        means = assigned(moving).groupBy(*RUN, "label").agg(F.array(*[F.avg(F.col("features")[i]) for i in range(dimensions)]).alias("mean"))
+        new = means.groupBy(*RUN).agg(F.map_from_entries(F.collect_list(F.struct("label", "mean"))).alias("means"))
         # a cluster that lost all members keeps its centre
-        moved = moving.join(new, "ensemble_id").select(
-            "ensemble_id", F.col("centres").alias("old"),
-            F.transform("centres", lambda c, i: F.coalesce(F.try_element_at(F.col("means"), i), c)).alias("centres"),
-        )
+        moved = join_on(moving, new, RUN).select(
+            *RUN, F.col("centres").alias("old"),
+            F.transform("centres", lambda c, i: F.coalesce(F.try_element_at(F.col("means"), i), c)).alias("centres"))
         shift = F.array_max(F.zip_with("old", "centres", square_distance))
-        moved = moved.select("ensemble_id", "centres", (shift > tolerance * tolerance).alias("moving"), F.lit(number).alias("rounds"))
+        moved = moved.select(*RUN, "centres", (shift > tolerance * tolerance).alias("moving"), F.lit(number).alias("rounds"))
         centres = cut_lineage(moved.unionByName(centres.where(~F.col("moving"))), "centres", replaces=centres)
         if centres.where("moving").isEmpty():
             break
-    state = centres.select("ensemble_id", (~F.col("moving")).alias("converged"), "rounds")
-    return plan.apply(_assigned(points, centres.select("ensemble_id", "centres"), plan), lambda d, g: g.attach(d, state))
-
+    state = centres.select(*RUN, (~F.col("moving")).alias("converged"), "rounds")
+    labelled = cut_lineage(assigned(centres), "labelled")
+    own = square_distance(F.transform("features", lambda x: F.lit(0.0)), F.col("features"))
+    moments = labelled.groupBy(*RUN, "label").agg(
+        F.count("*").alias("n"), F.array(*[F.sum(F.col("features")[i]) for i in range(dimensions)]).alias("sum"), F.sum(own).alias("squares"))
+    clusters = moments.groupBy(*RUN).agg(F.collect_list(F.struct("label", "n", "sum", "squares")).alias("clusters"))
+    runs = join_on(state, clusters, RUN)
+    scored = join_on(labelled, F.broadcast(runs), RUN)  # one row per oversized ensemble and number of clusters
+
+    def mean_square(c: Column, n: Column) -> Column:
+        product = F.aggregate(F.zip_with(c["sum"], "features", lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x)
+        return (c["n"] * own + c["squares"] - 2 * product) / n
+
+    mine = F.filter("clusters", lambda c: c["label"] == F.col("label"))[0]
+    within = mean_square(mine, F.greatest(mine["n"] - 1, F.lit(1)))
+    between = F.array_min(F.transform(F.filter("clusters", lambda c: c["label"] != F.col("label")), lambda c: mean_square(c, c["n"])))
+    most = F.greatest("within", "between")
+    score = F.when((F.size("clusters") < 2) | (mine["n"] == 1) | (most <= 0), 0.0).otherwise((F.col("between") - F.col("within")) / most)
+    return scored.withColumns({"within": within, "between": between}).select(
+        *MEMBER, "k", "label", "square", "converged", "rounds", score.alias("score"))
+
+
+def kmeans(points: DataFrame, k: int, dimensions: int, max_rounds: int = 300, tolerance: float = 1e-6, task_rows: int | None = None) -> DataFrame:
+    """Lloyd's algorithm per ensemble over ``features`` (an array of doubles); gives ``label`` and ``distance``.
 
-def silhouette(assigned: DataFrame) -> DataFrame:
-    """Mean per ensemble of (b - a) / b, with the distances to the own and to the next centre."""
-    ordered = F.sqrt(F.get(F.array_sort("distances"), F.lit(1)))
-    score = F.when(ordered > 0, (ordered - F.col("distance")) / ordered).otherwise(F.lit(0.0))
-    return assigned.groupBy("ensemble_id").agg(F.avg(score).alias("score"))
+    ``converged`` is false for the ensembles whose centres still moved in the last round, which ``rounds`` counts.
+    It starts from the k members whose index has the lowest MD5 digests; a cluster that loses all members keeps its centre.
+    """
+    found = _clusters(points, [k], dimensions, max_rounds, tolerance, task_rows)
+    return found.select(*MEMBER, "label", F.sqrt("square").alias("distance"), "converged", "rounds")
 
 
-def kmeans_auto(points: DataFrame, dimensions: int, k_max: int = 8) -> DataFrame:
-    """k-means with the k of 2..k_max that scores best for each ensemble; ensembles of one member stay one cluster.
+def kmeans_auto(
+    points: DataFrame, dimensions: int, k_max: int = 8, max_rounds: int = 300, tolerance: float = 1e-6, task_rows: int | None = None,
+) -> DataFrame:
+    """k-means with the k of 2..k_max whose mean silhouette (by squared distances) is highest, the lower k of equals.
 
+    A k of more than an ensemble's members isn't tried, but 2 always is; one member alone is one cluster.
     ``k_least`` and ``k_most`` are the range that was searched; ``converged`` and ``rounds`` are those of the chosen k.
     """
-    plan = plan_groups(points, ("ensemble_id",))
-    runs = [(k, cut_lineage(kmeans(points, k, dimensions), "kmeans")) for k in range(2, k_max + 1)]
-    scores = [silhouette(run.where(F.size("distances") == k)).withColumn("k", F.lit(k)) for k, run in runs]
-    all_scores = scores[0]
-    for score in scores[1:]:
-        all_scores = all_scores.unionByName(score)
-    best = all_scores.groupBy("ensemble_id").agg(F.min_by("k", F.struct(-F.col("score"), F.col("k"))).alias("k"))
-    chosen = points.select("ensemble_id").distinct().join(best, "ensemble_id", "left").fillna(2, ["k"])
-    labelled = None
-    for k, run in runs:
-        mine = chosen.where(F.col("k") == k)
-        part = plan.apply(run, lambda d, g, mine=mine: g.attach(d, mine)).select(
-            *MEMBER, "label", "distance", "k", F.lit(2).alias("k_least"), F.lit(k_max).alias("k_most"), "converged", "rounds",
-        )
-        labelled = part if labelled is None else labelled.unionByName(part)
-    return labelled
+    found = cut_lineage(_clusters(points, list(range(2, k_max + 1)), dimensions, max_rounds, tolerance, task_rows), "runs")
+    scores = found.groupBy(*RUN).agg(F.round(F.avg("score"), 9).alias("score"), F.count("*").alias("n"))
+    fitting = scores.where((F.col("k") <= F.col("n")) | (F.col("k") == 2))
+    best = cut_lineage(fitting.groupBy("ensemble_id").agg(F.min_by(F.struct("k", "score"), F.struct(-F.col("score"), "k")).alias("best")), "best")
+    chosen = best.select("ensemble_id", F.col("best.k").alias("k"), F.col("best.score").alias("silhouette"))
+    return join_on(found, chosen, RUN).select(
+        *MEMBER, "label", F.sqrt("square").alias("distance"), "k", "silhouette", F.lit(2).alias("k_least"), F.lit(k_max).alias("k_most"), "converged", "rounds")
 
 
 #: Tests of single members against each other for one pair of cells; beyond it both cells are halved first.

@@ -48,7 +48,7 @@ class TaskGroups:
 
     def attach(self, df: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
         """Join a table that has one row per key."""
-        return df.join(table, list(self.keys), how)
+        return join_on(df, table, self.keys, how)
 
 
 @dataclass(frozen=True)
@@ -67,8 +67,8 @@ class SpreadGroups:
     def attach(self, df: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
         """Join a table that has one row per key, of which only the oversized keys are broadcast."""
         if self.oversized is not None:
-            table = table.join(F.broadcast(self.oversized), list(self.keys), "left_semi")
-        return df.join(F.broadcast(table), list(self.keys), how)
+            table = join_on(table, F.broadcast(self.oversized), self.keys, "left_semi")
+        return join_on(df, F.broadcast(table), self.keys, how)
 
     def _ranged(self, df: DataFrame, order: Sequence[Column]) -> DataFrame:
         # Written out so that both readers see the same range bounds; no range holds much more than a task may.
@@ -96,7 +96,7 @@ class SpreadGroups:
         )
         # offsets: one row per oversized key and range partition
         return (
-            _with_cells(ranged, offsets, cells)
+            join_on(ranged, F.broadcast(offsets), cells, "left")
             .withColumn(name, F.when(F.col("_where"), F.sum("_value").over(inside) + F.col("_offset")))
             .drop("_where", "_value", "_range", "_offset")
         )
@@ -116,7 +116,7 @@ class SpreadGroups:
         )
         inside = Window.partitionBy(*cells).orderBy(*order)
         return (
-            _with_cells(ranged, edges, cells)
+            join_on(ranged, F.broadcast(edges), cells, "left")
             .withColumn("_first", F.row_number().over(inside) == 1)
             .withColumn(name, F.when(F.col("_first"), F.col("_edge")).otherwise(F.lag("_value").over(inside)))
             .drop("_value", "_range", "_edge", "_first")
@@ -142,10 +142,11 @@ class GroupPlan:
         return usual.unionByName(spread)
 
 
-def _with_cells(ranged: DataFrame, table: DataFrame, cells: Sequence[str]) -> DataFrame:
-    """``ranged`` with the columns that a table has per key and range, also for the key NULL."""
-    renamed = table.withColumnsRenamed({c: f"_of_{c}" for c in cells})
-    return ranged.join(F.broadcast(renamed), _same(ranged, renamed, cells), "left").drop(*[f"_of_{c}" for c in cells])
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, where NULL equals NULL, with one column per key. ``how``: inner, left, left_semi or left_anti."""
+    renamed = right.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    joined = left.join(renamed, _same(left, renamed, keys), how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_of_{k}" for k in keys])
 
 
 def _same(df: DataFrame, renamed: DataFrame, keys: Sequence[str]) -> Column:

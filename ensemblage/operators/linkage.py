@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ensemblage.operators.groups import SpreadGroups, TaskGroups, plan_groups
+from ensemblage.operators.groups import SpreadGroups, TaskGroups, join_on, plan_groups
 from ensemblage.session import cut_lineage
 
 MEMBER = ["ensemble_id", "conf_idx"]
@@ -133,7 +133,7 @@ def _boruvka(rows: DataFrame, xs: list[str], groups: SpreadGroups, schema: str)
         bounds = near.groupBy("ensemble_id", "part").agg(F.min("square").alias("bound"))
         parts = members.groupBy("ensemble_id", "block", "part").agg(
             *[f(x).alias(f"{end}_{x}") for x in xs for end, f in (("low", F.min), ("high", F.max))])
-        boxes = parts.join(bounds, ["ensemble_id", "part"], "left").groupBy("ensemble_id", "block").agg(
+        boxes = join_on(parts, bounds, ["ensemble_id", "part"], "left").groupBy("ensemble_id", "block").agg(
             F.max(F.coalesce("bound", F.lit(float("inf")))).alias("bound"), F.min("part").alias("least"), F.max("part").alias("most"),
             *[f(f"{end}_{x}").alias(f"{end}_{x}") for x in xs for end, f in (("low", F.min), ("high", F.max))])
         boxes = cut_lineage(boxes, "boxes")
@@ -142,14 +142,14 @@ def _boruvka(rows: DataFrame, xs: list[str], groups: SpreadGroups, schema: str)
             found = near
         else:
             ends_of = pairs.select("ensemble_id", "left", "right", F.explode(F.array("left", "right")).alias("block"))
-            met = ends_of.join(members, ["ensemble_id", "block"]).groupBy("ensemble_id", "left", "right").applyInPandas(across, found_schema)
+            met = join_on(ends_of, members, ["ensemble_id", "block"]).groupBy("ensemble_id", "left", "right").applyInPandas(across, found_schema)
             found = near.unionByName(met)
         best = found.groupBy("ensemble_id", "part").agg(F.min(F.struct("square", "a", "b", "other")).alias("edge"))
         best = cut_lineage(best.select("ensemble_id", "part", "edge.*"), "best")
         if best.isEmpty():
             break
         edges.append(best.select("ensemble_id", "a", "b", "square").distinct())
-        members = cut_lineage(members.join(_roots(best), ["ensemble_id", "part"], "left").withColumn(
+        members = cut_lineage(join_on(members, _roots(best), ["ensemble_id", "part"], "left").withColumn(
             "part", F.coalesce("root", "part")).drop("root"), "members", replaces=members)
     tree = edges[0] if edges else members.select("ensemble_id", *[F.col("conf_idx").alias(c) for c in "ab"], F.lit(0.0).alias("square")).limit(0)
     for more in edges[1:]:
@@ -161,7 +161,7 @@ def _boruvka(rows: DataFrame, xs: list[str], groups: SpreadGroups, schema: str)
 def _block_pairs(boxes: DataFrame, xs: list[str]) -> DataFrame | None:
     """Pairs of blocks that may hold a component's nearest: boxes within the bound of one of the two, not of one component."""
     sides = [boxes.select("ensemble_id", *[F.col(c).alias(f"{side}_{c}") for c in boxes.columns if c != "ensemble_id"]) for side in "ij"]
-    met = sides[0].join(sides[1], "ensemble_id").where("i_block <> j_block")
+    met = join_on(sides[0], sides[1], ["ensemble_id"]).where("i_block <> j_block")
     pure = (F.col("i_least") == F.col("i_most")) & (F.col("j_least") == F.col("j_most")) & (F.col("i_least") == F.col("j_least"))
     met = met.where(~pure)
     gap = [F.greatest(F.col(f"i_low_{x}") - F.col(f"j_high_{x}"), F.col(f"j_low_{x}") - F.col(f"i_high_{x}"), F.lit(0.0)) for x in xs]
@@ -170,7 +170,7 @@ def _block_pairs(boxes: DataFrame, xs: list[str]) -> DataFrame | None:
     met = met.select("ensemble_id", "i_block", "j_block", "i_least", "i_bound", "j_bound", least.alias("least"), most.alias("most"))
     # a component without an edge inside its blocks is no farther from others than the far ends of some block of another one
     far = met.where(F.col("i_bound") == float("inf")).groupBy("ensemble_id", "i_least").agg(F.min("most").alias("far"))
-    bounded = met.join(far, ["ensemble_id", "i_least"], "left").withColumn("bound", F.least("i_bound", F.coalesce("far", F.lit(float("inf")))))
+    bounded = join_on(met, far, ["ensemble_id", "i_least"], "left").withColumn("bound", F.least("i_bound", F.coalesce("far", F.lit(float("inf")))))
     pairs = cut_lineage(bounded.where(F.col("least") <= F.col("bound")).select(
         "ensemble_id", F.least("i_block", "j_block").alias("left"), F.greatest("i_block", "j_block").alias("right")).distinct(), "block_pairs")
     return None if pairs.isEmpty() else pairs
@@ -179,7 +179,7 @@ def _block_pairs(boxes: DataFrame, xs: list[str]) -> DataFrame | None:
 def _roots(best: DataFrame) -> DataFrame:
     """ensemble_id, part, root: components joined along their least edges, which form no ring but of two."""
     back = best.select("ensemble_id", F.col("part").alias("other"), F.col("other").alias("back"))
-    hooked = best.select("ensemble_id", "part", "other").join(back, ["ensemble_id", "other"], "left")
+    hooked = join_on(best.select("ensemble_id", "part", "other"), back, ["ensemble_id", "other"], "left")
     mutual = (F.col("back") == F.col("part")) & (F.col("part") < F.col("other"))
     return follow(hooked.select("ensemble_id", F.col("part").alias("name"), F.when(mutual, F.col("part")).otherwise(F.col("other")).alias("root"))
                   ).withColumnRenamed("name", "part")
@@ -190,7 +190,7 @@ def follow(pointers: DataFrame) -> DataFrame:
     pointers = cut_lineage(pointers.select("ensemble_id", "name", "root"), "pointers")
     while True:
         further = pointers.select("ensemble_id", F.col("name").alias("root"), F.col("root").alias("next"))
-        moved = pointers.join(further, ["ensemble_id", "root"], "left").select(
+        moved = join_on(pointers, further, ["ensemble_id", "root"], "left").select(
             "ensemble_id", "name", F.coalesce("next", "root").alias("root"),
             (F.col("next").isNotNull() & (F.col("next") != F.col("root"))).alias("moved"))
         moved = cut_lineage(moved, "pointers", replaces=pointers)
@@ -246,8 +246,8 @@ def dendrogram(points: DataFrame, coordinates: list[str], task_rows: int | None
                     continue
                 names = cut(done, merges_until=start).select("ensemble_id", F.col("conf_idx").alias(e), F.col("label").alias(f"{e}_name"))
                 sizes = done.groupBy("ensemble_id", F.col("left").alias(f"{e}_name")).agg(F.max("size").alias(f"{e}_size"))
-                run = run.join(names, ["ensemble_id", e], "left").withColumn(e, F.coalesce(f"{e}_name", e)).drop(f"{e}_name")
-                run = run.join(sizes.withColumnRenamed(f"{e}_name", e), ["ensemble_id", e], "left").fillna(1, [f"{e}_size"])
+                run = join_on(run, names, ["ensemble_id", e], "left").withColumn(e, F.coalesce(f"{e}_name", e)).drop(f"{e}_name")
+                run = join_on(run, sizes.withColumnRenamed(f"{e}_name", e), ["ensemble_id", e], "left").fillna(1, [f"{e}_size"])
             made = cut_lineage(run.groupBy("ensemble_id").applyInPandas(merges, schema), "merges")
             done = made if done is None else done.unionByName(made)
         return done
@@ -267,7 +267,7 @@ def cut(
         if n_clusters < 1:
             raise ValueError(f"n_clusters must be at least 1, got {n_clusters}")
         counts = merges.groupBy("ensemble_id").agg((F.max("merge") - (n_clusters - 1)).alias("_until"))
-        allowed = merges.join(counts, "ensemble_id").where(F.col("merge") <= F.col("_until"))
+        allowed = join_on(merges, counts, ["ensemble_id"]).where(F.col("merge") <= F.col("_until"))
     elif distance is not None:
         allowed = merges.where(F.col("height") <= distance)
     else:
@@ -276,4 +276,4 @@ def cut(
     named = ends.select("ensemble_id", F.col("name").alias("conf_idx"), F.col("root").alias("label"))
     if points is None:
         return named
-    return points.select(*MEMBER).join(named, MEMBER, "left").withColumn("label", F.coalesce("label", "conf_idx"))
+    return join_on(points.select(*MEMBER), named, MEMBER, "left").withColumn("label", F.coalesce("label", "conf_idx"))

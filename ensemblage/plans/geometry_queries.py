@@ -90,17 +90,67 @@ def dedupe(spark: SparkSession, folder: str) -> DataFrame:
     return geometry.prune(given.coordinates(), given.conformers(all_energies=True))
 
 
-@register("scr_cluster_kmeans")
+def lloyd_sql(ks: list[int]) -> dict[str, str]:
+    """Rounds of assignment and averaging for each number of clusters, until the centres rest."""
+    apart = "list_sum(list_transform(list_zip(p.f, c.f), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    return {
+        "vectors": """
+            SELECT label AS ensemble_id, vec_id AS conf_idx, list_transform(embedding, lambda x: x::DOUBLE) AS f,
+                   row_number() OVER (PARTITION BY label ORDER BY md5(vec_id::VARCHAR), vec_id) AS rank FROM embeddings""",
+        "ks": f"SELECT unnest({ks}) AS k",
+        "run": f"""
+            SELECT ensemble_id, k::INT AS k, 0 AS round, TRUE AS moving, list(struct_pack(c := (rank - 1)::INT, f := f) ORDER BY rank) AS centres
+            FROM vectors CROSS JOIN ks WHERE rank <= k GROUP BY ensemble_id, k
+            UNION ALL
+            SELECT ensemble_id, k, round + 1, max(shift) > 1e-12, list(struct_pack(c := c, f := f) ORDER BY c) FROM (
+                SELECT o.ensemble_id, o.k, o.round, o.c, coalesce(n.f, o.f) AS f,
+                       list_sum(list_transform(list_zip(coalesce(n.f, o.f), o.f), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS shift
+                FROM (SELECT ensemble_id, k, round, unnest(centres).c AS c, unnest(centres).f AS f FROM run WHERE moving) o
+                LEFT JOIN (
+                    SELECT ensemble_id, k, c, list(m ORDER BY i) AS f FROM (
+                        SELECT ensemble_id, k, c, i, avg(x) AS m FROM (
+                            SELECT ensemble_id, k, c, unnest(f) AS x, unnest(range(64)) AS i FROM (
+                                SELECT p.ensemble_id, c.k, p.conf_idx, any_value(p.f) AS f, arg_min(c.c, ({apart}, c.c)) AS c
+                                FROM vectors p JOIN (SELECT ensemble_id, k, unnest(centres).c AS c, unnest(centres).f AS f FROM run WHERE moving) c
+                                ON c.ensemble_id = p.ensemble_id GROUP BY p.ensemble_id, c.k, p.conf_idx))
+                        GROUP BY ensemble_id, k, c, i)
+                    GROUP BY ensemble_id, k, c) n
+                ON n.ensemble_id = o.ensemble_id AND n.k = o.k AND n.c = o.c)
+            GROUP BY ensemble_id, k, round""",
+        "rested": "SELECT *, row_number() OVER (PARTITION BY ensemble_id, k ORDER BY round DESC) AS last FROM run",
+        "ends": "SELECT ensemble_id, k, round, NOT moving AS converged, unnest(centres).c AS c, unnest(centres).f AS f FROM rested WHERE last = 1",
+        "members": f"""
+            SELECT p.ensemble_id, p.conf_idx, c.k, any_value(p.f) AS f, any_value(c.round) AS rounds, any_value(c.converged) AS converged,
+                   arg_min(c.c, ({apart}, c.c)) AS label, sqrt(min({apart})) AS distance
+            FROM vectors p JOIN ends c ON c.ensemble_id = p.ensemble_id GROUP BY p.ensemble_id, p.conf_idx, c.k""",
+    }
+
+
+@register("scr_cluster_kmeans", with_ctes(f"SELECT ensemble_id, conf_idx, label, {r6('distance')} AS distance, converged, rounds FROM members", lloyd_sql([4])))
 def kmeans(spark: SparkSession, folder: str) -> DataFrame:
     points = Given(spark, folder).embedding_points()
     return clustering.kmeans(points, 4, 64).select(*MEMBER, "label", F.round("distance", 6).alias("distance"), "converged", "rounds")
 
 
-@register("scr_cluster_kmeans_auto")
+@register("scr_cluster_kmeans_auto", with_ctes(f"""
+    SELECT ensemble_id, conf_idx, label, k, {r6('distance')} AS distance, {r6('silhouette')} AS silhouette, 2 AS k_least, 8 AS k_most, converged, rounds
+    FROM members JOIN chosen USING (ensemble_id, k)""",
+    {**lloyd_sql(list(range(2, 9))),
+     "to_each": """
+        SELECT a.ensemble_id, a.k, a.conf_idx, a.label = b.label AS same, b.label AS other, count(*) AS n,
+               avg(list_sum(list_transform(list_zip(a.f, b.f), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) FILTER (a.conf_idx <> b.conf_idx) AS gap
+        FROM members a JOIN members b ON a.ensemble_id = b.ensemble_id AND a.k = b.k GROUP BY a.ensemble_id, a.k, a.conf_idx, a.label, b.label""",
+     "sides": """
+        SELECT ensemble_id, k, conf_idx, min(gap) FILTER (same) AS within, min(gap) FILTER (NOT same) AS between, min(n) FILTER (same) AS n
+        FROM to_each GROUP BY ensemble_id, k, conf_idx""",
+     "scores": """
+        SELECT ensemble_id, k, round(avg(CASE WHEN n = 1 OR between IS NULL OR greatest(within, between) <= 0 THEN 0.0
+               ELSE (between - within) / greatest(within, between) END), 9) AS silhouette FROM sides GROUP BY ensemble_id, k""",
+     "chosen": "SELECT ensemble_id, arg_min(k, (-silhouette, k)) AS k, max(silhouette) AS silhouette FROM scores GROUP BY ensemble_id"}))
 def kmeans_auto(spark: SparkSession, folder: str) -> DataFrame:
     points = Given(spark, folder).embedding_points()
     return clustering.kmeans_auto(points, 64).select(
-        *MEMBER, "label", "k", F.round("distance", 6).alias("distance"), "k_least", "k_most", "converged", "rounds")
+        *MEMBER, "label", "k", F.round("distance", 6).alias("distance"), F.round("silhouette", 6).alias("silhouette"), "k_least", "k_most", "converged", "rounds")
 
 
 NEAR = "(a.u - b.u) * (a.u - b.u) + (a.v - b.v) * (a.v - b.v) <= 0.4 * 0.4"
