@@ -17,14 +17,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ensemblage.functions import constants as K
 from ensemblage.functions.scalars import named
-from ensemblage.operators.groups import SpreadGroups, TaskGroups, plan_groups
+from ensemblage.operators.groups import SpreadGroups, TaskGroups, join_on, plan_groups
 from ensemblage.session import cut_lineage
 
 MEMBER = ["ensemble_id", "conf_idx"]
 MOMENT_TOLERANCE = 0.01
 RMSD_TOLERANCE = 0.25
 ENERGY_GATE_KCAL = 0.5
-#: Conformers of an ensemble that one task walks through; larger ensembles go through rounds.
+#: Conformers of an ensemble that one task walks through; larger ensembles go through in runs of as many.
 WALK_ROWS = 20_000
 
 
@@ -93,17 +93,20 @@ def greedy_duplicates(
     keep_same: Callable[[DataFrame], DataFrame],
     payload: list[str],
     same: Same,
-    max_rounds: int = 100_000,
+    task_rows: int | None = None,
+    prepare: Callable[[DataFrame, SpreadGroups], DataFrame] | None = None,
 ) -> DataFrame:
     """Walk each ensemble by energy (unknown last), then index; drop whoever has a kept duplicate before them.
 
-    ``points`` has ``energy_kcal`` and the ``payload`` columns. Gives ``kept_idx`` per conformer, its own index
-    where it is kept. An ensemble of up to ``WALK_ROWS`` conformers is walked through by one task, which compares
-    each kept conformer with all that come after it at once (``same``), however many of them differ. Larger
-    ensembles go through rounds, in which ``keep_same`` reduces candidate rows.
+    ``points`` has ``energy_kcal`` and the ``payload`` columns. Gives ``kept_idx`` per conformer, the first kept one that
+    it duplicates, its own index where it is kept. An ensemble of up to ``task_rows`` conformers is walked through by one
+    task, which compares each kept conformer with all that come after it at once (``same``), however many of them differ.
+    Larger ensembles go through in runs of that many conformers; ``prepare`` may add columns for their ``coordinates``,
+    and ``keep_same`` reduces candidate rows.
     """
     points = points.select(*MEMBER, "energy_kcal", *[p for p in payload if p != "energy_kcal"])
     schema = "ensemble_id {0}, conf_idx {1}, kept_idx {1}".format(*[points.schema[c].dataType.simpleString() for c in MEMBER])
+    task_rows = task_rows or WALK_ROWS
 
     def walk(frame: pd.DataFrame) -> pd.DataFrame:
         energy, index = frame["energy_kcal"].to_numpy(float, na_value=np.nan), frame["conf_idx"].to_numpy()
@@ -122,9 +125,10 @@ def greedy_duplicates(
     def step(rows: DataFrame, groups: TaskGroups | SpreadGroups) -> DataFrame:
         if isinstance(groups, TaskGroups):
             return rows.groupBy("ensemble_id").applyInPandas(walk, schema)
-        return _in_rounds(rows, coordinates, width, keep_same, payload, max_rounds)
+        ready = prepare(rows, groups) if prepare else rows
+        return _in_runs(ready, groups, coordinates, width, keep_same, payload, task_rows, lambda df: df.groupBy("ensemble_id").applyInPandas(walk, schema))
 
-    return plan_groups(points, ("ensemble_id",), WALK_ROWS).apply(points, step)
+    return plan_groups(points, ("ensemble_id",), task_rows).apply(points, step)
 
 
 def _gate(frame: pd.DataFrame, kept: int, others: np.ndarray, max_gap_kcal: float | None) -> np.ndarray:
@@ -135,51 +139,43 @@ def _gate(frame: pd.DataFrame, kept: int, others: np.ndarray, max_gap_kcal: floa
     return np.isnan(gap) | (gap <= max_gap_kcal)
 
 
-def _in_rounds(
-    points: DataFrame, coordinates: list[Column], width: float, keep_same: Callable[[DataFrame], DataFrame], payload: list[str], max_rounds: int,
+def _in_runs(
+    points: DataFrame, groups: SpreadGroups, coordinates: list[Column], width: float, keep_same: Callable[[DataFrame], DataFrame], payload: list[str],
+    run_rows: int, walk: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """The walk for large ensembles. Duplicates must be at most ``width`` apart in every coordinate, and ``keep_same``
-    gets candidate rows with the kept conformer's payload as ``kept_*``.
+    """The walk for large ensembles, in runs of ``run_rows`` conformers by energy, whatever they look like.
 
-    In a round the first undecided conformer of each cell looks at the surrounding cells: if it comes
-    before everyone there it is kept, and its duplicates there are dropped. Two conformers kept in one
-    round are never in touching cells, so a row meets a fixed number of them at most and the work of a
-    round is linear, however many copies a cell holds.
+    Duplicates are at most ``width`` apart in every coordinate. A run first meets, in the cells around, the conformers
+    that the runs before have kept, which differ from each other, so a cell holds few of them; ``keep_same`` gets candidate
+    rows with the kept conformer's payload as ``kept_*``. What is left of the run is walked through by one task.
     """
     cells = [f"cell_{i}" for i in range(len(coordinates))]
     place = F.struct(F.col("energy_kcal").isNull().alias("unknown"), F.col("energy_kcal").alias("energy"), F.col("conf_idx").alias("conf"))
     columns = [*MEMBER, "energy_kcal", *[p for p in payload if p != "energy_kcal"]]
-    undecided = with_cells(points.select(*columns), coordinates, width).withColumn("place", place)
-    undecided = cut_lineage(undecided, "undecided")
+    numbered = groups.ordinal(points, "_n", [F.col("energy_kcal").asc_nulls_last(), F.col("conf_idx")])
+    placed = with_cells(numbered, coordinates, width).withColumns({"place": place, "run": F.floor((F.col("_n") - 1) / run_rows)})
+    placed = cut_lineage(placed.select(*columns, *cells, "place", "run"), "placed")
+    runs = placed.agg(F.max("run")).first()[0] + 1
+    kept: list[DataFrame] = []
     decided: list[DataFrame] = []
-    for _ in range(max_rounds):
-        if undecided.isEmpty():
-            break
-        leaders = undecided.groupBy("ensemble_id", *cells).agg(F.min("place").alias("place"))
-        seen = leaders.select("ensemble_id", "place", F.explode(neighbour_cells(cells)).alias("c")).select(
-            "ensemble_id", "c.*", "place"
-        )
-        earliest = seen.groupBy("ensemble_id", *cells).agg(F.min("place").alias("earliest"))
-        kept = leaders.join(earliest, ["ensemble_id", *cells]).where(F.col("place") == F.col("earliest"))
-        kept = undecided.join(kept.select("ensemble_id", F.col("place.conf").alias("conf_idx")), MEMBER)
-        kept = cut_lineage(kept, "kept")
-        around = kept.select(
-            "ensemble_id", F.col("conf_idx").alias("kept_idx"), F.col("place").alias("kept_place"),
-            *[F.col(p).alias(f"kept_{p}") for p in payload], F.explode(neighbour_cells(cells)).alias("c"),
-        )
-        around = around.select("ensemble_id", "kept_idx", "kept_place", *[f"kept_{p}" for p in payload], "c.*")
-        candidates = undecided.join(around, ["ensemble_id", *cells]).where(F.col("conf_idx") != F.col("kept_idx"))
-        dropped = keep_same(candidates).groupBy(*MEMBER).agg(F.min_by("kept_idx", "kept_place").alias("kept_idx"))
-        settled = kept.select(*MEMBER, F.col("conf_idx").alias("kept_idx")).unionByName(dropped)
-        settled = cut_lineage(settled, "settled")
-        decided.append(settled)
-        undecided = cut_lineage(undecided.join(settled, MEMBER, "left_anti"), "undecided", replaces=undecided)
-        if len(decided) >= 20:
-            decided = [cut_lineage(union(decided), "settled")]
-    else:
-        raise RuntimeError(f"conformers still undecided after {max_rounds} rounds")
-    if not decided:
-        return points.select(*MEMBER, F.col("conf_idx").alias("kept_idx"))
+    for number in range(runs):
+        rows = placed.where(F.col("run") == number)
+        if kept:
+            around = union(kept).select(
+                "ensemble_id", F.col("conf_idx").alias("kept_idx"), F.col("place").alias("kept_place"), *[F.col(p).alias(f"kept_{p}") for p in payload],
+                F.explode(neighbour_cells(cells)).alias("c"))
+            around = around.select("ensemble_id", "kept_idx", "kept_place", *[f"kept_{p}" for p in payload], "c.*")
+            candidates = join_on(rows, around, ["ensemble_id", *cells])
+            dropped = keep_same(candidates).groupBy(*MEMBER).agg(F.min_by("kept_idx", "kept_place").alias("kept_idx"))
+            dropped = cut_lineage(dropped, "dropped")
+            decided.append(dropped)
+            rows = join_on(rows, dropped, MEMBER, "left_anti")
+        walked = cut_lineage(walk(rows.select(*columns)), "walked")
+        decided.append(walked)
+        own = walked.where("kept_idx = conf_idx").select(*MEMBER)
+        kept.append(cut_lineage(join_on(placed.where(F.col("run") == number), own, MEMBER, "left_semi"), "kept"))
+        if len(decided) >= 40:
+            decided, kept = [cut_lineage(union(decided), "decided")], [cut_lineage(union(kept), "kept")]
     return union(decided)
 
 
@@ -248,16 +244,63 @@ def superposed_rmsd(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(total, 0.0) / left.shape[1])
 
 
-def rmsd_duplicates(points: DataFrame, tolerance: float = RMSD_TOLERANCE, max_gap_kcal: float | None = ENERGY_GATE_KCAL) -> DataFrame:
+#: Conformers whose distances are the rings of a large ensemble, and bytes of coordinates that a task may hold.
+PIVOTS = 3
+WALK_BYTES = 256 << 20
+
+
+def rings(rows: DataFrame, groups: SpreadGroups) -> DataFrame:
+    """``ring_0`` and so on: superposed RMSD to a few conformers of the ensemble, 0 to those of other atoms.
+
+    That RMSD obeys the triangle inequality, so two conformers of one formula differ in no ring by more than their own.
+    The pivots are those whose indexes have the lowest digests, one short row per oversized ensemble.
+    """
+    order = [F.md5(F.col("conf_idx").cast("string").cast("binary")), F.col("conf_idx")]
+    first = groups.ordinal(rows.select(*MEMBER), "_pivot", order).where(F.col("_pivot") <= PIVOTS)
+    chosen = join_on(rows.select(*MEMBER, "xyz", "formula"), cut_lineage(first, "pivots"), MEMBER)
+    pivots = chosen.groupBy("ensemble_id").agg(F.sort_array(F.collect_list(F.struct("_pivot", "formula", "xyz"))).alias("p"))
+    pivots = cut_lineage(pivots.select("ensemble_id", F.col("p.xyz").alias("pivot_xyz"), F.col("p.formula").alias("pivot_formula")), "pivots")
+    joined = groups.attach(rows, pivots)
+    names = [f"ring_{i}" for i in range(PIVOTS)]
+    kept = rows.columns
+    schema = ", ".join([*[f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept], *[f"{n} double" for n in names]])
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = np.zeros((len(batch), PIVOTS))
+            for i, (xyz, formula, pivot_xyz, pivot_formula) in enumerate(
+                zip(batch["xyz"], batch["formula"], batch["pivot_xyz"], batch["pivot_formula"], strict=True)):
+                for j, (other, name) in enumerate(zip(pivot_xyz, pivot_formula, strict=True)):
+                    if name == formula:
+                        found[i, j] = superposed_rmsd(np.asarray(xyz, float).reshape(1, -1, 3), np.asarray(other, float).reshape(1, -1, 3))[0]
+            yield batch[kept].assign(**{n: found[:, j] for j, n in enumerate(names)})
+
+    return cut_lineage(joined.mapInPandas(measure, schema), "ringed")
+
+
+def walk_limit(points: DataFrame, most: int) -> int:
+    """Conformers that one task may walk through: at most ``most``, and as many as their coordinates leave room for."""
+    longest = points.agg(F.max(F.size("xyz"))).first()[0] or 1
+    return max(1, min(most, WALK_BYTES // (8 * longest)))
+
+
+def rmsd_duplicates(
+    points: DataFrame, tolerance: float = RMSD_TOLERANCE, max_gap_kcal: float | None = ENERGY_GATE_KCAL, task_rows: int | None = None,
+) -> DataFrame:
     """Duplicates by superposed RMSD of conformers with the same atoms in the same order, in an energy gate.
 
-    ``points`` has the spreads, ``xyz`` and ``formula`` of each conformer.
+    ``points`` has the spreads, ``xyz`` and ``formula`` of each conformer. Large ensembles are keyed by rings of distances
+    to a few of their conformers.
     """
     spread = ["spread_a", "spread_b", "spread_c"]
+    ring = [f"ring_{i}" for i in range(PIVOTS)]
+    reach = tolerance * (1 + 1e-9) + 1e-9
 
     def same_rows(candidates: DataFrame) -> DataFrame:
-        matching = candidates.where(energy_gate(max_gap_kcal) & (F.col("formula") == F.col("kept_formula")))
-        wanted = matching.select(*MEMBER, "kept_idx", "kept_place", "xyz", "kept_xyz")
+        near = energy_gate(max_gap_kcal) & (F.col("formula") == F.col("kept_formula"))
+        for name in spread:
+            near = near & (F.abs(F.col(name) - F.col(f"kept_{name}")) <= reach)
+        wanted = candidates.where(near).select(*MEMBER, "kept_idx", "kept_place", "xyz", "kept_xyz")
         schema = wanted.drop("xyz", "kept_xyz").schema
 
         def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -279,7 +322,7 @@ def rmsd_duplicates(points: DataFrame, tolerance: float = RMSD_TOLERANCE, max_ga
         near = _gate(frame, kept, others, max_gap_kcal) & (frame["formula"].to_numpy()[others] == frame["formula"].iloc[kept])
         for name in spread:
             values = frame[name].to_numpy()
-            near &= np.abs(values[others] - values[kept]) <= tolerance * (1 + 1e-9)
+            near &= np.abs(values[others] - values[kept]) <= reach
         rows = np.flatnonzero(near)
         if len(rows):
             shapes = np.stack(frame["xyz"].iloc[others[rows]].to_numpy()).reshape(len(rows), -1, 3)
@@ -287,9 +330,9 @@ def rmsd_duplicates(points: DataFrame, tolerance: float = RMSD_TOLERANCE, max_ga
             near[rows] = superposed_rmsd(shapes, np.broadcast_to(one, shapes.shape)) <= tolerance
         return near
 
+    payload = ["energy_kcal", "xyz", "formula", *spread]
     return greedy_duplicates(
-        points, [F.col(s) for s in spread], tolerance * (1 + 1e-9), same_rows, ["energy_kcal", "xyz", "formula"] + spread, same
-    )
+        points, [F.col(r) for r in ring], reach, same_rows, payload, same, task_rows or walk_limit(points, WALK_ROWS), rings)
 
 
 def accept_mask(duplicates: DataFrame) -> DataFrame:

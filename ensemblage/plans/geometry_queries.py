@@ -75,7 +75,64 @@ def moment_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return found.where("kept_idx <> conf_idx")
 
 
-@register("scr_rmsd_pairs")
+def superposed_sql() -> dict[str, str]:
+    """Superposed RMSD of every two conformers of one formula in an ensemble, from the singular values of their covariance."""
+    h = [f"h{a}{b}" for a in "xyz" for b in "xyz"]
+    k = {f"{a}{b}": " + ".join(f"h{c}{a} * h{c}{b}" for c in "xyz") for a, b in ("xx", "yy", "zz", "xy", "xz", "yz")}
+    return {
+        "atoms": tensor_sql()["atoms"],
+        "centred": """
+            SELECT ensemble_id, conf_idx, row_number() OVER (PARTITION BY ensemble_id, conf_idx ORDER BY l_linenumber) AS spot, element, x - avg(x) OVER m AS x, y - avg(y) OVER m AS y, z - avg(z) OVER m AS z
+            FROM atoms WINDOW m AS (PARTITION BY ensemble_id, conf_idx)""",
+        "shapes": """
+            SELECT ensemble_id, conf_idx, string_agg(element, ' ' ORDER BY spot) AS formula, count(*) AS n, sum(x * x + y * y + z * z) AS g
+            FROM centred GROUP BY ensemble_id, conf_idx""",
+        "turned": f"""
+            SELECT a.ensemble_id, a.conf_idx AS i, b.conf_idx AS j, {", ".join(f"sum(a.{n[1]} * b.{n[2]}) AS {n}" for n in h)}
+            FROM centred a JOIN centred b ON a.ensemble_id = b.ensemble_id AND a.spot = b.spot AND a.conf_idx < b.conf_idx GROUP BY ALL""",
+        "squared": f"""
+            SELECT ensemble_id, i, j, {", ".join(f"{v} AS {n}" for n, v in k.items())},
+                   hxx * (hyy * hzz - hyz * hzy) - hxy * (hyx * hzz - hyz * hzx) + hxz * (hyx * hzy - hyy * hzx) AS det FROM turned""",
+        "pairs_scaled": """
+            SELECT *, (xx + yy + zz) / 3 AS q, xy * xy + xz * xz + yz * yz AS off,
+                   sqrt(((xx - q) * (xx - q) + (yy - q) * (yy - q) + (zz - q) * (zz - q) + 2 * off) / 6) AS p FROM squared""",
+        "pairs_angled": """
+            SELECT *, CASE WHEN p > 0 THEN acos(greatest(-1.0, least(1.0, ((xx - q) * ((yy - q) * (zz - q) - yz * yz)
+                   - xy * (xy * (zz - q) - yz * xz) + xz * (xy * yz - (yy - q) * xz)) / (2 * p * p * p)))) / 3 ELSE 0 END AS phi FROM pairs_scaled""",
+        "singular": """
+            SELECT ensemble_id, i, j, sign(det) AS side, sqrt(greatest(0, q + 2 * p * cos(phi))) AS s1, sqrt(greatest(0, q + 2 * p * cos(phi + 2 * pi() / 3))) AS s3,
+                   sqrt(greatest(0, 3 * q - (q + 2 * p * cos(phi)) - (q + 2 * p * cos(phi + 2 * pi() / 3)))) AS s2 FROM pairs_angled""",
+        "rmsds": """
+            SELECT s.ensemble_id, s.i, s.j, sqrt(greatest(0, (a.g + b.g - 2 * (s1 + s2 + side * s3)) / a.n)) AS rmsd FROM singular s
+            JOIN shapes a ON a.ensemble_id = s.ensemble_id AND a.conf_idx = s.i JOIN shapes b ON b.ensemble_id = s.ensemble_id AND b.conf_idx = s.j
+            WHERE a.formula = b.formula""",
+    }
+
+
+def rmsd_walk_sql(tolerance: float, gate: str, among: str = "shapes") -> dict[str, str]:
+    """The walk by energy over conformers of ``among``, each with the ones that it duplicates."""
+    return {
+        "alike": f"""
+            SELECT r.ensemble_id, r.i, r.j FROM rmsds r JOIN conformers_all a ON a.ensemble_id = r.ensemble_id AND a.conf_idx = r.i
+            JOIN conformers_all b ON b.ensemble_id = r.ensemble_id AND b.conf_idx = r.j WHERE rmsd <= {tolerance} AND {gate}""",
+        "alikes": """
+            SELECT ensemble_id, i AS conf_idx, list(j) AS others FROM (SELECT ensemble_id, i, j FROM alike UNION ALL SELECT ensemble_id, j, i FROM alike)
+            GROUP BY ensemble_id, i""",
+        "queued": f"""
+            SELECT ensemble_id, conf_idx, coalesce(others, []) AS others,
+                   row_number() OVER (PARTITION BY ensemble_id ORDER BY energy_kcal IS NULL, energy_kcal, conf_idx) AS pos
+            FROM conformers_all JOIN (SELECT ensemble_id, conf_idx FROM {among}) USING (ensemble_id, conf_idx) LEFT JOIN alikes USING (ensemble_id, conf_idx)""",
+        "led": """
+            SELECT ensemble_id, pos, conf_idx, conf_idx AS kept_idx, [conf_idx] AS kept FROM queued WHERE pos = 1
+            UNION ALL
+            SELECT ensemble_id, pos, conf_idx, coalesce(hit, conf_idx), CASE WHEN hit IS NULL THEN list_append(kept, conf_idx) ELSE kept END
+            FROM (SELECT m.*, w.kept, list_filter(w.kept, lambda k: list_contains(m.others, k))[1] AS hit
+                  FROM led w JOIN queued m ON m.ensemble_id = w.ensemble_id AND m.pos = w.pos + 1)""",
+    }
+
+
+@register("scr_rmsd_pairs", with_ctes(
+    "SELECT ensemble_id, conf_idx, kept_idx FROM led WHERE kept_idx <> conf_idx", {**superposed_sql(), **rmsd_walk_sql(1.0, "true")}))
 def rmsd_pairs(spark: SparkSession, folder: str) -> DataFrame:
     given = Given(spark, folder)
     atoms = given.coordinates()
@@ -84,7 +141,13 @@ def rmsd_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return found.where("kept_idx <> conf_idx")
 
 
-@register("scr_greedy_dedupe")
+FIRST_WALK = {k: v.replace("0.2::DOUBLE", f"{geometry.MOMENT_TOLERANCE}::DOUBLE").replace("<= 2.0", f"<= {geometry.ENERGY_GATE_KCAL}") for k, v in WALK.items()}
+
+
+@register("scr_greedy_dedupe", with_ctes(
+    "SELECT c.ensemble_id, c.conf_idx, coalesce(l.kept_idx = c.conf_idx, false) AS accepted FROM conformers_all c LEFT JOIN led l USING (ensemble_id, conf_idx)",
+    {**FIRST_WALK, "unlike": "SELECT ensemble_id, conf_idx FROM walk WHERE kept_idx = conf_idx", **superposed_sql(),
+     **rmsd_walk_sql(geometry.RMSD_TOLERANCE, f"abs(a.energy_kcal - b.energy_kcal) <= {geometry.ENERGY_GATE_KCAL}", "unlike")}))
 def dedupe(spark: SparkSession, folder: str) -> DataFrame:
     given = Given(spark, folder)
     return geometry.prune(given.coordinates(), given.conformers(all_energies=True))

@@ -193,6 +193,32 @@ def test_rmsd_duplicates_ignore_rotation(spark):
     assert all((value < 0.25) == (i % 4 == j % 4) for value, (i, j) in zip(measured, pairs))
 
 
+def test_large_ensembles_walk_in_runs_to_the_same_end(spark):
+    rng = np.random.default_rng(12)
+    shapes, rows = [rng.normal(size=(6, 3)) for _ in range(12)], []
+    for i in range(150):
+        n = 5 if i % 10 == 0 else 6  # some of another formula
+        shape = (shapes[i % 12] @ rotation(rng) + rng.normal(size=(6, 3)) * rng.choice([0.02, 0.1]))[:n]
+        rows += [(None if i % 3 else 2, i, a, "C", *map(float, p)) for a, p in enumerate(shape)]
+    atoms = spark.createDataFrame(rows, "ensemble_id int, conf_idx int, atom_index int, element string, x double, y double, z double")
+    energies = [(None if i % 3 else 2, i, None if i % 17 == 0 else float(i % 5)) for i in range(150)]
+    points = geometry.spreads(atoms).withColumnRenamed("ensemble_id", "e").join(
+        geometry.coordinate_lists(atoms).withColumnRenamed("ensemble_id", "f").drop("e"), "conf_idx").join(
+        spark.createDataFrame(energies, "ensemble_id int, conf_idx int, energy_kcal double"), "conf_idx").drop("e", "f").persist()
+    results = [sorted(map(tuple, geometry.rmsd_duplicates(points, 0.25, 1.5, limit).select("conf_idx", "kept_idx").collect())) for limit in (None, 20)]
+    assert results[0] == results[1] and len(results[0]) == 150
+    assert 12 < sum(i == k for i, k in results[0]) < 150
+
+
+def test_large_ensembles_by_moments_in_runs(spark, monkeypatch):
+    draw = random.Random(5)
+    rows = [(0, i, draw.choice([None, 0.0, 0.4, 3.0]), *[b * draw.choice([1.0, 1.004, 1.02]) for b in (10.0, 20.0, 30.0)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "ensemble_id int, conf_idx int, energy_kcal double, moment_a double, moment_b double, moment_c double")
+    whole = sorted(map(tuple, geometry.moment_duplicates(df).collect()))
+    monkeypatch.setattr(geometry, "WALK_ROWS", 30)
+    assert sorted(map(tuple, geometry.moment_duplicates(df).collect())) == whole
+
+
 def test_mirror_images_are_not_duplicates():
     shape = np.random.default_rng(2).normal(size=(1, 6, 3))
     assert geometry.superposed_rmsd(shape, shape * np.array([1, 1, -1]))[0] > 0.1
