@@ -35,9 +35,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Transitions kept by a worker before it starts anew; more only saves time.
-MOST_TRANSITIONS = 150_000
+MOST_TRANSITIONS = 300_000
 #: Pieces of text whose ids a worker remembers before it starts anew; longer pieces are not remembered.
-MOST_PIECES, LONGEST_PIECE = 150_000, 64
+MOST_PIECES, LONGEST_PIECE = 350_000, 64
+#: Pairs of tokens known to be neighbours or not, before they are found anew.
+MOST_PAIRS = 300_000
 #: Bytes behind the last emitted token beyond which states are not kept but made again.
 LONGEST_WINDOW = 512
 #: Ids per row of encoded text.
@@ -66,6 +68,7 @@ def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line)}
 
 
+BYTES = [bytes((byte,)) for byte in range(256)]
 #: A parse: its last token (-1: none), the parse before that and how many tokens it has. Equal beginnings are one object.
 Parse = tuple[int, Any, int]
 #: A parse that may go on: the bytes behind it, which begin a token.
@@ -88,7 +91,8 @@ class Transducer:
                 self.beginnings[token[:size]] = self.beginnings.get(token[:size], 0) | 1
         self.longest = max(map(len, ranks), default=1)
         self.edges = functools.lru_cache(1 << 17)(self._edges)
-        self.neighbours = functools.lru_cache(1 << 17)(self._neighbours)
+        #: left token * 2**32 + right token: whether they are neighbours
+        self.pairs: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -131,7 +135,7 @@ class Transducer:
             sides.append([(part, time, end) for (part, time), end in zip(first, ends, strict=True)])
         return sides[0], sides[1]
 
-    def _neighbours(self, left: int, right: int) -> bool:
+    def neighbours(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both gives both again.
 
         Apart from the border both merge in order of rank. A part at the end of the left and one at the start of the
@@ -156,15 +160,21 @@ class Transducer:
 
     def _follow(self, window: bytes, parses: list[Open]) -> list[Open]:
         """What is open behind the last byte of the window: tokens that go on, and the one parse that ends there, if any."""
-        ended, still = None, []
+        ended, still, about_of, known = None, [], self.beginnings.get, self.pairs
         for size, parse in parses:
-            about = self.beginnings.get(window[-size - 1 :], 0)
-            if about & 1:
-                still.append((size + 1, parse))
-            if about > 1 and ended is None:
-                token = (about >> 1) - 1
-                if self.neighbours(parse[0], token) if parse[0] >= 0 else self.edges(token):
-                    ended = token, parse, parse[2] + 1
+            about = about_of(window[-size - 1 :])
+            if about:
+                if about & 1:
+                    still.append((size + 1, parse))
+                if about > 1 and ended is None:
+                    token, last = (about >> 1) - 1, parse[0]
+                    fits = known.get(last << 32 | token) if last >= 0 else self.edges(token) is not None
+                    if fits is None:
+                        if len(known) >= MOST_PAIRS:
+                            known.clear()
+                        fits = known[last << 32 | token] = self.neighbours(last, token)
+                    if fits:
+                        ended = token, parse, parse[2] + 1
         if ended:
             still.append((0, ended))
         return still
@@ -181,10 +191,10 @@ class Transducer:
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """Follow a byte for the first time: all parses that can go on, and what they share."""
         window, base, parses = self.states[state]
-        window += bytes((byte,))
+        window += BYTES[byte]
         parses = self._follow(window, parses)
         shared = parses[0][1]
-        for _, parse in parses[1:]:
+        for _, parse in parses:
             while shared is not parse:
                 if shared[2] >= parse[2]:
                     shared = shared[1]
@@ -194,7 +204,10 @@ class Transducer:
         if shared is not base:
             emitted = self._path(shared, base)
             size, parse = parses[0]
-            window = window[len(window) - size - sum(len(self.tokens[token]) for token in self._path(parse, shared)) :]
+            while parse is not shared:
+                size += len(self.tokens[parse[0]])
+                parse = parse[1]
+            window = window[len(window) - size :]
         key = (shared[0], window)
         target = self.number.get(key)
         if target is None:
@@ -394,38 +407,30 @@ def decoded(parts: DataFrame, path: str | None = None) -> DataFrame:
     return parts.select("doc_id", "part", "ids").mapInArrow(work, f"doc_id {kind.simpleString()}, part bigint, ids binary, text string")
 
 
-def digests(parts: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of rows as ``encoded`` gives them: the digests of the ids and of what they decode to."""
-    spark = parts.sparkSession
-    shared = spark.sparkContext.broadcast({rank: token for token, rank in read_ranks(spark, path or default_path()).items()})
-    kind = parts.schema["doc_id"].dataType
+def round_trips(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: each text encoded and decoded again by the same worker, run by run."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(read_ranks(spark, path or default_path()))  # a vocabulary: its size doesn't grow
+    pattern = pattern or default_pattern()
+    kind = docs.schema["doc_id"].dataType
     schema = pa.schema([("doc_id", to_arrow_type(kind)), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = StreamDecoder(shared.value)
-        doc, count, of_ids, of_text, any_row = None, 0, hashlib.sha256(), hashlib.sha256(), False
-
-        def closed() -> tuple[Any, int, str, str]:
-            of_text.update(decoder.close().encode("utf-8"))
-            return doc, count, of_ids.hexdigest(), of_text.hexdigest()
-
-        def made(found: list[tuple[Any, int, str, str]]) -> pa.RecordBatch:
-            columns = list(zip(*found, strict=True)) or [[], [], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
+        encoder = TextEncoder(shared.value, pattern)
+        decoder = StreamDecoder(encoder.machine.tokens)
         for batch in batches:
-            found: list[tuple[Any, int, str, str]] = []
-            for row_doc, part, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if part == 0:
-                    if any_row:
-                        found.append(closed())
-                    doc, count, of_ids, of_text, any_row = row_doc, 0, hashlib.sha256(), hashlib.sha256(), True
-                count += len(ids) // 4
-                of_ids.update(ids)
-                of_text.update(decoder.feed(_ids(ids)).encode("utf-8"))
-            yield made(found)
-        if any_row:
-            yield made([closed()])
-
-    return parts.select("doc_id", "part", "ids").mapInArrow(
+            found: list[tuple[int, str, str]] = []
+            for text in batch.column(1):
+                count, of_ids, of_text = 0, hashlib.sha256(), hashlib.sha256()
+                for run in encoder.encode((text.as_py() or b"").decode("utf-8", "replace")):
+                    count += len(run) // 4
+                    of_ids.update(run)
+                    of_text.update(decoder.feed(_ids(run)).encode("utf-8"))
+                of_text.update(decoder.close().encode("utf-8"))
+                found.append((count, of_ids.hexdigest(), of_text.hexdigest()))
+            columns = list(zip(*found, strict=True)) or [[], [], []]
+            arrays = [batch.column(0).cast(schema.field(0).type), *[pa.array(c, schema.field(i + 1).type) for i, c in enumerate(columns)]]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
         work, f"doc_id {kind.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -109,7 +109,7 @@ def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op12_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """All documents encoded and decoded again."""
-    return bpe.digests(bpe.encoded(table(spark, folder, "documents")))
+    return bpe.round_trips(table(spark, folder, "documents"))
 
 
 @_query

@@ -41,7 +41,7 @@ def odd_texts():
 def test_texts_against_the_library(spark, library):
     rows = [(i // 2 if i % 5 else None, text, "clash") for i, text in enumerate(odd_texts())]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, part string")
-    found = sorted((tuple(r) for r in bpe.digests(bpe.encoded(docs)).collect()), key=repr)
+    found = sorted((tuple(r) for r in bpe.round_trips(docs).collect()), key=repr)
     assert found == sorted(((doc, *expected(library, text)) for doc, text, _ in rows), key=repr)
 
 
@@ -100,7 +100,7 @@ def test_invalid_bytes_and_an_empty_table(spark, library):
     docs = spark.createDataFrame([(1, b"ab\xffcd\xe6\x97")], "doc_id int, raw binary").selectExpr("doc_id", "cast(raw as string) as text")
     shown = bpe.decoded(bpe.encoded(docs)).collect()
     assert [r["text"] for r in shown] == [b"ab\xffcd\xe6\x97".decode("utf-8", "replace")]
-    assert bpe.digests(bpe.encoded(docs.limit(0))).count() == 0 and bpe.decoded(bpe.encoded(docs.limit(0))).count() == 0
+    assert bpe.round_trips(docs.limit(0)).count() == 0 and bpe.decoded(bpe.encoded(docs.limit(0))).count() == 0
 
 
 def test_registered_query(spark, library):
