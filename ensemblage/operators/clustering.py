@@ -197,32 +197,36 @@ def threshold_clusters(points: DataFrame, coordinates: list[str], cut: float, mi
     cores = _cores(placed, coordinates, cells, cut, min_members)
     counted = cut_lineage(cores.groupBy("ensemble_id", *cells).agg(F.min("conf_idx").alias("node")), "cells")
     links = _linked_cells(cores.join(counted, ["ensemble_id", *cells]), coordinates, cells, cut, width)
-    labels = before = cut_lineage(counted.select("ensemble_id", "node", F.col("node").alias("label")), "labels")
+    labels = lowest_labels(counted.select("ensemble_id", "node"), links, max_rounds)
+    named = counted.join(labels, ["ensemble_id", "node"]).select("ensemble_id", *cells, "label")
+    labelled = cores.join(named, ["ensemble_id", *cells])
+    if min_members == 1:
+        return labelled.select(*points.columns, "label")
+    labelled = cut_lineage(labelled, "labelled_cores")
+    others = placed.join(cores.select(*MEMBER), MEMBER, "left_anti")
+    near = _around(others, labelled, coordinates, cells, cut).groupBy(*MEMBER).agg(F.min("label").alias("label"))
+    rest = others.join(near, MEMBER, "left").withColumn("label", F.coalesce("label", "conf_idx"))
+    return labelled.select(*points.columns, "label").unionByName(rest.select(*points.columns, "label"))
+
+
+def lowest_labels(nodes: DataFrame, links: DataFrame, max_rounds: int = 1000) -> DataFrame:
+    """ensemble_id, node, label: the lowest node that links (ensemble_id, node, other; both ways) lead to, step by step."""
+    labels = before = cut_lineage(nodes.select("ensemble_id", "node", F.col("node").alias("label")), "labels")
     for _ in range(max_rounds):
-        around = links.join(labels.withColumnRenamed("node", "other"), ["ensemble_id", "other"]).groupBy("ensemble_id", "node").agg(
+        around = join_on(links, labels.withColumnRenamed("node", "other"), ["ensemble_id", "other"]).groupBy("ensemble_id", "node").agg(
             F.min("label").alias("seen"))
-        lowered = labels.join(around, ["ensemble_id", "node"], "left").select(
+        lowered = join_on(labels, around, ["ensemble_id", "node"], "left").select(
             "ensemble_id", "node", F.col("label").alias("old"), F.least("label", "seen").alias("label"))
         # then take the label of the label, which halves the remaining way
         jump = lowered.select("ensemble_id", F.col("node").alias("label"), F.col("label").alias("further"))
         lowered = cut_lineage(
-            lowered.join(jump, ["ensemble_id", "label"]).select(
+            join_on(lowered, jump, ["ensemble_id", "label"]).select(
                 "ensemble_id", "node", "old", F.least("label", "further").alias("label")), "labels", replaces=before)
         before = lowered
         labels = lowered.select("ensemble_id", "node", "label")
         if lowered.where(F.col("old") != F.col("label")).isEmpty():
-            break
-    else:
-        raise RuntimeError(f"clusters still grow after {max_rounds} rounds")
-    named = counted.join(labels, ["ensemble_id", "node"]).select("ensemble_id", *cells, "label")
-    labelled = cores.join(named, ["ensemble_id", *cells])
-    if min_members == 1:
-        return labelled.select(*points.columns, "label")
-    labelled = cut_lineage(labelled, "labelled_cores")
-    others = placed.join(cores.select(*MEMBER), MEMBER, "left_anti")
-    near = _around(others, labelled, coordinates, cells, cut).groupBy(*MEMBER).agg(F.min("label").alias("label"))
-    rest = others.join(near, MEMBER, "left").withColumn("label", F.coalesce("label", "conf_idx"))
-    return labelled.select(*points.columns, "label").unionByName(rest.select(*points.columns, "label"))
+            return labels
+    raise RuntimeError(f"clusters still grow after {max_rounds} rounds")
 
 
 def _steps(cells: list[str]) -> list[tuple[int, ...]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ensemblage.functions import constants as K
-from ensemblage.operators import clustering, geometry, linkage as trees, screen
+from ensemblage.operators import clustering, geometry, linkage as trees, metric as metrics, screen
 from ensemblage.plans.adapters import Given
 from ensemblage.plans.catalog import register
 from ensemblage.plans.oracle import r6, with_ctes
@@ -141,6 +141,25 @@ def rmsd_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return found.where("kept_idx <> conf_idx")
 
 
+@register("scr_cluster_metric", with_ctes(f"""
+    SELECT s.ensemble_id, s.conf_idx, coalesce(min(r.label), s.conf_idx) AS label FROM shapes s
+    LEFT JOIN led_to r ON r.ensemble_id = s.ensemble_id AND r.conf_idx = s.conf_idx GROUP BY s.ensemble_id, s.conf_idx""",
+    {**tensor_sql(), **superposed_sql(),
+     "logs": ", ".join(["SELECT ensemble_id, conf_idx", *[f"ln(greatest({m}, {metrics.LEAST_MOMENT})) AS {m}" for m in ("low", "mid", "high")]]) + " FROM eigen",
+     "mixed": """
+        SELECT r.ensemble_id, r.i, r.j FROM rmsds r JOIN logs a ON a.ensemble_id = r.ensemble_id AND a.conf_idx = r.i
+        JOIN logs b ON b.ensemble_id = r.ensemble_id AND b.conf_idx = r.j
+        WHERE (rmsd + greatest(abs(a.low - b.low), abs(a.mid - b.mid), abs(a.high - b.high))) / 2 <= 1.5""",
+     "both_ways": "SELECT ensemble_id, i, j FROM mixed UNION ALL SELECT ensemble_id, j, i FROM mixed",
+     "led_to": """
+        SELECT ensemble_id, i AS conf_idx, i AS label FROM both_ways
+        UNION
+        SELECT l.ensemble_id, l.j, r.label FROM led_to r JOIN both_ways l ON l.ensemble_id = r.ensemble_id AND l.i = r.conf_idx"""}))
+def by_metric(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters by the mean of superposed RMSD and the difference of moments."""
+    return metrics.metric_clusters(metrics.shapes(Given(spark, folder).coordinates()), 1.5, "mix")
+
+
 FIRST_WALK = {k: v.replace("0.2::DOUBLE", f"{geometry.MOMENT_TOLERANCE}::DOUBLE").replace("<= 2.0", f"<= {geometry.ENERGY_GATE_KCAL}") for k, v in WALK.items()}
 
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ensemblage.operators import clustering, linkage
+from ensemblage.operators import clustering, linkage, metric
 
 SPOTS = "ensemble_id long, conf_idx long, u double, v double, merge string"
 
@@ -130,3 +130,45 @@ def test_silhouettes_against_all_pairs():
             a, b = gaps[i, own].mean() if own.any() else 0.0, min(others)
             want.append((b - a) / max(a, b) if own.any() else 0.0)
         assert np.allclose(clustering._silhouettes(points, labels), want)
+
+
+def shape_rows():
+    """Conformers of two formulas around a few shapes, chains of small steps among them."""
+    rng = np.random.default_rng(14)
+    bases, rows = [rng.normal(size=(5, 3)) for _ in range(4)], []
+    for i in range(120):
+        shape = bases[i % 4] + 0.02 * (i // 4) * rng.normal(size=(5, 3)) * rng.choice([0, 1, 3])
+        q, _ = np.linalg.qr(rng.normal(size=(3, 3)))
+        if i % 3:
+            shape = shape @ (q * np.sign(np.linalg.det(q)))
+        rows += [(None if i % 5 else 1, i, a, "O" if i % 7 == 0 and a == 2 else "C", *map(float, p)) for a, p in enumerate(shape)]
+    return rows
+
+
+@pytest.mark.parametrize("name", metric.METRICS)
+def test_clusters_by_metric_against_all_pairs(spark, monkeypatch, name):
+    monkeypatch.setattr(metric, "BLOCK_ROWS", 5)
+    atoms = spark.createDataFrame(shape_rows(), "ensemble_id int, conf_idx int, atom_index int, element string, x double, y double, z double")
+    shapes = metric.shapes(atoms).persist()
+    table = shapes.toPandas().sort_values("conf_idx").reset_index(drop=True)
+    measured, ensembles = metric._Shapes(table, name), [None if e != e else e for e in table["ensemble_id"]]
+    cut, ids = (0.35 if name == "moi" else 0.5), table["conf_idx"].to_numpy()
+    label = {(e, i): i for e, i in zip(ensembles, ids, strict=True)}
+    gaps = np.stack([measured.from_one(i, np.arange(len(table))) for i in range(len(table))])
+    for _ in range(len(ids)):
+        for i in range(len(ids)):
+            near = [j for j in range(len(ids)) if gaps[i, j] <= cut and ensembles[i] == ensembles[j]]
+            least = min(label[ensembles[j], ids[j]] for j in near)
+            for j in near:
+                label[ensembles[j], ids[j]] = least
+        if all(label[e, label[e, i]] == label[e, i] for e, i in label):
+            break
+    for task_rows in (None, 25):
+        found = {(r.ensemble_id, r.conf_idx): r.label for r in metric.metric_clusters(shapes, cut, name, task_rows).collect()}
+        assert found == label
+    assert 2 < len(set(label.items()) & {((e, i), i) for e, i in label}) < 110
+
+
+def test_unknown_metric(spark):
+    with pytest.raises(ValueError):
+        metric.metric_clusters(spark.createDataFrame([], "ensemble_id int, conf_idx int, xyz array<double>, formula string, log_a double, log_b double, log_c double"), 1.0, "x")
