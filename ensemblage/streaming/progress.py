@@ -1,7 +1,8 @@
 """Task states and progress over a stream of task events; each stream gives what the batch gives.
 
-State lives in a table of updates in the shared folder, one folder per micro-batch. A replayed batch
-overwrites its own folder, and readers take the highest state, so replays and late events do no harm.
+The stream itself keeps no state: each micro-batch is reduced to one row per task and merged into a bucketed table
+(``snapshots``), which has the highest state and the first and last event of each task. Order of events and replays of
+batches make no difference, and a batch reads the buckets of its own jobs only, however many batches came before.
 """
 
 from __future__ import annotations
@@ -12,14 +13,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ensemblage.operators import monitor
 from ensemblage.session import scratch_path
+from ensemblage.streaming.snapshots import BucketedTable
 
 
 def _run(frame: DataFrame, work: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Process what is available and stop, in update mode."""
-    query = (
-        frame.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).foreachBatch(work).start()
-    )
+    """Process what is available and stop."""
+    query = frame.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(work).start()
     query.awaitTermination()
 
 
@@ -30,55 +29,77 @@ def _append(folder: str) -> Callable[[DataFrame, int], None]:
     return work
 
 
-def update_states(events: DataFrame, folder: str) -> None:
-    _run(monitor.task_states(events), _append(f"{folder}/states"), f"{folder}/_states")
+def _merged_tasks(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("job_id", "task_idx").agg(F.max("state").alias("state"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
 
 
-def read_states(spark: SparkSession, folder: str) -> DataFrame:
-    updates = spark.read.parquet(f"{folder}/states")
-    return updates.groupBy("job_id", "task_idx").agg(F.max("state").alias("state"))
+def task_table(spark: SparkSession, folder: str) -> BucketedTable:
+    """job_id, task_idx, state, first_ts, last_ts: one row per task, a job's tasks in one bucket."""
+    return BucketedTable(spark, f"{folder}/tasks", "job_id", _merged_tasks)
+
+
+def _as_updates(batch: DataFrame) -> DataFrame:
+    state = F.max(monitor.signal_rank(F.col("signal"))).alias("state")
+    return batch.groupBy("job_id", "task_idx").agg(state, F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
+def update_tasks(events: DataFrame, folder: str, then: Callable[[DataFrame, int], None] | None = None) -> BucketedTable:
+    """Merge what is there into the tasks; ``then`` gets the rows of the buckets that a batch touched and its number."""
+    table = task_table(events.sparkSession, folder)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        touched = table.add(_as_updates(batch), batch_id)
+        if then:
+            then(touched, batch_id)
+
+    _run(events, work, f"{folder}/_tasks")
+    if table.read() is None:  # nothing has come yet: an empty table, of batch -1
+        schema = "job_id {}, task_idx {}, state int, first_ts timestamp, last_ts timestamp".format(
+            *[events.schema[c].dataType.simpleString() for c in ("job_id", "task_idx")])
+        table.empty = events.sparkSession.createDataFrame([], schema)
+    return table
+
+
+def _tasks(table: BucketedTable) -> DataFrame:
+    found = table.read()
+    return table.empty if found is None else found
 
 
 def stream_task_states(events: DataFrame, folder: str | None = None) -> DataFrame:
     """Run the stream over what is there and return the latest state per task."""
     spark = events.sparkSession
-    folder = folder or scratch_path(spark, "states")
-    update_states(events, folder)
-    return read_states(spark, folder)
+    return _tasks(update_tasks(events, folder or scratch_path(spark, "states"))).select("job_id", "task_idx", "state")
 
 
 def stream_progress(events: DataFrame, sizes: DataFrame, folder: str | None = None) -> DataFrame:
-    """Progress snapshots of the jobs each batch touched; returns the latest per job."""
+    """The latest progress of each job that sent an event, kept up to date batch by batch for the jobs of its buckets."""
     spark = events.sparkSession
     folder = folder or scratch_path(spark, "progress")
+    latest = BucketedTable(spark, f"{folder}/jobs", "job_id", lambda rows: rows.groupBy("job_id").agg(
+        F.max_by(F.struct(*[c for c in rows.columns if c != "job_id"]), "batch").alias("s")).select("job_id", "s.*"))
 
-    def work(batch: DataFrame, batch_id: int) -> None:
-        _append(f"{folder}/states")(batch, batch_id)
-        session = batch.sparkSession
-        counts = monitor.progress(read_states(session, folder), sizes)
-        # what was just written, so that the stateful step isn't run again
-        touched = session.read.parquet(f"{folder}/states/batch={batch_id}").select("job_id").distinct()
-        snapshot = counts.join(touched, "job_id", "left_semi")
-        snapshot.write.mode("overwrite").parquet(f"{folder}/snapshots/batch={batch_id}")
+    def work(touched: DataFrame, batch_id: int) -> None:
+        jobs = touched.select("job_id").distinct()
+        counts = monitor.progress(touched.select("job_id", "task_idx", "state"), sizes.join(jobs, "job_id", "left_semi"))
+        latest.add(counts.withColumn("batch", F.lit(batch_id).cast("bigint")), batch_id)
 
-    _run(monitor.task_states(events), work, f"{folder}/_progress")
-    snapshots = spark.read.parquet(f"{folder}/snapshots")
-    columns = [c for c in snapshots.columns if c not in ("job_id", "batch")]
-    latest = snapshots.groupBy("job_id").agg(F.max_by(F.struct(*columns), "batch").alias("s"))
-    return latest.select("job_id", "s.*")
+    table = update_tasks(events, folder, work)
+    found = latest.read()
+    if found is None:
+        return monitor.progress(_tasks(table), sizes.limit(0))
+    return found.drop("batch")
 
 
 def stream_timeouts(events: DataFrame, sizes: DataFrame, limit_minutes: int, folder: str | None = None) -> DataFrame:
-    """Jobs with tasks left past the limit, by event time: the latest event stands for the clock."""
+    """Jobs with tasks left past the limit, by event time: the latest event stands for the clock.
+
+    One stream and one row per task are read, never the events of earlier batches.
+    """
     spark = events.sparkSession
-    folder = folder or scratch_path(spark, "timeouts")
-    update_states(events, folder)
-    _run(monitor.spans(events), _append(f"{folder}/spans"), f"{folder}/_spans")
-    span = spark.read.parquet(f"{folder}/spans").groupBy("job_id").agg(
-        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")
-    )
+    tasks = _tasks(update_tasks(events, folder or scratch_path(spark, "timeouts")))
+    span = tasks.groupBy("job_id").agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
     clock = span.agg(F.max("last_ts")).first()[0]  # one value
-    counts = monitor.progress(read_states(spark, folder), sizes)
+    counts = monitor.progress(tasks.select("job_id", "task_idx", "state"), sizes)
     return monitor.timeouts(span, counts, F.lit(clock), limit_minutes)
 
 

@@ -1,6 +1,8 @@
 """Streams give what the batch gives, also when more events arrive later or a batch is replayed."""
 
 import datetime as dt
+import os
+import random
 
 from pyspark.sql import functions as F
 
@@ -71,6 +73,55 @@ def test_windows_lose_nothing_over_unordered_batches(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def folder_bytes(folder):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files)
+
+
+def test_ten_unordered_batches_equal_the_batch_and_cost_the_same(spark, tmp_path):
+    events, folder = str(tmp_path / "events"), str(tmp_path / "state")
+    sizes = spark.createDataFrame([(f"j{i}", 4) for i in range(12)], "job_id string, n_tasks int")
+    draw = random.Random(4)
+    kept, listed = [], []
+    for batch in range(10):  # the same jobs and tasks again and again, in any order of time
+        write(spark, events, [(f"j{draw.randrange(12)}", draw.randint(1, 5), draw.randrange(500), draw.choice([*monitor.RANKS, "other"])) for _ in range(60)])
+        stream = spark.readStream.schema(SCHEMA).parquet(events)
+        got = sorted(map(tuple, streams.stream_progress(stream, sizes, folder).collect()))
+        whole = spark.read.schema(SCHEMA).parquet(events)
+        seen = whole.select("job_id").distinct()
+        assert got == sorted(map(tuple, monitor.progress(monitor.task_states(whole), sizes.join(seen, "job_id", "left_semi")).collect()))
+        kept.append(folder_bytes(f"{folder}/tasks/rows"))
+        listed.append(len(os.listdir(f"{folder}/tasks/lists")))
+    assert max(kept[4:]) < 1.5 * kept[3] and max(listed) <= 3  # two generations at most: a batch has no more to read
+
+
+def test_a_replayed_or_broken_batch_changes_nothing(spark, tmp_path):
+    table = streams.task_table(spark, str(tmp_path))
+    start = dt.datetime(2024, 1, 1)
+
+    def update(rows):
+        return spark.createDataFrame([(j, t, s, start, start + dt.timedelta(hours=t)) for j, t, s in rows],
+                                     "job_id string, task_idx int, state int, first_ts timestamp, last_ts timestamp")
+
+    assert table.read() is None
+    table.add(update([("a", 1, 1), ("b", 1, 3)]), 0)
+    table.add(update([("a", 1, 2), ("a", 2, 1)]), 1)
+    once = sorted(map(tuple, table.read().collect()))
+    table.add(update([("a", 1, 2), ("a", 2, 1)]), 1)  # replayed
+    update([("a", 1, 9)]).write.parquet(f"{tmp_path}/tasks/rows/2/_bucket=0")  # ended before its list was in place
+    assert sorted(map(tuple, table.read().collect())) == once and [r[:3] for r in once] == [("a", 1, 2), ("a", 2, 1), ("b", 1, 3)]
+    table.add(update([("b", 1, 1)]), 2)
+    assert [r[:3] for r in sorted(map(tuple, table.read().collect()))] == [("a", 1, 2), ("a", 2, 1), ("b", 1, 3)]
+
+
+def test_streams_without_events(spark, tmp_path):
+    events = str(tmp_path / "events")
+    os.makedirs(events)
+    sizes = spark.createDataFrame([("a", 3)], "job_id string, n_tasks int")
+    stream = spark.readStream.schema(SCHEMA).parquet(events)
+    assert streams.stream_task_states(stream, str(tmp_path / "s1")).count() == 0
+    assert streams.stream_progress(stream, sizes, str(tmp_path / "s2")).count() == 0
+
+
 def test_blocks_of_a_log(spark):
     text = "head\nNucleus A: 1\nx\nNUCLEUS A = 2\r\ny\nz"
     df = spark.createDataFrame([("m", 1, "f", text), ("m", 2, "f", "Nucleus A: 1\nx")], "ensemble_id string, task_idx int, file_name string, content string")
