@@ -25,6 +25,7 @@ import codecs
 import functools
 import hashlib
 import itertools
+import re
 from array import array
 from collections.abc import Iterator
 from typing import Any
@@ -35,9 +36,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Transitions kept by a worker before it starts anew; more only saves time.
-MOST_TRANSITIONS = 300_000
+MOST_TRANSITIONS = 500_000
 #: Pieces of text whose ids a worker remembers before it starts anew; longer pieces are not remembered.
-MOST_PIECES, LONGEST_PIECE = 350_000, 64
+MOST_PIECES, LONGEST_PIECE = 600_000, 64
 #: Pairs of tokens known to be neighbours or not, before they are found anew.
 MOST_PAIRS = 300_000
 #: Bytes behind the last emitted token beyond which states are not kept but made again.
@@ -247,12 +248,34 @@ class Transducer:
         return list(self._path(parses[-1][1], base))
 
 
+#: Texts of these characters alone are parted by Python's own, faster expressions.
+LATIN = re.compile("[\t\n\r -~\u00a0-\u024f]*")
+
+
+def latin_pattern(pattern: str) -> re.Pattern[str] | None:
+    """The pattern for ``LATIN`` texts, its classes of letters and numbers written out; None if it has others."""
+    shown = "".join(map(chr, range(0x24F + 1)))
+    out, inside = [], False
+    for part in regex.findall(r"\\[pP]\{\w+\}|\\.|.", pattern, flags=regex.DOTALL):
+        if part[:2] in (r"\p", r"\P") and len(part) > 2:
+            found = "".join(map(re.escape, regex.findall(part, shown)))
+            out.append(found if inside else f"[{found}]")
+            continue
+        inside = (inside or part == "[") and part != "]"
+        out.append(part)
+    try:
+        return re.compile("".join(out))
+    except re.error:
+        return None
+
+
 class TextEncoder:
     """Ids of texts: each match of the pattern for itself, short ones remembered."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.machine = Transducer(ranks)
         self.pattern = regex.compile(pattern)
+        self.latin = latin_pattern(pattern)
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}  # the pieces remembered last; those met again are taken over
 
@@ -269,21 +292,24 @@ class TextEncoder:
     def encode(self, text: str) -> Iterator[bytes]:
         """Runs of ids as little-endian unsigned 32-bit integers, a run per stretch of text."""
         self._forget_some()
-        known, new = self.known, self._new
+        pattern = self.latin if self.latin and LATIN.fullmatch(text) else self.pattern
+        if len(text) <= 1 << 20:  # a text of ordinary length at once
+            pieces = pattern.findall(text)
+            found = list(map(self.known.get, pieces))
+            if None in found:
+                found = [ids or self.known.get(piece) or self._new(piece) for ids, piece in zip(found, pieces, strict=True)]
+            yield b"".join(found)
+            return
         run: list[bytes] = []
         size = 0
-        for match in self.pattern.finditer(text) if len(text) > 1 << 20 else (self.pattern.findall(text),):
-            if isinstance(match, list):  # a text of ordinary length at once
-                yield b"".join([known.get(piece) or new(piece) for piece in match])
-                return
-            ids = known.get(match.group()) or new(match.group())
+        for match in pattern.finditer(text):
+            ids = self.known.get(match.group()) or self._new(match.group())
             run.append(ids)
             size += len(ids)
             if size >= 4 * IDS_PER_ROW:
                 yield b"".join(run)
                 run, size = [], 0
                 self._forget_some()
-                known = self.known
         yield b"".join(run)
 
 
@@ -334,6 +360,7 @@ class StreamDecoder:
         self.tokens = tokens
         #: per beginning of a character: id to the text that becomes complete and the beginning left
         self.steps: dict[bytes, dict[int, tuple[str, bytes]]] = {b"": {}}
+        self.whole: dict[int, str] = {}  # tokens that are whole characters
         self.pending = b""
 
     def _step(self, pending: bytes, number: int) -> tuple[str, bytes]:
@@ -345,9 +372,13 @@ class StreamDecoder:
         left = machine.getstate()[0]
         found = self.steps[pending][number] = text, left
         self.steps.setdefault(left, {})
+        if not pending and not left:
+            self.whole[number] = text
         return found
 
     def feed(self, ids: array[int]) -> str:
+        if not self.pending and None not in (texts := list(map(self.whole.get, ids))):
+            return "".join(texts)
         out: list[str] = []
         pending, here = self.pending, self.steps[self.pending]
         for number in ids:
