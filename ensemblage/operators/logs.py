@@ -255,13 +255,16 @@ def coupling_total() -> Column:
 
 
 def comment_energy(comment: Column) -> Column:
-    """kcal/mol in a frame's comment: a named relative energy, else the first number unless it is in Hartree only."""
+    """kcal/mol in a frame's comment: a named relative energy, else the first number unless it is in Hartree only.
+
+    Units count whatever signs stand around them. Numbers inside words, such as "conf1", are no energies.
+    """
     words = F.split(F.trim(F.regexp_replace(comment, "[:=,;()]+", " ")), r"\s+")
     numbers = F.filter(F.transform(words, _leading_number), lambda n: n.isNotNull())
     named_at = F.array_position(words, F.lit(K.COMMENT_RELATIVE))
     after = F.when(named_at > 0, F.get(words, named_at.cast("int")))
-    units = F.transform(words, lambda w: F.lower(w))
-    hartree_only = (F.array_contains(units, "eh") | F.array_contains(units, "hartree")) & ~F.exists(units, lambda u: u.startswith("kcal"))
+    units = F.split(F.lower(comment), "[^a-z]+")
+    hartree_only = F.arrays_overlap(units, F.array(*map(F.lit, ("eh", "hartree")))) & ~F.array_contains(units, "kcal")
     return F.coalesce(_leading_number(after), F.when(~hartree_only, F.get(numbers, F.lit(0))))
 
 

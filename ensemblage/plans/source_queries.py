@@ -46,18 +46,24 @@ def log_values(given: Given) -> DataFrame:
     return logs.file_values(given.job_files())
 
 
-@register("src_job_outputs", sql("""
-    SELECT ensemble_id, task_idx, file_name,
-           printf('/runs/%d/task_%04d/', ensemble_id, task_idx) || file_name AS path,
-           CASE file_name WHEN 'orca_nmr_h.out' THEN 48 ELSE -1 END
-             + CASE file_name WHEN 'orca_nmr_h.out' THEN CASE o_orderstatus WHEN 'F' THEN 32 ELSE 6 END ELSE 0 END AS nmr_bytes
-    FROM run_files"""))
+@register("src_job_outputs", sql(r"""
+    SELECT ensemble_id, task_idx, file_name, printf('/runs/%d/task_%04d/', ensemble_id, task_idx) || file_name AS path,
+           octet_length(encode(content))::BIGINT AS n_bytes, md5(content) AS content_md5
+    FROM (SELECT *, CASE file_name
+        WHEN 'a_freq.out' THEN printf('FINAL SINGLE POINT ENERGY     %.12f', e_low + 0.5) || chr(10)
+            || printf('FINAL SINGLE POINT ENERGY     %.12f', e_low) || chr(10) || 'THERMOCHEMISTRY AT T = 298.15 K' || chr(10)
+            || printf('Total enthalpy      ...   %.12f Eh', e_low + 0.05) || chr(10)
+            || 'Total entropy correction     ...  -0.010000000000 Eh' || chr(10)
+            || printf('Final Gibbs free energy   ...  %.12f Eh', e_low + g_corr) || chr(10)
+            || printf('G-E(el)     ...  %.12f Eh  26.3 kcal/mol', g_corr) || chr(10)
+        WHEN 'b_sp.out' THEN 'SCF done' || chr(13) || chr(10) || printf('FINAL SINGLE POINT ENERGY     %.12f', e_high) || chr(13) || chr(10)
+        ELSE 'FINAL SINGLE POINT ENERGY     -99.000000000000' || chr(10) END
+        || CASE o_orderstatus WHEN 'F' THEN '****ORCA TERMINATED NORMALLY****' ELSE 'killed' END || chr(10) AS content FROM run_files)"""))
 def job_outputs(spark: SparkSession, folder: str) -> DataFrame:
     found = Given(spark, folder).job_files()
     path = F.concat(F.format_string("/runs/%d/task_%04d/", "ensemble_id", "task_idx"), F.col("file_name"))
     read = files.raw_files(found.select("ensemble_id", path.alias("path"), F.encode("content", "UTF-8").alias("content")))
-    nmr_bytes = F.when(F.col("file_name") == "orca_nmr_h.out", F.col("n_bytes").cast("int")).otherwise(-1)
-    return read.select("ensemble_id", "task_idx", "file_name", "path", nmr_bytes.alias("nmr_bytes"))
+    return read.select("ensemble_id", "task_idx", "file_name", "path", "n_bytes", F.md5(F.encode("content", "UTF-8")).alias("content_md5"))
 
 
 @register("src_task_roster", """

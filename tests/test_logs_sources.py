@@ -128,10 +128,11 @@ def test_no_coupling_mark_of_a_long_line_is_lost(spark):
 
 
 def test_comment_energies(spark):
-    lines = ["   0.5 kcal/mol", "Erel:   1.234 kcal/mol Etot: -123.45 Eh", "Energy: -123.456 Eh", "2.5", "", "none"]
+    lines = ["   0.5 kcal/mol", "Erel:   1.234 kcal/mol Etot: -123.45 Eh", "Energy: -123.456 Eh", "2.5", "", "none",
+             "Energy: -123.456 [Eh]", "E -123.45 Hartree.", "E=-123.4(Hartree)", "conf1 0.7 kcal/mol (-1.0 Eh)", "conf1 0.9"]
     df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "n int, c string")
     got = [r[0] for r in df.orderBy("n").select(logs.comment_energy(F.col("c"))).collect()]
-    assert got == [0.5, 1.234, None, 2.5, None, None]
+    assert got == [0.5, 1.234, None, 2.5, None, None, None, None, None, 0.7, 0.9]
 
 
 @pytest.mark.parametrize(
