@@ -8,7 +8,8 @@ time that fills all slots almost surely are made, and more where a slot stayed e
 the full processes.
 
 Documents that share a band of the signature are candidates; their bags are then compared exactly.
-Defined results: equal texts are one class; a null text or one without words is a class of its own; a text of
+Defined results: equal texts are one class, named by its least doc_id, null if it has none; texts of any length are compared
+as whole bags; a null text or one without words is a class of its own; a text of
 fewer than five words is one shingle; a repeated row gets the same class; columns beyond doc_id and text are
 ignored; an empty table gives no rows.
 """
@@ -225,8 +226,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents with the least doc_id of their class, each once; documents without words all stay."""
-    dropped = near_duplicates(docs, similarity).where(F.col("digest").isNotNull() & (F.col("doc_id") != F.col("class_id")))
-    dropped = cut_lineage(dropped.select("doc_id", F.col("digest").alias("_digest")).distinct(), "dropped")
-    kept = docs.withColumn("_digest", _digest()).join(dropped, ["doc_id", "_digest"], "left_anti")
-    return kept.dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    """The documents with the least doc_id of their class, each once; documents without text or words all stay.
+
+    A document without doc_id goes if its class has one with a doc_id; of equal texts without any doc_id one stays.
+    """
+    classes = near_duplicates(docs, similarity).where(F.col("digest").isNotNull() & F.col("class_id").isNotNull())
+    dropped = classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id")))
+    dropped = cut_lineage(dropped.select(F.col("doc_id").alias("_doc"), F.col("digest").alias("_gone")).distinct(), "dropped")
+    marked = docs.withColumn("_digest", _digest())
+    kept = marked.join(dropped, marked["doc_id"].eqNullSafe(dropped["_doc"]) & (marked["_digest"] == dropped["_gone"]), "left_anti")
+    worded = F.col("text").isNotNull() & F.col("text").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]")
+    return kept.where(worded).dropDuplicates(["doc_id", "_digest"]).unionByName(kept.where(~F.coalesce(worded, F.lit(False)))).drop("_digest")
