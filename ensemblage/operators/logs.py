@@ -111,7 +111,7 @@ def block_lines(files: DataFrame, header: str) -> DataFrame:
     cut = files.select(*FILE, pieces.alias("pieces"))
     opens = F.col("pieces")[0].rlike(r"(?i)^" + line).cast("int")
     cut = cut.select(*FILE, opens.alias("opens"), F.size("pieces").alias("n"), F.posexplode("pieces").alias("piece", "text"))
-    text = F.when(F.col("piece") < F.col("n") - 1, F.regexp_replace("text", r"\r?\n$", "")).otherwise(F.col("text"))
+    text = F.when(F.col("piece") < F.col("n") - 1, F.regexp_replace("text", r"\r?\n\z", "")).otherwise(F.col("text"))
     return cut.select(
         *FILE, (F.col("piece") + F.col("opens")).alias("block"), F.posexplode(lines_of(text)).alias("pos", "line")
     )
