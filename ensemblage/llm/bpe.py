@@ -226,13 +226,17 @@ class Transducer:
         if len(self.steps) > MOST_TRANSITIONS:
             self._forget()
         ids: list[int] = []
-        state, steps = 0, self.steps
+        state, steps, states = 0, self.steps, self.states
         for at, byte in enumerate(piece):
             step = steps.get(state << 8 | byte)
             if step is None:
-                if len(self.states[state][0]) >= LONGEST_WINDOW:
+                if len(states[state][0]) >= LONGEST_WINDOW:
                     return ids + self._without_states(state, piece[at:])
+                before = len(states)
                 step = self._step(state, byte)
+                if len(states) > before:  # what follows a state that is new is new as well: it waits until it comes again
+                    ids += step[1]
+                    return ids + self._without_states(step[0], piece[at + 1 :])
             state, emitted = step
             if emitted:
                 ids += emitted
