@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ensemblage.functions.scalars import spin_by_two
-from ensemblage.operators.groups import GroupPlan, plan_groups
+from ensemblage.operators.groups import GroupPlan, join_on, plan_groups
 from ensemblage.session import cut_lineage
 
 ATOM = ["ensemble_id", "atom_index"]
@@ -51,6 +52,96 @@ def topological_classes(atoms: DataFrame, bonds: DataFrame, max_rounds: int = 10
     raise RuntimeError(f"classes still split after {max_rounds} rounds")
 
 
+#: Atoms of a molecule whose symmetry one task searches.
+ORBIT_ATOMS = 2_000
+
+
+def _refined(links: list[list[int]], colours: list[int]) -> list[int]:
+    """Colours that neighbourhoods no longer split, numbered anew."""
+    while True:
+        seen = [(colour, tuple(sorted(colours[n] for n in links[i]))) for i, colour in enumerate(colours)]
+        number = {kind: k for k, kind in enumerate(sorted(set(seen)))}
+        new = [number[kind] for kind in seen]
+        if len(number) == len(set(colours)):
+            return new
+        colours = new
+
+
+def _matches(links: list[list[int]], left: list[int], right: list[int]) -> bool:
+    """Whether some symmetry of the graph takes the colours ``left`` to the colours ``right``."""
+    both = _refined(links + [[n + len(links) for n in near] for near in links], left + right)  # two copies, so that colours mean the same
+    left, right = both[: len(links)], both[len(links) :]
+    if sorted(left) != sorted(right):
+        return False
+    cells: dict[int, list[int]] = {}
+    for atom, colour in enumerate(left):
+        cells.setdefault(colour, []).append(atom)
+    several = [atoms for atoms in cells.values() if len(atoms) > 1]
+    if not several:
+        there = {colour: atom for atom, colour in enumerate(right)}
+        to = [there[colour] for colour in left]
+        return all(sorted(to[n] for n in links[i]) == sorted(links[to[i]]) for i in range(len(links)))
+    one = min(several, key=len)[0]  # tell one atom apart, and try all that may be its image
+    return any(
+        _matches(links, [-1 if i == one else c for i, c in enumerate(left)], [-1 if i == image else c for i, c in enumerate(right)])
+        for image, colour in enumerate(right) if colour == left[one]
+    )
+
+
+def orbits_of(elements: list[str], bonds: list[tuple[int, int]]) -> list[int]:
+    """For each atom the first one that a symmetry of the molecule's graph takes it to."""
+    links: list[list[int]] = [[] for _ in elements]
+    for a, b in {(min(x), max(x)) for x in bonds if x[0] != x[1]}:
+        links[a].append(b)
+        links[b].append(a)
+    number = {e: k for k, e in enumerate(sorted(set(elements)))}
+    colours = _refined(links, [number[e] for e in elements])
+    first = list(range(len(elements)))
+    leaders: dict[int, list[int]] = {}
+    for atom, colour in enumerate(colours):
+        for leader in leaders.setdefault(colour, []):
+            marked = [[-1 if i == x else c for i, c in enumerate(colours)] for x in (leader, atom)]
+            if _matches(links, *marked):
+                first[atom] = leader
+                break
+        else:
+            leaders[colour].append(atom)
+    return first
+
+
+def symmetry_classes(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
+    """``class_id``: atoms that a symmetry of the molecule's graph takes to each other share their lowest atom index.
+
+    Neighbourhood refinement is too coarse on regular graphs, such as cages whose atoms all have three bonds. Only molecules in
+    which it leaves atoms together are searched, each by one task, by telling atoms apart and refining again. A molecule of
+    more than ``ORBIT_ATOMS`` atoms keeps the classes of refinement, and ``exact`` is false.
+    """
+    classes = cut_lineage(topological_classes(atoms, bonds), "classes")
+    sizes = classes.groupBy("ensemble_id").agg(F.count("*").alias("n"), F.count_distinct("class_id").alias("n_classes"))
+    sizes = cut_lineage(sizes.where(F.col("n") > F.col("n_classes")), "unsettled")
+    searched = sizes.where(F.col("n") <= ORBIT_ATOMS).select("ensemble_id")
+    kinds = [atoms.schema[c].dataType.simpleString() for c in ATOM]
+    rows = join_on(classes, searched, ["ensemble_id"], "left_semi").select(
+        "ensemble_id", F.col("atom_index").alias("a"), F.lit(None).cast(kinds[1]).alias("b"), "element")
+    links = join_on(bonds, searched, ["ensemble_id"], "left_semi").select(
+        "ensemble_id", F.col("a").cast(kinds[1]), F.col("b").cast(kinds[1]), F.lit(None).cast("string").alias("element"))
+
+    def search(frame: pd.DataFrame) -> pd.DataFrame:
+        own = frame[frame["b"].isna()].sort_values("a")
+        place = {index: i for i, index in enumerate(own["a"])}
+        pairs = frame[frame["b"].notna()]
+        known = [(place[a], place[b]) for a, b in zip(pairs["a"], pairs["b"], strict=True) if a in place and b in place]
+        first = orbits_of(list(own["element"].fillna("")), known)
+        index = own["a"].to_numpy()
+        return pd.DataFrame({"ensemble_id": own["ensemble_id"], "atom_index": index, "class_id": index[first]})
+
+    found = rows.unionByName(links).groupBy("ensemble_id").applyInPandas(search, f"ensemble_id {kinds[0]}, atom_index {kinds[1]}, class_id {kinds[1]}")
+    finer = join_on(classes, found.withColumnRenamed("class_id", "_orbit"), ATOM, "left")
+    large = sizes.where(F.col("n") > ORBIT_ATOMS).select("ensemble_id", F.lit(False).alias("_exact"))
+    return join_on(finer, large, ["ensemble_id"], "left").select(
+        *ATOM, "element", F.coalesce("_orbit", "class_id").alias("class_id"), F.coalesce("_exact", F.lit(True)).alias("exact"))
+
+
 def refine_by_shift(atoms: DataFrame, tolerance_ppm: float = 0.05) -> DataFrame:
     """Classes whose shifts spread beyond the tolerance fall apart into single atoms.
 

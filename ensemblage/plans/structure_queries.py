@@ -86,6 +86,13 @@ def classes(spark: SparkSession, folder: str) -> DataFrame:
     return equivalence.topological_classes(given.atoms(), given.bonds())
 
 
+@register("eqv_symmetry_classes")
+def orbits(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes by the symmetries of each molecule's graph, which neighbourhoods alone may miss."""
+    given = Given(spark, folder)
+    return equivalence.symmetry_classes(given.atoms(), given.bonds())
+
+
 @register("eqv_shift_refine", sql(f"""
     SELECT ensemble_id, atom_index, element, cls, class_size, {r6('class_ppm')} AS class_ppm FROM mol_refined"""))
 def refined(spark: SparkSession, folder: str) -> DataFrame:

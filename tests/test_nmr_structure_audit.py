@@ -1,6 +1,8 @@
 """NMR averages, equivalence, monitoring, lineage, rules and the registered queries."""
 
+import itertools
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,6 +119,43 @@ def test_topological_classes_of_ethanol(spark):
     assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 3, 5: 3, 6: 6, 7: 6, 8: 8}
 
 
+def brute_orbits(elements, bonds):
+    edges = {frozenset(b) for b in bonds if b[0] != b[1]}
+    first = list(range(len(elements)))
+    for to in itertools.permutations(range(len(elements))):
+        if all(elements[i] == elements[t] for i, t in enumerate(to)) and {frozenset(to[x] for x in e) for e in edges} == edges:
+            first = [min(f, to.index(i), to[i]) for i, f in enumerate(first)]
+    return [min(first[j] for j in range(len(elements)) if first[j] == f) for f in first]
+
+
+def test_orbits_against_all_permutations():
+    rng = random.Random(8)
+    two_triangles = [(0, 1), (1, 2), (2, 0), (3, 4), (4, 5), (5, 3)]
+    prism_less = [(0, 1), (1, 2), (2, 0), (0, 3), (3, 4), (4, 5), (5, 3), (1, 4), (2, 5)]
+    assert equivalence.orbits_of(["C"] * 6, two_triangles) == [0] * 6 and equivalence.orbits_of(["C"] * 6, prism_less) == [0] * 6
+    for _ in range(60):
+        n = rng.randint(1, 6)
+        elements = [rng.choice("CCCO") for _ in range(n)]
+        bonds = [(a, b) for a in range(n) for b in range(a) if rng.random() < rng.choice([0.3, 0.6])]
+        assert equivalence.orbits_of(elements, bonds) == brute_orbits(elements, bonds)
+    # a cage of eight atoms with three bonds each: refinement sees one class, there are three
+    cage = [(0, 1), (0, 2), (1, 2), (0, 3), (1, 4), (2, 5), (3, 4), (3, 6), (4, 7), (5, 6), (5, 7), (6, 7)]
+    assert equivalence.orbits_of(["C"] * 8, cage) == brute_orbits(["C"] * 8, cage) and len(set(equivalence.orbits_of(["C"] * 8, cage))) > 1
+
+
+def test_symmetry_classes(spark, monkeypatch):
+    cage = [(0, 1), (0, 2), (1, 2), (0, 3), (1, 4), (2, 5), (3, 4), (3, 6), (4, 7), (5, 6), (5, 7), (6, 7)]
+    shift = 10  # indexes need not start at 0
+    atoms = spark.createDataFrame([("cage", i + shift, "C") for i in range(8)] + [(None, 1, "H"), (None, 2, "H"), ("one", 1, "C")],
+                                  "ensemble_id string, atom_index int, element string")
+    bonds = spark.createDataFrame([("cage", a + shift, b + shift) for a, b in cage] + [(None, 1, 2), ("cage", 10, 99)], "ensemble_id string, a int, b int")
+    found = {(r.ensemble_id, r.atom_index): (r.class_id, r.exact) for r in equivalence.symmetry_classes(atoms, bonds).collect()}
+    want = equivalence.orbits_of(["C"] * 8, cage)
+    assert found == {**{("cage", i + shift): (want[i] + shift, True) for i in range(8)}, (None, 1): (1, True), (None, 2): (1, True), ("one", 1): (1, True)}
+    monkeypatch.setattr(equivalence, "ORBIT_ATOMS", 5)
+    assert {r.class_id for r in equivalence.symmetry_classes(atoms, bonds).where("ensemble_id = 'cage' AND NOT exact").collect()} == {10}
+
+
 def test_progress(spark):
     events = [(1, "started"), (1, "done_success"), (2, "done_failed"), (2, "started"), (3, "started"), (9, "started")]
     df = spark.createDataFrame([("j", t, s) for t, s in events], "job_id string, task_idx int, signal string")
