@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ensemblage.functions import constants as K
@@ -102,6 +105,32 @@ def write_lines(df: DataFrame, path: str, order: list[str], line: str = "text",
     ranged.select("ensemble_id", line).write.mode("overwrite").partitionBy("ensemble_id").option("lineSep", separator).text(path)
 
 
-def read_lines(spark: SparkSession, path: str, separator: str = "\n") -> DataFrame:
-    """``ensemble_id`` and ``text`` of what ``write_lines`` wrote."""
-    return spark.read.option("lineSep", separator).text(path).select("ensemble_id", F.col("value").alias("text"))
+def read_lines(spark: SparkSession, path: str, separator: str = "\n", ensemble_type: str = "string") -> DataFrame:
+    """``ensemble_id`` and ``text`` of what ``write_lines`` wrote; folder names are read as ``ensemble_type``, so that "007" stays."""
+    found = spark.read.schema(f"value string, ensemble_id {ensemble_type}").option("lineSep", separator).text(path)
+    return found.select("ensemble_id", F.col("value").alias("text"))
+
+
+def write_containers(df: DataFrame, path: str, order: list[str], line: str = "text", most_files: int = 64) -> None:
+    """Write one text column of many ensembles into at most ``most_files`` sorted Parquet files, instead of a folder each.
+
+    Rows are dealt by ranges of (ensemble, ``order``), so a large ensemble spans files and small ones share them. The ranges
+    of ensembles of each row group stand in the files' footers, by which ``read_containers`` skips what it doesn't need.
+    Spark's commit protocol puts a task's file in place only when the task has ended, and replaces the folder as a whole.
+    """
+    keys = ["ensemble_id", *order]
+    place = F.struct(*order).alias("place") if len(order) > 1 else F.col(order[0]).alias("place")
+    ranged = df.repartitionByRange(most_files, *keys).sortWithinPartitions(*keys)
+    ranged.select("ensemble_id", place, F.col(line).alias("text")).write.mode("overwrite").parquet(path)
+
+
+def read_containers(spark: SparkSession, path: str, ensembles: Sequence[Any] | None = None) -> DataFrame:
+    """``ensemble_id``, ``place`` and ``text`` of what ``write_containers`` wrote, of all ensembles or of those named."""
+    rows = spark.read.parquet(path)
+    return rows if ensembles is None else rows.where(F.col("ensemble_id").isin(*ensembles))
+
+
+def join_lines(rows: DataFrame, separator: str = "\n") -> DataFrame:
+    """``ensemble_id`` and ``document``: the lines of each ensemble in order, for ensembles whose text fits a row."""
+    listed = F.array_sort(F.collect_list(F.struct("place", "text")))
+    return rows.groupBy("ensemble_id").agg(F.array_join(F.transform(listed, lambda r: r["text"]), separator).alias("document"))

@@ -217,3 +217,23 @@ def test_energy_lines(spark):
     df = spark.createDataFrame([(1, -123.456789012, 0.0), (2, None, None)], "i int, e double, r double")
     got = [r[0] for r in df.orderBy("i").select(sinks.energy_line(F.col("i"), F.col("e"), F.col("r"))).collect()]
     assert got == ["     1   -123.456789012000    0.000000", "     2   NaN   NaN"]
+
+
+def test_containers_of_many_ensembles_and_keys_of_folders(spark, tmp_path):
+    path = str(tmp_path / "c")
+    rows = spark.range(30_000).select(F.format_string("%05d", F.col("id") % 10_000).alias("ensemble_id"), F.col("id").alias("n"), F.concat(F.lit("line "), "id").alias("text"))
+    sinks.write_containers(rows, path, ["n"])
+    assert 0 < len([f for f in os.listdir(path) if f.endswith(".parquet")]) <= 64
+    back = sinks.read_containers(spark, path)
+    assert back.count() == 30_000 and back.select("ensemble_id").distinct().count() == 10_000
+    one = sinks.read_containers(spark, path, ["00007", "nobody"])
+    assert [tuple(r) for r in sinks.join_lines(one).collect()] == [("00007", "line 7\nline 10007\nline 20007")]
+    plan = one._jdf.queryExecution().toString()
+    assert "PushedFilters: [In(ensemble_id" in plan
+    broken = rows.withColumn("text", F.when(F.col("n") < 29_000, F.col("text")).otherwise(F.raise_error(F.lit("stop"))))
+    with pytest.raises(Exception, match="stop"):
+        sinks.write_containers(broken, str(tmp_path / "d"), ["n"])
+    assert not os.path.exists(tmp_path / "d") or not [f for f in os.listdir(tmp_path / "d") if f.startswith("part-") or f == "_SUCCESS"]
+    few = rows.where("n IN (7, 12)").withColumn("text", F.lit("x"))
+    sinks.write_lines(few, str(tmp_path / "l"), ["n"])
+    assert sorted(tuple(r) for r in sinks.read_lines(spark, str(tmp_path / "l")).collect()) == [("00007", "x"), ("00012", "x")]
