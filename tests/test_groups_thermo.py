@@ -24,9 +24,12 @@ def collected(df):
     return sorted(map(tuple, df.select(sorted(df.columns)).collect()), key=repr)
 
 
-@pytest.mark.parametrize("step", ["aggs", "running", "ordinal", "previous"])
-def test_both_strategies_agree(spark, step):
+@pytest.mark.parametrize("nameless", [False, True])
+@pytest.mark.parametrize("step", ["aggs", "running", "ordinal", "previous", "attach"])
+def test_both_strategies_agree(spark, step, nameless):
     df = skewed(spark)
+    if nameless:  # the largest group has no key
+        df = df.withColumn("ensemble_id", F.nullif("ensemble_id", F.lit(0)))
     order = [F.col("energy_kcal"), F.col("conf_idx")]
 
     def run(groups):
@@ -36,6 +39,8 @@ def test_both_strategies_agree(spark, step):
             return groups.running_sum(df, "out", F.lit(1), order, where=F.col("energy_kcal") > 2)
         if step == "ordinal":
             return groups.ordinal(df, "out", order)
+        if step == "attach":
+            return groups.attach(df, df.groupBy("ensemble_id").agg(F.max("energy_kcal").alias("out")))
         return groups.previous(df, "out", F.col("energy_kcal"), order)
 
     assert collected(run(TaskGroups(KEYS))) == collected(run(SpreadGroups(KEYS)))
