@@ -12,6 +12,7 @@ from ensemblage.operators.groups import plan_groups
 from ensemblage.plans import nmr_queries
 from ensemblage.plans.adapters import Given
 from ensemblage.plans.catalog import register
+from ensemblage.session import cut_lineage
 from ensemblage.plans.oracle import r6, with_ctes
 from ensemblage.plans.source_queries import CTES as SOURCE_CTES, log_values
 from ensemblage.plans.screen_queries import screened, sql as screen_sql
@@ -132,18 +133,31 @@ def multiplicity(spark: SparkSession, folder: str) -> DataFrame:
     return Given(spark, folder).table("orders").select(KEY, scalars.multiplicity(explicit, F.col(KEY) % 3).alias("value"))
 
 
-@register("fn_safe_name", r"""
-    SELECT page_id, CASE WHEN k = 1 THEN stem ELSE stem || '_' || k END AS file_stem
-    FROM (SELECT page_id, stem, row_number() OVER (PARTITION BY stem ORDER BY page_id) AS k FROM
-          (SELECT page_id, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(split_part(url, '?', 1), '[^A-Za-z0-9._-]+', '_', 'g'),
-                  '_+', '_', 'g'), '^[._-]+|[._-]+$', '', 'g'), ''), 'molecule') AS stem FROM pages))""")
+def renumbered(before: str) -> str:
+    return f"""
+        SELECT page_id, CASE WHEN k = 1 THEN name ELSE name || '_' || k END AS name
+        FROM (SELECT page_id, name, row_number() OVER (PARTITION BY name ORDER BY page_id) AS k FROM {before})"""
+
+
+@register("fn_safe_name", with_ctes("SELECT page_id, name AS file_stem FROM again", {
+    "stems": r"""
+        SELECT page_id, coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(split_part(url, '?', 1), '[^A-Za-z0-9._-]+', '_', 'g'),
+               '_+', '_', 'g'), '^[._-]+|[._-]+$', '', 'g'), ''), 'molecule') AS name FROM pages""",
+    "first": renumbered("stems"), "second": renumbered("first"), "again": renumbered("second")}))
 def safe_names(spark: SparkSession, folder: str) -> DataFrame:
     stems = Given(spark, folder).table("pages").select(
-        "page_id", scalars.safe_name(F.get(F.split("url", r"\?"), F.lit(0))).alias("stem"))
-    plan = plan_groups(stems, ("stem",))
-    numbered = plan.apply(stems, lambda d, g: g.ordinal(d, "k", [F.col("page_id")]))
-    unique = F.when(F.col("k") == 1, F.col("stem")).otherwise(F.concat_ws("_", "stem", "k"))
-    return numbered.select("page_id", unique.alias("file_stem"))
+        "page_id", scalars.safe_name(F.get(F.split("url", r"\?"), F.lit(0))).alias("name"))
+    return unique_names(stems, "page_id").withColumnRenamed("name", "file_stem")
+
+
+def unique_names(rows: DataFrame, order: str) -> DataFrame:
+    """``rows`` with ``_2``, ``_3`` and so on behind every ``name`` that is taken, numbered again until none is given twice."""
+    while True:
+        plan = plan_groups(rows, ("name",))
+        numbered = cut_lineage(plan.apply(rows, lambda d, g: g.ordinal(d, "k", [F.col(order)])), "names")
+        rows = numbered.withColumn("name", F.when(F.col("k") == 1, F.col("name")).otherwise(F.concat_ws("_", "name", "k"))).drop("k")
+        if numbered.where("k > 1").isEmpty():
+            return rows
 
 
 @register("fn_stable_id", "SELECT page_id, ('0x' || substr(sha1(url), 1, 7))::BIGINT AS id FROM pages")

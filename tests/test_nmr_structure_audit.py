@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ensemblage.functions import scalars
 from ensemblage.operators import audit, equivalence, lineage, monitor, nmr
 from ensemblage.plans import catalog
+from ensemblage.plans.scalar_queries import unique_names
 
 
 def weights(spark, *values):
@@ -156,6 +157,13 @@ def test_symmetry_classes(spark, monkeypatch):
     assert {r.class_id for r in equivalence.symmetry_classes(atoms, bonds).where("ensemble_id = 'cage' AND NOT exact").collect()} == {10}
 
 
+def test_names_are_never_given_twice(spark):
+    names = ["a", "a", "a_2", "a", "b", "a_2_2", "b_1"]
+    rows = spark.createDataFrame(list(enumerate(names)), "n int, name string")
+    found = [r["name"] for r in unique_names(rows, "n").orderBy("n").collect()]
+    assert len(set(found)) == len(names) and found[0] == "a" and found[1] == "a_2" and found[4:5] + found[6:] == ["b", "b_1"]
+
+
 def test_progress(spark):
     events = [(1, "started"), (1, "done_success"), (2, "done_failed"), (2, "started"), (3, "started"), (9, "started")]
     df = spark.createDataFrame([("j", t, s) for t, s in events], "job_id string, task_idx int, signal string")
