@@ -36,11 +36,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Transitions kept by a worker before it starts anew; more only saves time.
-MOST_TRANSITIONS = 500_000
+MOST_TRANSITIONS = 700_000
 #: Pieces of text whose ids a worker remembers before it starts anew; longer pieces are not remembered.
-MOST_PIECES, LONGEST_PIECE = 600_000, 64
+MOST_PIECES, LONGEST_PIECE = 900_000, 64
 #: Pairs of tokens known to be neighbours or not, before they are found anew.
-MOST_PAIRS = 300_000
+MOST_PAIRS = 500_000
 #: Bytes behind the last emitted token beyond which states are not kept but made again.
 LONGEST_WINDOW = 512
 #: Ids per row of encoded text.
@@ -300,8 +300,10 @@ class TextEncoder:
         if len(text) <= 1 << 20:  # a text of ordinary length at once
             pieces = pattern.findall(text)
             found = list(map(self.known.get, pieces))
-            if None in found:
-                found = [ids or self.known.get(piece) or self._new(piece) for ids, piece in zip(found, pieces, strict=True)]
+            at = -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                found[at] = self.known.get(pieces[at]) or self._new(pieces[at])
             yield b"".join(found)
             return
         run: list[bytes] = []
