@@ -146,7 +146,7 @@ def _chosen(docs: DataFrame, labels: DataFrame, most_labelled: int, most_pool: i
     bad = F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1.0).when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), 0.0))
     known = labels.groupBy("doc_id").agg(bad.alias("label")).where(F.col("label").isNotNull())
     order = (F.xxhash64("doc_id", F.lit(3)), F.col("doc_id"))
-    labelled = known.orderBy(*order).limit(most_labelled)
+    labelled = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(*order).limit(most_labelled)
     pool = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().join(known, "doc_id", "left_anti").orderBy(*order).limit(most_pool)
     wanted = cut_lineage(labelled.unionByName(pool.withColumn("label", F.lit(None).cast("double"))), "fitted_ids")
     # wanted has at most most_labelled + most_pool rows

@@ -1,8 +1,8 @@
 """The same questions in SQL, where SQL can say them.
 
 Not expressible: sharding (medians over hashes), the language model and the classifier (sampling and fitting),
-encoded lengths and packing (a tokenizer), decontamination (overlapping windows could be listed, but every word
-of every document would be joined), near-duplicates and fuzzy lines (signatures); tests compare those with
+encoded lengths, packing and byte-level BPE (a tokenizer), conversation repair (CRC-32 and least strings of edits),
+decontamination (overlapping windows could be listed, but every word of every document would be joined), near-duplicates and fuzzy lines (signatures); tests compare those with
 brute-force versions.
 """
 
