@@ -286,4 +286,4 @@ def frames_sink(spark: SparkSession, folder: str) -> DataFrame:
 def summary_sink(spark: SparkSession, folder: str) -> DataFrame:
     rows = Given(spark, folder).thermo_in().withColumn("g_composite_eh", thermo.composite_gibbs())
     # the summary has all digits; six places are for the comparison
-    return sinks.thermo_summary(rows.withColumn("g_composite_eh", F.round("g_composite_eh", 6)), "1atm", K.ROOM_TEMPERATURE_K)
+    return sinks.thermo_summary(rows.withColumn("g_composite_eh", scalars.rounded(F.col("g_composite_eh"), 6)), "1atm", K.ROOM_TEMPERATURE_K)

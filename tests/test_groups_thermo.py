@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ensemblage.functions import constants as K
 from ensemblage.operators import screen, thermo
 from ensemblage.operators.groups import SpreadGroups, TaskGroups, plan_groups
+from ensemblage.plans import catalog
 
 KEYS = ("ensemble_id",)
 
@@ -130,3 +131,15 @@ def test_renormalize(spark):
     assert got[("a", 1)] == pytest.approx(0.25) and got[("a", 3)] == pytest.approx(0.75)
     assert got[("a", 2)] is None and got[("b", 1)] is None and got[("c", 1)] is None
     assert math.isclose(thermo.standard_state_shift("1mol", 298.15), 1.8941975683244532)
+
+
+def test_summary_rounds_sums_that_end_just_below_a_half(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    catalog.load()
+    rows = [(4, 1, "F", 300650.0), (5, 1, "O", 300651.0), (8, 2, "P", 17.5), (9, 3, "P", 1.0)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    want = duckdb.connect().execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'").execute(
+        catalog.ORACLES["sink_summary_json"]).fetchall()
+    got = [tuple(r) for r in catalog.QUERIES["sink_summary_json"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(want)
+    assert '"Gmin_eh":-75.962607,' in dict(got)[1]
