@@ -276,3 +276,11 @@ def test_full_cells_are_halved_until_settled(spark, monkeypatch):
     for cut in (0.3, 0.86, 1.0):
         got = {(r.ensemble_id, r.conf_idx): r.label for r in clustering.threshold_clusters(df, ["u", "v"], cut).collect()}
         assert got == linked_by_distance(rows, cut, 1)
+
+
+def test_molecules_of_two_atoms_differ_by_half_their_lengths():
+    """Two bonds laid over each other differ by half of what their lengths differ, to all digits: no noise of a flat covariance."""
+    left = np.array([[[31.113957, 5.0185655, 0.9713137], [19.7055061, 4.0148524, 0.9713137]]])
+    right = np.array([[[7.2599233, 6.0222786, 2.9139411], [19.7055061, 1.0037131, 1.9426274]]])
+    long, short = (np.linalg.norm(x[0, 0] - x[0, 1]) for x in (right, left))
+    assert geometry.superposed_rmsd(left, right)[0] == pytest.approx((long - short) / 2, abs=1e-9) == pytest.approx(1.0009609633, abs=1e-9)
