@@ -27,15 +27,15 @@ def number(text: Column) -> Column:
     return F.when(text.rlike(NUMERIC), text.cast("double"))
 
 
-def whole(digits: Column) -> Column:
-    return F.nullif(digits, F.lit("")).try_cast("int")
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once."""
     return F.transform(F.array(value), body)[0]
 
 
+def whole(digits: Column) -> Column:
+    return let(digits, lambda d: F.when(d != "", d.try_cast("int")))
+
+
 def last_marker(pattern: str) -> Column:
     """The number of the last match."""
     return number(F.try_element_at(F.regexp_extract_all("content", F.lit(pattern), F.lit(1)), F.lit(-1)))
@@ -107,14 +107,19 @@ def block_lines(files: DataFrame, header: str) -> DataFrame:
     """Lines by header-delimited block: ``block`` counts the headers up to there (0 before the first), ``pos`` the
     lines from the header on. ``header`` is a pattern without flags; case does not matter."""
     line = r"[^\n]*" + header
-    pieces = F.split("content", r"(?im)(?=^" + line + ")")
-    cut = files.select(*FILE, pieces.alias("pieces"))
-    opens = F.col("pieces")[0].rlike(r"(?i)^" + line).cast("int")
-    cut = cut.select(*FILE, opens.alias("opens"), F.size("pieces").alias("n"), F.posexplode("pieces").alias("piece", "text"))
-    text = F.when(F.col("piece") < F.col("n") - 1, F.regexp_replace("text", r"\r?\n\z", "")).otherwise(F.col("text"))
-    return cut.select(
-        *FILE, (F.col("piece") + F.col("opens")).alias("block"), F.posexplode(lines_of(text)).alias("pos", "line")
-    )
+
+    def numbered(pieces: Column) -> Column:
+        opens = pieces[0].rlike(r"(?i)^" + line).cast("int")
+
+        def block(text: Column, piece: Column) -> Column:
+            ended = F.when(piece < F.size(pieces) - 1, F.regexp_replace(text, r"\r?\n\z", "")).otherwise(text)
+            return F.struct((piece + opens).alias("block"), ended.alias("text"))
+
+        return F.transform(pieces, block)
+
+    # exploded as an expression: of a column, its size would be filtered first, ahead of the spread over all cores
+    cut = files.select(*FILE, F.inline(let(F.split("content", r"(?im)(?=^" + line + ")"), numbered)))
+    return cut.select(*FILE, "block", F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
 
 
 def keep_last(rows: str, same: Callable[[Column, Column], Column]) -> Column:
@@ -151,10 +156,9 @@ def shielding_rows(files: DataFrame) -> DataFrame:
 
         return let(F.split(F.trim(line), r"\s+"), named)
 
-    with_title = files.where(F.col("content").rlike(K.SHIELDING_TITLE))
     blocks = F.slice(F.split("content", K.SHIELDING_TITLE), 2, 1 << 30)
     listed = F.sort_array(F.transform(F.flatten(F.transform(blocks, table_lines)), fields))
-    sorted_rows = with_title.select(*FILE, listed.alias("rows"))
+    sorted_rows = files.select(*FILE, listed.alias("rows"))  # none of a file without a title, which no filter has to find first
     last = keep_last("rows", lambda x, y: x["atom_index"] == y["atom_index"])
     return sorted_rows.select(*FILE, F.explode(last).alias("r")).select(
         *FILE, "r.atom_index", "r.element", "r.sigma_iso_ppm", "r.sigma_aniso_ppm"
@@ -188,10 +192,9 @@ def coupling_rows(files: DataFrame) -> DataFrame:
 
         return let(F.array(*[whole(F.regexp_extract(block[end], r"\d+", 0)) for end in "ab"]), ordered)
 
-    with_pairs = files.where(F.col("content").rlike(r"(?i)\bNucleus\s+B\b"))
     blocks = F.transform(F.split("content", r"(?i)(?=\bNucleus\s+A\s*[:=])"), ends)
     blocks = F.filter(blocks, lambda b: (b["a"] != "") & (b["b"] != ""))
-    listed = with_pairs.select(*FILE, F.sort_array(F.transform(blocks, head)).alias("pairs"))
+    listed = files.select(*FILE, F.sort_array(F.transform(blocks, head)).alias("pairs"))
     last = keep_last("pairs", lambda x, y: (x["i"] == y["i"]) & (x["j"] == y["j"]))
     pairs = listed.select(*FILE, F.explode(last).alias("p"))
     candidate = r"(?i)(?:\biso\s*=|[:=]\s*-?\d)"
@@ -209,39 +212,45 @@ def coupling_rows(files: DataFrame) -> DataFrame:
         def one(mark: Column) -> Column:
             indices = F.transform(F.split(F.substring_index(mark, "]", 1), ","), lambda x: whole(F.trim(x)))
             term = F.trim(F.substring_index(F.substring_index(mark, ")", 1), "(", -1))
-            value = number(F.regexp_extract(mark, r"(?i)\biso\s*=\s*([-+.0-9eE]+)", 1))
-            mine = (F.size(indices) == 2) & (F.array_min(indices) == F.col("i")) & (F.array_max(indices) == F.col("j"))
-            return hit(F.upper(term), F.when(mine, value))
+            text = F.regexp_extract(mark, r"(?i)\biso\s*=\s*([-+.0-9eE]+)", 1)
+            mine = let(indices, lambda x: (F.size(x) == 2) & (F.array_min(x) == F.col("i")) & (F.array_max(x) == F.col("j")))
+            return hit(F.upper(term), F.when(mine, let(text, number)))
 
         return F.transform(F.slice(F.split(line, r"(?i)J\["), 2, 1 << 30), one)
 
     def spelled_hits(line: Column) -> Column:
         """The line's labels and values: what stands before a colon or equals sign, and the number after it."""
-        parts = F.split(line, "[:=]")
+        def named_term(label: Column) -> Column:
+            return F.coalesce(*[
+                F.when(any_of([F.contains(label, F.lit(f" {name} ")) for name in names]), term.upper()) for term, names in K.TERM_LABELS.items()
+            ])
 
-        def one(part: Column, place: Column) -> Column:
+        def one(parts: Column, part: Column, place: Column) -> Column:
             label = F.concat(F.lit(" "), F.regexp_replace(F.lower(part), "[^a-z/]+", " "), F.lit(" "))
             value = F.regexp_extract(F.get(parts, place + 1), r"^\s*(" + K.NUMBER + ")", 1)
-            term = F.coalesce(*[
-                F.when(any_of([F.contains(label, F.lit(f" {name} ")) for name in names]), term.upper()) for term, names in K.TERM_LABELS.items()
-            ])
-            return hit(term, F.nullif(value, F.lit("")).cast("double"))
+            return hit(let(label, named_term), let(value, lambda v: F.when(v != "", v.cast("double"))))
+
+        def cross_or_all(found: Column) -> Column:
+            return let(F.filter(found, lambda h: h["term"] == "SD/FC"), lambda cross: F.when(F.size(cross) > 0, cross).otherwise(found))
 
-        found = F.filter(F.transform(parts, one), lambda h: h["term"].isNotNull())
-        cross = F.filter(found, lambda h: h["term"] == "SD/FC")
-        return F.when(F.size(cross) > 0, cross).otherwise(found)
+        found = let(F.split(line, "[:=]"), lambda parts: F.transform(parts, lambda part, place: one(parts, part, place)))
+        return let(F.filter(found, lambda h: h["term"].isNotNull()), cross_or_all)
 
     def hits(line: Column) -> Column:
         return F.when(line.rlike(r"(?i)J\["), marked_hits(line)).otherwise(spelled_hits(line))
 
-    found = F.filter(F.flatten(F.transform("lines", hits)), lambda h: h["value"].isNotNull())
-    pairs = pairs.select(*FILE, "i", "elem_i", "j", "elem_j", found.alias("hits"))
+    names = dict(zip(K.COUPLING_TERMS, ("printed", "j_fc_hz", "j_sd_hz", "j_pso_hz", "j_dso_hz", "cross_hz")))
 
-    def first(term: str) -> Column:
-        return F.get(F.filter("hits", lambda h: h["term"] == term.upper()), F.lit(0))["value"]
+    def firsts(found: Column) -> Column:
+        def first(term: str) -> Column:
+            return F.get(F.filter(found, lambda h: h["term"] == term.upper()), F.lit(0))["value"]
 
-    names = dict(zip(K.COUPLING_TERMS, ("printed", "j_fc_hz", "j_sd_hz", "j_pso_hz", "j_dso_hz", "cross_hz")))
-    valued = pairs.select(*FILE, "i", "elem_i", "j", "elem_j", *[first(t).alias(n) for t, n in names.items()])
+        return F.struct(*[first(t).alias(n) for t, n in names.items()])
+
+    found = F.filter(F.flatten(F.transform("lines", hits)), lambda h: h["value"].isNotNull())
+    # exploded, so that a filter on a value is not pushed below and every line read again for it
+    valued = pairs.select(*FILE, "i", "elem_i", "j", "elem_j", F.explode(F.transform(F.array(found), firsts)).alias("v"))
+    valued = valued.select(*FILE, "i", "elem_i", "j", "elem_j", "v.*")
     return valued.select(
         *FILE, "i", "elem_i", "j", "elem_j",
         coupling_total().alias("j_total_hz"), "j_fc_hz", "j_sd_hz", "j_pso_hz", "j_dso_hz",

@@ -237,3 +237,16 @@ def test_containers_of_many_ensembles_and_keys_of_folders(spark, tmp_path):
     few = rows.where("n IN (7, 12)").withColumn("text", F.lit("x"))
     sinks.write_lines(few, str(tmp_path / "l"), ["n"])
     assert sorted(tuple(r) for r in sinks.read_lines(spark, str(tmp_path / "l")).collect()) == [("00007", "x"), ("00012", "x")]
+
+
+def test_texts_are_read_once_and_after_they_are_spread(spark):
+    """No filter on what is parsed comes before the exchange that spreads files over cores, nor reads the lines again."""
+    files = file_table(spark, "Nucleus A: 0 C\nNucleus B: 1 H\nTotal : 2.5 Hz\n").repartition(3)
+    rows = {
+        "couplings": logs.coupling_rows(files).where("j_pso_hz IS NOT NULL"), "shieldings": logs.shielding_rows(files),
+        "blocks": logs.block_lines(files, r"\bNucleus\s+A\s*[:=]"),
+    }
+    for name, found in rows.items():
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.rindex("Generate"):]
+        assert "Filter" not in below, (name, plan)
