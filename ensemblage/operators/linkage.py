@@ -2,7 +2,8 @@
 
 The dendrogram comes from the minimum spanning tree of each ensemble. Edges are ordered by (distance, lower index, higher
 index), so the tree is unique, whichever way it is found. An ensemble that fits a task grows its tree member by member
-there. Larger ones go through Borůvka's rounds: each component finds its nearest other component, first inside blocks of
+there. Members in one place are joined to the lowest of them, which stands for them all: that is what the order of edges
+asks for, as no edge is shorter. Larger ensembles, by their places, go through Borůvka's rounds: each component finds its nearest other component, first inside blocks of
 members that are close in space, which bounds how far it has to look; then only blocks whose boxes are within that bound
 of each other meet. Components at least halve in every round. Blocks, not members, are compared box by box.
 
@@ -21,8 +22,8 @@ from ensemblage.operators.groups import SpreadGroups, TaskGroups, join_on, plan_
 from ensemblage.session import cut_lineage
 
 MEMBER = ["ensemble_id", "conf_idx"]
-#: Members of an ensemble whose tree one task grows, in time quadratic in them; larger ensembles go through rounds.
-TREE_ROWS = 5_000
+#: Places of an ensemble whose tree one task grows, in time quadratic in them; larger ensembles go through rounds.
+TREE_ROWS = 40_000
 #: Members of a block, and merges that one task turns into clusters at once.
 BLOCK_ROWS = 1_024
 MERGES_AT_ONCE = 1_000_000
@@ -39,20 +40,23 @@ def _squares(points: np.ndarray, one: np.ndarray) -> np.ndarray:
 def grown_tree(ids: np.ndarray, points: np.ndarray) -> list[tuple[int, int, float]]:
     """(a, b, square) of the edges of the least spanning tree, a < b."""
     edges: list[tuple[int, int, float]] = []
-    square, near = np.full(len(ids), np.inf), np.zeros(len(ids), np.int64)
-    outside = np.ones(len(ids), bool)
+    ids, points = ids.copy(), np.array(points, order="F")
+    square, near = np.full(len(ids), np.inf), np.full(len(ids), ids[0])
     at = 0
-    for _ in range(len(ids) - 1):
-        outside[at] = False
-        seen = _squares(points, points[at])
-        low, high = np.minimum(ids[at], ids), np.maximum(ids[at], ids)
-        old_low, old_high = np.minimum(ids[near], ids), np.maximum(ids[near], ids)
-        better = (seen < square) | ((seen == square) & ((low < old_low) | ((low == old_low) & (high < old_high))))
-        square[better], near[better] = seen[better], at
-        rest = np.flatnonzero(outside)
-        least = rest[square[rest] == square[rest].min()]
-        ends = [(min(ids[near[i]], ids[i]), max(ids[near[i]], ids[i]), i) for i in least]
-        a, b, at = min(ends)
+    for n in range(len(ids) - 1, 0, -1):
+        mine, here = ids[at], points[at].copy()
+        for values in (ids, points, square, near):  # the first n stay outside the tree
+            values[at] = values[n]
+        seen = _squares(points[:n], here)
+        better, ties = seen < square[:n], np.flatnonzero(seen == square[:n])
+        if len(ties):
+            low, high = np.minimum(mine, ids[ties]), np.maximum(mine, ids[ties])
+            old_low, old_high = np.minimum(near[ties], ids[ties]), np.maximum(near[ties], ids[ties])
+            better[ties] = (low < old_low) | ((low == old_low) & (high < old_high))
+        np.copyto(square[:n], seen, where=better)
+        near[:n][better] = mine
+        least = np.flatnonzero(square[:n] == square[:n].min())
+        a, b, at = min((min(near[i], ids[i]), max(near[i], ids[i]), i) for i in least)
         edges.append((int(a), int(b), float(square[at])))
     return edges
 
@@ -75,7 +79,11 @@ def spanning_tree(points: DataFrame, coordinates: list[str], task_rows: int | No
             return part.groupBy("ensemble_id").applyInPandas(grow, schema)
         return _boruvka(part, xs, groups, schema)
 
-    return plan_groups(rows, ("ensemble_id",), task_rows or TREE_ROWS).apply(rows, step)
+    places = cut_lineage(rows.groupBy("ensemble_id", *xs).agg(F.min("conf_idx").alias("conf_idx")), "places")
+    tree = plan_groups(places, ("ensemble_id",), task_rows or TREE_ROWS).apply(places.select(rows.columns), step)
+    first = places.withColumnRenamed("conf_idx", "first")
+    copies = join_on(rows, first, ["ensemble_id", *xs]).where("conf_idx <> first")
+    return tree.unionByName(copies.select("ensemble_id", F.col("first").alias("a"), F.col("conf_idx").alias("b"), F.lit(0.0).alias("square")))
 
 
 def _z_order(xs: list[str], low: list[Column], high: list[Column]) -> Column:

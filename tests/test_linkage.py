@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ensemblage.operators import clustering, linkage, metric
+from ensemblage.operators.groups import plan_groups
 
 SPOTS = "ensemble_id long, conf_idx long, u double, v double, merge string"
 
@@ -56,6 +57,17 @@ def test_dendrogram_against_all_pairs(spark, monkeypatch, way):
     assert collected(linkage.dendrogram(df, ["u", "v"], **limits)) == kruskal(rows)
 
 
+@pytest.mark.parametrize("limits", [{}, {"task_rows": 8}])
+def test_members_in_one_place_are_one_node_of_the_tree(spark, monkeypatch, limits):
+    """Places are counted, not members, so copies neither make a tree quadratic nor send it through rounds."""
+    sizes = []
+    monkeypatch.setattr(linkage, "_boruvka", lambda *_: pytest.fail("eight places went through rounds"))
+    monkeypatch.setattr(linkage, "plan_groups", lambda df, keys, limit: sizes.append(df.count()) or plan_groups(df, keys, limit))
+    rows = [(0, (i * 7) % 240, float(i % 4), -0.0 if i % 3 else 0.0 + 5 * (i % 2), "x") for i in range(240)]
+    found = collected(linkage.dendrogram(spark.createDataFrame(rows, SPOTS), ["u", "v"], **limits))
+    assert found == kruskal(rows) and sizes[0] <= 8
+
+
 def test_cuts_are_components_and_counts(spark):
     rows = spots(seed=8)
     df = spark.createDataFrame(rows, SPOTS)
