@@ -175,6 +175,29 @@ def rotation(rng):
     return q * np.sign(np.linalg.det(q))
 
 
+def test_small_ensembles_are_walked_together(spark):
+    """No call per ensemble, and ensembles that go on in the next batch stay whole."""
+    draw = random.Random(4)
+    rows = [(draw.choice([None, *range(40)]), i, draw.choice([None, 0.0, 0.3, 0.9]), draw.choice([10.0, 10.05, 10.12]), 20.0, 30.0) for i in range(300)]
+    df = spark.createDataFrame(rows, "ensemble_id int, conf_idx int, energy_kcal double, moment_a double, moment_b double, moment_c double")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = geometry.moment_duplicates(df)
+        got = {r.conf_idx: r.kept_idx for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert "FlatMapGroups" not in found._jdf.queryExecution().toString()
+    want, kept = {}, {}
+    for ensemble, conf, energy, a, _, _ in sorted(rows, key=lambda r: (r[2] is None, r[2] or 0.0, r[1])):
+        mine = kept.setdefault(ensemble, [])
+        near = [c for c, e, m in mine if (e is None or energy is None or abs(e - energy) <= 0.5) and abs(np.log(m / a)) <= -np.log1p(-0.01)]
+        want[conf] = near[0] if near else conf
+        if not near:
+            mine.append((conf, energy, a))
+    assert got == want
+
+
 def test_rmsd_duplicates_ignore_rotation(spark):
     rng = np.random.default_rng(9)
     shapes = [rng.normal(size=(5, 3)) * 2 for _ in range(4)]
