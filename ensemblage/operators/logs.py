@@ -268,15 +268,18 @@ def comment_energy(comment: Column) -> Column:
 
     Units count whatever signs stand around them. Numbers inside words, such as "conf1", are no energies.
     """
-    words = F.split(F.trim(F.regexp_replace(comment, "[:=,;()]+", " ")), r"\s+")
-    numbers = F.filter(F.transform(words, _leading_number), lambda n: n.isNotNull())
-    named_at = F.array_position(words, F.lit(K.COMMENT_RELATIVE))
-    after = F.when(named_at > 0, F.get(words, named_at.cast("int")))
-    units = F.split(F.lower(comment), "[^a-z]+")
-    hartree_only = F.arrays_overlap(units, F.array(*map(F.lit, ("eh", "hartree")))) & ~F.array_contains(units, "kcal")
-    return F.coalesce(_leading_number(after), F.when(~hartree_only, F.get(numbers, F.lit(0))))
+    def value(words: Column) -> Column:
+        named_at = F.array_position(words, F.lit(K.COMMENT_RELATIVE))
+        after = F.when(named_at > 0, F.get(words, named_at.cast("int")))
+        first = F.get(F.filter(F.transform(words, _leading_number), lambda n: n.isNotNull()), F.lit(0))
+        return F.coalesce(_leading_number(after), F.when(let(F.split(F.lower(comment), "[^a-z]+"), in_kcal), first))
+
+    def in_kcal(units: Column) -> Column:
+        return ~F.arrays_overlap(units, F.array(*map(F.lit, ("eh", "hartree")))) | F.array_contains(units, "kcal")
+
+    return let(F.split(F.trim(F.regexp_replace(comment, "[:=,;()]+", " ")), r"\s+"), value)
 
 
 def _leading_number(word: Column) -> Column:
     """The number a word starts with; a unit may be joined to it."""
-    return number(F.regexp_extract(word, "^[-+]?[0-9.]+([eE][-+]?[0-9]+)?", 0))
+    return let(F.regexp_extract(word, "^[-+]?[0-9.]+([eE][-+]?[0-9]+)?", 0), number)

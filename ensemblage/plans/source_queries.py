@@ -234,7 +234,7 @@ def multixyz(spark: SparkSession, folder: str) -> DataFrame:
     SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS file_id, 1 AS frame_no, 3 AS n_atoms
     FROM lineitem""")
 def first_frames(spark: SparkSession, folder: str) -> DataFrame:
-    framed = files.frames(Given(spark, folder).frame_files(), "file_id")
+    framed = files.frames(Given(spark, folder).frame_files(), "file_id", bodies=False)
     return framed.where(F.col("frame_no") <= 1).select("file_id", "frame_no", "n_atoms")
 
 
@@ -243,7 +243,7 @@ def first_frames(spark: SparkSession, folder: str) -> DataFrame:
            CASE WHEN frame_no = 1 THEN CASE l_returnflag WHEN 'A' THEN l_quantity WHEN 'R' THEN -l_quantity END END AS energy_kcal
     FROM lineitem, (VALUES (1), (2)) f(frame_no)""")
 def comments(spark: SparkSession, folder: str) -> DataFrame:
-    framed = files.frames(Given(spark, folder).frame_files(), "file_id")
+    framed = files.frames(Given(spark, folder).frame_files(), "file_id", bodies=False)
     return framed.select("file_id", "frame_no", logs.comment_energy(F.col("comment")).alias("energy_kcal"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ensemblage.operators.logs import lines_of, number
@@ -92,25 +92,28 @@ def accounting_states(lines: DataFrame, *keys: str) -> DataFrame:
     return last.select(*keys, "job_id_raw", "r.state", "r.exit_code")
 
 
-def frames(files: DataFrame, key: str) -> DataFrame:
+def frames(files: DataFrame, key: str, bodies: bool = True) -> DataFrame:
     """Multi-frame geometry files to frames, ``key`` being one column that names the file.
 
     A frame's length stands in its first line, so each file is walked once; a malformed frame ends the
-    file and the frames before it stay.
+    file and the frames before it stay. Without ``bodies`` the lines of atoms stay where they are.
     """
     key_type = dict(files.dtypes)[key]
-    schema = f"{key} {key_type}, frame_no int, n_atoms int, comment string, body array<string>"
+    kinds = {"frame_no": pa.int32(), "n_atoms": pa.int32(), "comment": pa.string(), **({"body": pa.list_(pa.string())} if bodies else {})}
+    schema = f"{key} {key_type}, frame_no int, n_atoms int, comment string" + (", body array<string>" if bodies else "")
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = ((name, *frame) for name, text in zip(batch[key], batch["content"]) for frame in _frames_of(text))
+            found = ((place, *frame) for place, text in enumerate(batch.column(1)) for frame in _frames_of(text.as_py(), bodies))
             while rows := list(itertools.islice(found, 5000)):
-                yield pd.DataFrame(rows, columns=[key, "frame_no", "n_atoms", "comment", "body"])
+                place, *values = zip(*rows, strict=True)
+                columns = [pa.array(v, kind) for v, kind in zip(values, kinds.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(place)), *columns], names=[key, *kinds])
 
-    return files.select(key, "content").mapInPandas(walk, schema)
+    return files.select(key, "content").mapInArrow(walk, schema)
 
 
-def _frames_of(text: str) -> Iterator[tuple[int, int, str, list[str]]]:
+def _frames_of(text: str, bodies: bool) -> Iterator[tuple[int, int, str, list[str]] | tuple[int, int, str]]:
     lines = text.splitlines()
     at, frame_no = 0, 0
     while at < len(lines):
@@ -122,7 +125,8 @@ def _frames_of(text: str) -> Iterator[tuple[int, int, str, list[str]]]:
         if count <= 0 or at + 2 + count > len(lines):
             return
         frame_no += 1
-        yield frame_no, count, lines[at + 1], lines[at + 2 : at + 2 + count]
+        frame = (frame_no, count, lines[at + 1])
+        yield (*frame, lines[at + 2 : at + 2 + count]) if bodies else frame
         at += 2 + count
 
 

@@ -157,6 +157,17 @@ def test_frames_stop_at_the_first_malformed_one(spark):
     assert [(r.element, r.x, r.z) for r in atoms] == [("H", 0.0, 0.0), ("C", 1.5, -2.0), ("O", 1.0, 3.0)]
 
 
+def test_frames_without_bodies_carry_no_lines_of_atoms(spark):
+    from ensemblage.plans import source_queries
+
+    df = spark.createDataFrame([("f", "2\nfirst\nH 0 0 0\nC 1 0 0\n1\nsecond\nO 1 2 3\n"), ("g", "1\n\nH 0 0 0"), ("h", "")], "file_id string, content string")
+    bare, whole = files.frames(df, "file_id", bodies=False), files.frames(df, "file_id")
+    assert sorted(map(tuple, bare.collect())) == sorted(map(tuple, whole.drop("body").collect())) and bare.count() == 3
+    for query in (source_queries.comments, source_queries.first_frames):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().analyzed().toString()
+        assert "MapInArrow" in plan and "body" not in plan
+
+
 def test_job_outputs_from_disk(spark, tmp_path):
     for task, name, data in ((1, "a.out", b"ok \xff\n"), (2, "b.out", b"x"), (2, "skip.txt", b"y")):
         folder = tmp_path / "mol7" / f"task_{task:04d}"
