@@ -8,6 +8,7 @@ from ensemblage.operators import equivalence, monitor, nmr
 from ensemblage.plans.adapters import Given
 from ensemblage.plans.catalog import register
 from ensemblage.plans.oracle import r6, with_ctes
+from ensemblage.session import cut_lineage
 from ensemblage.sources import files
 from ensemblage.streaming import progress as streams
 
@@ -115,7 +116,7 @@ def magnetic(spark: SparkSession, folder: str) -> DataFrame:
 @register("eqv_tier", sql("SELECT ensemble_id, atom_index, tier FROM mol_tiers"))
 def tier(spark: SparkSession, folder: str) -> DataFrame:
     given = Given(spark, folder)
-    rows = equivalence.refine_by_shift(given.atoms())
+    rows = cut_lineage(equivalence.refine_by_shift(given.atoms()), "refined")  # read three times
     return equivalence.tiers(rows, equivalence.magnetic_test(rows, given.j_edges())).select("ensemble_id", "atom_index", "tier")
 
 

@@ -266,3 +266,9 @@ def test_queries_give_the_same_with_every_group_oversized(spark, name):
     finally:
         spark.conf.unset("spark.ensemblage.maxGroupRows")
     assert usual == spread
+
+
+def test_tiers_derive_the_refined_atoms_once(spark):
+    catalog.load()
+    found = catalog.QUERIES["eqv_tier"](spark, "/root/testdata/sf0.001")
+    assert "Window" not in found._jdf.queryExecution().analyzed().toString()
