@@ -44,6 +44,8 @@ CALIBRATION_SHARE = 0.25
 #: Weight of the L1 penalty of both views.
 PENALTY = 5e-4
 CALIBRATION_PENALTY = 1e-4
+#: Partitions of the bounded rows that are fitted on; what Spark ML shuffles to add up gradients grows with their number.
+FIT_PARTS = 4
 
 _SHAPE = bytes(ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 0x80 else ord("0") if 48 <= b <= 57 else b for b in range(256))
 _RUN = re.compile(rb"(.)\1+", re.S)
@@ -155,7 +157,7 @@ def _chosen(docs: DataFrame, labels: DataFrame, most_labelled: int, most_pool: i
 
 def _fit(rows: DataFrame, vector: str, penalty: float) -> LogisticRegressionModel:
     learner = LogisticRegression(featuresCol=vector, labelCol="label", regParam=penalty, elasticNetParam=1.0, maxIter=30, tol=1e-4)
-    return learner.fit(rows.select(vector, "label"))
+    return learner.fit(rows.select(vector, "label").coalesce(FIT_PARTS))
 
 
 def _with_logit(rows: DataFrame, model: LogisticRegressionModel, name: str) -> DataFrame:
@@ -176,7 +178,7 @@ def fit(
     share = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1000)) / 1000.0
     rows = words.transform(features).withColumns({
         "numbers": array_to_vector("metadata"), "held": F.col("label").isNotNull() & (share < CALIBRATION_SHARE),
-    }).select("doc_id", "label", "content", "numbers", "held").repartition(features.sparkSession.sparkContext.defaultParallelism, "doc_id").persist()
+    }).select("doc_id", "label", "content", "numbers", "held").coalesce(FIT_PARTS).persist()
     try:
         return _co_train(rows, words.vocabulary, rounds, confident, penalty)
     finally:

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 
 import corpus_pipeline
 from ensemblage.llm import cotraining
@@ -99,3 +100,17 @@ def test_pipeline(spark, tmp_path):
     for held in ends.values():
         held.sort()
         assert held[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(held, held[1:])) and held[-1][0] + held[-1][1] <= 2048
+
+
+def test_fitting_many_partitions_shuffles_little(spark):
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def written():
+        executors = store.executorList(True)
+        return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+    rows = spark.range(0, 400, 1, 40).selectExpr("CAST(id % 2 AS DOUBLE) AS label", "array(CAST(id % 2 + id % 5 AS DOUBLE)) AS x")
+    rows = rows.select("label", array_to_vector("x").alias("x"))
+    before = written()
+    model = cotraining._fit(rows, "x", 1e-4)
+    assert written() - before < 100_000 and model.coefficients[0] > 0
