@@ -52,3 +52,14 @@ def test_random_links(spark, monkeypatch, block):
     same = {(a, b) for a, b in linked if a % 7 == b % 7}
     assert found(spark, buckets, linked, possible=lambda a, b: a["mark"] == b["mark"]) == brute(buckets, same)
     assert found(spark, buckets, same) == brute(buckets, same)
+
+
+@pytest.mark.parametrize("edges", [10, 200_000])
+def test_few_edges_are_followed_by_one_task(spark, monkeypatch, edges):
+    written, cut = [], neighbours.cut_lineage
+    monkeypatch.setattr(neighbours, "cut_lineage", lambda df, *rest, **options: written.append(1) or cut(df, *rest, **options))
+    monkeypatch.setattr(neighbours, "EDGES", edges)
+    chain = [(str(i).encode(), str(i + 1).encode()) for i in range(10, 50)]
+    roots = {bytes(r["id"]): bytes(r["root"]) for r in neighbours.components(spark.createDataFrame(chain, "a binary, b binary")).collect()}
+    assert roots == {str(i).encode(): b"10" for i in range(10, 51)}
+    assert len(written) == 2 or edges < 40
