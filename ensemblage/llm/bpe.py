@@ -319,6 +319,17 @@ class TextEncoder:
         yield b"".join(run)
 
 
+#: This worker's encoder, kept from task to task with the pieces and transitions it knows, behind its ranks and pattern.
+_KEPT: list[tuple[dict[bytes, int], str, TextEncoder]] = []
+
+
+def encoder_of(ranks: dict[bytes, int], pattern: str) -> TextEncoder:
+    """The encoder of this worker, made anew for other ranks or another pattern than before."""
+    if not _KEPT or _KEPT[0][0] is not ranks or _KEPT[0][1] != pattern:
+        _KEPT[:] = [(ranks, pattern, TextEncoder(ranks, pattern))]
+    return _KEPT[0][2]
+
+
 def encoded(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """doc_id, part (from 0), ids: each text's ids in rows of limited size, one after the other; an empty text has one row.
 
@@ -331,7 +342,7 @@ def encoded(docs: DataFrame, path: str | None = None, pattern: str | None = None
     schema = pa.schema([("doc_id", to_arrow_type(kind)), ("part", pa.int64()), ("ids", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(shared.value, pattern)
+        encoder = encoder_of(shared.value, pattern)
         most = 4 * IDS_PER_ROW
         for batch in batches:
             doc_ids, rows, parts, values, size = batch.column(0), [], [], [], 0
@@ -453,7 +464,7 @@ def round_trips(docs: DataFrame, path: str | None = None, pattern: str | None =
     schema = pa.schema([("doc_id", to_arrow_type(kind)), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(shared.value, pattern)
+        encoder = encoder_of(shared.value, pattern)
         decoder = StreamDecoder(encoder.machine.tokens)
         for batch in batches:
             found: list[tuple[int, str, str]] = []

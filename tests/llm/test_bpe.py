@@ -103,6 +103,16 @@ def test_invalid_bytes_and_an_empty_table(spark, library):
     assert bpe.round_trips(docs.limit(0)).count() == 0 and bpe.decoded(bpe.encoded(docs.limit(0))).count() == 0
 
 
+def test_a_worker_keeps_its_encoder_from_task_to_task(spark, ranks):
+    other, pattern = dict(ranks), bpe.default_pattern()
+    first = bpe.encoder_of(ranks, pattern)
+    assert b"".join(first.encode("kept pieces")) and bpe.encoder_of(ranks, pattern) is first and first.known
+    assert bpe.encoder_of(other, pattern) is not first and bpe.encoder_of(ranks, "[a-z]+").pattern.pattern == "[a-z]+"
+    shared = spark.sparkContext.broadcast(other)
+    met = spark.sparkContext.parallelize(range(40), 40).map(lambda _: (__import__("os").getpid(), id(bpe.encoder_of(shared.value, pattern)))).collect()
+    assert len(set(met)) == len({pid for pid, _ in met}) < 40
+
+
 def test_registered_query(spark, library):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
