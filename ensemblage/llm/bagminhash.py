@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ensemblage.llm.common import plain_words
 from ensemblage.llm.neighbours import groups_of, shared_buckets
@@ -33,6 +33,8 @@ BANDS, ROWS = 16, 4
 SLOTS = BANDS * ROWS
 #: Characters whose documents are signed at once, and words whose hashes a worker remembers.
 AT_ONCE, REMEMBERED = 2_000_000, 300_000
+#: Counters by which shingles are put in order, rare ones first; any order finds the same, this one meets few others.
+COUNTERS = 1 << 18
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # the finaliser of splitmix64
@@ -198,6 +200,61 @@ def _similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return both.select("a", "b", "left", "right").mapInArrow(compare, "a binary, b binary")
 
 
+def _tokens(text: str, hashes: dict[bytes, int]) -> np.ndarray:
+    """A hash for each shingle of a bag, and for each time that it comes again another."""
+    shingles, counts = bag(plain_words(text), hashes)
+    again = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    return _mixed(np.repeat(shingles, counts) + again.astype(np.uint64) * _STEP)
+
+
+def _rare_tokens(texts: DataFrame, similarity: float) -> DataFrame:
+    """Stored rows (key, at, n, id, size) of the rarest tokens of texts (id, text) that another text has among its own.
+
+    Bags that are similar share one of the first n - similarity * n + 1 of their n tokens in any common order.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, total = _Hashes(), np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for text in batch.column(1):
+                total += np.bincount((_tokens(text.as_py(), hashes) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+            if len(hashes) > REMEMBERED:
+                hashes.clear()
+        slots = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(total[slots])], names=["slot", "n"])
+
+    found = texts.mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most COUNTERS rows
+    table = np.zeros(COUNTERS, np.int64)
+    table[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    frequent = texts.sparkSession.sparkContext.broadcast(table)
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts = _Hashes(), frequent.value
+        for batch in batches:
+            keys, sizes = [np.empty(0, np.uint64)], []
+            for text in batch.column(1):
+                tokens = _tokens(text.as_py(), hashes)
+                order = np.lexsort((tokens, counts[(tokens % np.uint64(COUNTERS)).astype(np.int64)]))
+                keys.append(tokens[order[: len(tokens) - int(np.ceil(similarity * len(tokens) - 1e-9)) + 1]])
+                sizes.append((len(keys[-1]), len(tokens)))
+            if len(hashes) > REMEMBERED:
+                hashes.clear()
+            taken = np.array(sizes, np.int64).reshape(-1, 2)
+            rows = np.repeat(np.arange(len(taken)), taken[:, 0])
+            at = np.arange(len(rows)) - np.repeat(np.cumsum(taken[:, 0]) - taken[:, 0], taken[:, 0])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(at), pa.array(taken[rows, 1]), batch.column(0).take(pa.array(rows))],
+                names=["key", "at", "n", "id"],
+            )
+
+    return shared_buckets(texts.mapInArrow(rarest, "key bigint, at bigint, n bigint, id binary"))
+
+
+def _may_share(left: Column, right: Column, similarity: float) -> Column:
+    """Whether bags that share no token before this one can have enough in common."""
+    common = F.least(left["n"] - left["at"], right["n"] - right["at"])
+    return common >= (left["n"] + right["n"]) * (similarity / (1 + similarity)) - 1e-9
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, digest and class_id (the least doc_id of its class) of each document.
 
@@ -213,7 +270,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     wanted = buckets.select("id").distinct()
     found = docs.where(F.col("text").isNotNull()).select(_digest().alias("id"), "text").join(wanted, "id", "left_semi")
     texts = cut_lineage(found.dropDuplicates(["id"]), "texts")
-    groups = groups_of(buckets, lambda pairs: _similar(pairs, texts, similarity))
+    groups = groups_of(
+        buckets, lambda pairs: _similar(pairs, texts, similarity),
+        finer=lambda ids: (_rare_tokens(texts.join(ids, "id", "left_semi").select("id", "text"), similarity), lambda left, right: _may_share(left, right, similarity)),
+    )
     placed = signed.join(groups.withColumnRenamed("id", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     placed = placed.select("doc_id", "digest", F.when(F.col("n_words") > 0, F.col("root")).alias("root"))
     placed = cut_lineage(placed, "placed")

@@ -255,6 +255,28 @@ def test_near_duplicates_against_brute_force(spark):
     assert bagminhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_around_one_passage_are_not_compared_pair_by_pair(spark, monkeypatch):
+    passage, *rest = prose(91, seed=14, low=110, high=110)
+    texts = []
+    for own in rest:  # alike by less than the limit, so that leaders leave most of them apart
+        words = own.split(" ")
+        texts.append(passage + " " + " ".join(words[:45]))
+    for i in (5, 20, 50):  # among them some near copies of one another
+        for _ in range(3):
+            words = texts[i].split(" ")
+            words[-3] = f"n{len(texts)}"
+            texts.append(" ".join(words))
+    compared, similar = [], bagminhash._similar
+    monkeypatch.setattr(bagminhash, "_similar", lambda pairs, *rest: compared.append(pairs.count()) or similar(pairs, *rest))
+    monkeypatch.setattr(bagminhash, "BANDS", 64)
+    monkeypatch.setattr(bagminhash, "ROWS", 1)  # one slot in common makes a candidate
+    got = {r["doc_id"]: r["class_id"] for r in bagminhash.near_duplicates(documents(spark, texts)).collect()}
+    want = brute_classes(dict(enumerate(texts)))
+    assert got == want and len(set(want.values())) == 90
+    assert compared[-1] + compared[-2] < 100 < sum(compared)  # of 4,800 pairs
+
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(50)]
