@@ -5,8 +5,8 @@ rotation, ``moi`` the largest difference between logarithms of principal moments
 All obey the triangle inequality, so distances to a few landmarks bound a distance from below: they are coordinates that
 tell which pairs are worth measuring. Conformers of different formula are never near each other.
 
-Clusters are those of single linkage at ``cut``, named by their lowest index. An ensemble that fits a task is searched
-there from member to member. Of a larger one a net is kept, in which each member has a leader within half the cut; leaders
+Clusters are those of single linkage at ``cut``, named by their lowest index. Small ensembles are measured pair
+by pair, many at once; an ensemble that fits a task is searched there from member to member. Of a larger one a net is kept, in which each member has a leader within half the cut; leaders
 within the cut are linked, and of leaders up to twice the cut apart that aren't in one cluster yet, members are measured in
 blocks. That last step can be quadratic in the members of such leaders, and of nothing else.
 """
@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ensemblage.operators import geometry
@@ -29,6 +30,8 @@ METRICS = ("rmsd", "moi", "rotcorr_rmsd", "mix")
 #: Members of an ensemble that one task searches, and of a block of a leader's members.
 SEARCH_ROWS = 2_000
 BLOCK_ROWS = 500
+#: Members of an ensemble of which all pairs of one formula are measured, together with those of other ensembles.
+PAIRED_ROWS = 64
 LANDMARKS = 3
 #: Moments below this, as those of atoms in a line, are taken for it.
 LEAST_MOMENT = 1e-3
@@ -38,9 +41,8 @@ PAYLOAD = ["xyz", "formula", *LOGS]
 
 def shapes(atoms: DataFrame) -> DataFrame:
     """ensemble_id, conf_idx, xyz, formula and logarithms of the moments of each conformer."""
-    logs = {f"log_{n}": F.log(F.greatest(F.col(f"moment_{n}"), F.lit(LEAST_MOMENT))) for n in "abc"}
-    described = geometry.moments(atoms).withColumns(logs).select(*MEMBER, *LOGS)
-    return join_on(geometry.coordinate_lists(atoms), described, MEMBER).select(*MEMBER, *PAYLOAD)
+    logs = [F.log(F.greatest(F.col(f"moment_{n}"), F.lit(LEAST_MOMENT))).alias(f"log_{n}") for n in "abc"]
+    return geometry.moments(atoms, geometry.listed()).select(*MEMBER, *geometry.listed_coordinates(), *logs)
 
 
 def distances(metric: str, left: np.ndarray, right: np.ndarray, left_logs: np.ndarray, right_logs: np.ndarray) -> np.ndarray:
@@ -61,23 +63,30 @@ class _Shapes:
         self.metric = metric
         self.formula = frame[f"{prefix}formula"].to_numpy()
         self.logs = frame[[f"{prefix}{c}" for c in LOGS]].to_numpy(float)
-        self.xyz = frame[f"{prefix}xyz"].to_numpy()
+        xyz = frame[f"{prefix}xyz"].to_numpy()
+        self.length = np.fromiter(map(len, xyz), np.int64, len(xyz))
+        self.start = np.cumsum(self.length) - self.length
+        self.xyz = np.concatenate(xyz).astype(float, copy=False) if len(xyz) else np.zeros(0)
 
     def solid(self, rows: np.ndarray) -> np.ndarray:
-        return np.stack([np.asarray(self.xyz[r], float) for r in rows]).reshape(len(rows), -1, 3)
+        """The coordinates of rows with as many atoms each."""
+        return self.xyz[self.start[rows][:, None] + np.arange(self.length[rows[0]])].reshape(len(rows), -1, 3)
 
     def measured(self, rows: np.ndarray, other: _Shapes, other_rows: np.ndarray) -> np.ndarray:
         """Distance of each of ``rows`` to the row of ``other`` beside it; infinite where formulas differ."""
         found = np.full(len(rows), np.inf)
-        same = np.flatnonzero(self.formula[rows] == other.formula[other_rows])
-        for formula in set(self.formula[rows[same]]):
-            at = same[self.formula[rows[same]] == formula]
+        same = np.flatnonzero((self.formula[rows] == other.formula[other_rows]) & (self.length[rows] == other.length[other_rows]))
+        for length in np.unique(self.length[rows[same]]):
+            at = same[self.length[rows[same]] == length]
             found[at] = distances(self.metric, self.solid(rows[at]), other.solid(other_rows[at]), self.logs[rows[at]], other.logs[other_rows[at]])
         return found
 
     def from_one(self, one: int, rows: np.ndarray) -> np.ndarray:
         return self.measured(rows, self, np.full(len(rows), one))
 
+    def beside(self, rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+        return self.measured(rows, self, others)
+
 
 def searched(frame: pd.DataFrame, metric: str, cut: float) -> np.ndarray:
     """The lowest index of each row's cluster."""
@@ -102,21 +111,58 @@ def searched(frame: pd.DataFrame, metric: str, cut: float) -> np.ndarray:
     return ids[label]
 
 
+def searched_together(frame: pd.DataFrame, ensemble: np.ndarray, metric: str, cut: float) -> np.ndarray:
+    """The row of the lowest index of each row's cluster, for all ensembles at once: small ones by all pairs of one formula."""
+    label = np.arange(len(frame))
+    order = np.lexsort((frame["conf_idx"].to_numpy(), ensemble))
+    sizes = np.bincount(ensemble)
+    for large in np.flatnonzero(sizes > PAIRED_ROWS):
+        rows = order[ensemble[order] == large]
+        ids = frame["conf_idx"].to_numpy()[rows]
+        label[rows] = rows[np.searchsorted(ids, searched(frame.iloc[rows], metric, cut))]
+    small = order[sizes[ensemble[order]] <= PAIRED_ROWS]
+    table = _Shapes(frame, metric)
+    kind = np.unique(table.formula[small].astype(str), return_inverse=True)[1]
+    by_kind = np.lexsort((kind, ensemble[small]))  # members of one formula stand together, in order of their indexes
+    small, kind = small[by_kind], kind[by_kind]
+    group = np.cumsum(np.append(0, (kind[1:] != kind[:-1]) | (ensemble[small[1:]] != ensemble[small[:-1]])))[: len(small)]
+    links = [np.zeros((0, 2), np.int64)]
+    for step in range(1, np.bincount(group).max(initial=1)):
+        at = np.flatnonzero(group[step:] == group[:-step])
+        if metric in ("moi", "mix"):  # which the difference of moments alone may exceed
+            apart = np.abs(table.logs[small[at]] - table.logs[small[at + step]]).max(axis=1)
+            at = at[apart <= (cut if metric == "moi" else 2 * cut) * (1 + 1e-9) + 1e-9]
+        at = at[table.beside(small[at], small[at + step]) <= cut]
+        links.append(np.stack([at, at + step], axis=1))
+    one, other = np.concatenate(links).T
+    place = np.arange(len(small))
+    while (place[one] != place[other]).any():  # the lower of both ends' first places becomes the first of both
+        left, right = place[one], place[other]
+        np.minimum.at(place, np.concatenate([left, right]), np.tile(np.minimum(left, right), 2))
+        while (place[place] != place).any():
+            place = place[place]
+    label[small] = small[place]
+    return label
+
+
 def metric_clusters(points: DataFrame, cut: float, metric: str = "mix", task_rows: int | None = None) -> DataFrame:
     """ensemble_id, conf_idx, label of ``shapes``: clusters by single linkage at ``cut`` under a metric."""
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}, got {metric!r}")
-    points = points.select(*MEMBER, *PAYLOAD)
+    points = cut_lineage(points.select(*MEMBER, *PAYLOAD), "shapes")  # counted first, then searched
     kinds = [points.schema[c].dataType.simpleString() for c in MEMBER]
     schema = f"ensemble_id {kinds[0]}, conf_idx {kinds[1]}, label {kinds[1]}"
     limit = task_rows or geometry.walk_limit(points, SEARCH_ROWS)
 
-    def search(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"ensemble_id": frame["ensemble_id"], "conf_idx": frame["conf_idx"], "label": searched(frame, metric, cut)})
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, ensemble in geometry.whole_ensembles(batches):
+            label = searched_together(table.drop(["ensemble_id"]).to_pandas(), ensemble, metric, cut)
+            ids, confs = (table[c].combine_chunks() for c in MEMBER)
+            yield pa.RecordBatch.from_arrays([ids, confs, confs.take(pa.array(label))], names=[*MEMBER, "label"])
 
     def step(rows: DataFrame, groups: TaskGroups | SpreadGroups) -> DataFrame:
         if isinstance(groups, TaskGroups):
-            return rows.groupBy("ensemble_id").applyInPandas(search, schema)
+            return rows.repartition("ensemble_id").sortWithinPartitions("ensemble_id").mapInArrow(search, schema)
         return _by_net(rows, groups, cut, metric, limit)
 
     return plan_groups(points, ("ensemble_id",), limit).apply(points, step)
@@ -171,13 +217,13 @@ def _by_net(rows: DataFrame, groups: SpreadGroups, cut: float, metric: str, run_
         kind = candidates.schema["kept_place"].dataType
         return _measured_pairs(pairs, metric, half, [*MEMBER, "kept_idx", "kept_place"]).withColumn("kept_place", F.from_json("kept_place", kind))
 
-    def same(frame: pd.DataFrame, kept: int, others: np.ndarray) -> np.ndarray:
+    def same(frame: pd.DataFrame, kept: np.ndarray, others: np.ndarray) -> np.ndarray:
         table = _Shapes(frame, metric)
         place = frame[marks].to_numpy()
         near = (table.formula[others] == table.formula[kept]) & (np.abs(place[others] - place[kept]) <= half * slack + 1e-9).all(axis=1)
         rows = np.flatnonzero(near)
         if len(rows):
-            near[rows] = table.from_one(kept, others[rows]) <= half
+            near[rows] = table.beside(others[rows], kept[rows]) <= half
         return near
 
     # all are members of one walk in order of their indexes

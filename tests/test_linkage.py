@@ -181,6 +181,35 @@ def test_clusters_by_metric_against_all_pairs(spark, monkeypatch, name):
     assert 2 < len(set(label.items()) & {((e, i), i) for e, i in label}) < 110
 
 
+@pytest.mark.parametrize("name", metric.METRICS)
+def test_small_ensembles_are_searched_together(monkeypatch, name):
+    """All pairs of many ensembles at once give what each ensemble alone gives, whatever its size."""
+    rng, rows = np.random.default_rng(3), []
+    for ensemble, members in enumerate((1, 2, 40, 3, 90, 25)):
+        bases = rng.normal(size=(4, 3, 3))
+        for i in rng.permutation(members):
+            atoms = 3 - (i % 5 == 0)
+            xyz = (bases[i % 4] + 0.2 * rng.normal(size=(3, 3)))[:atoms]
+            rows.append((ensemble, int(i), xyz.ravel(), "C" * atoms if i % 7 else "O C", *rng.normal(size=3)))
+    frame = metric.pd.DataFrame(rows, columns=["ensemble_id", "conf_idx", *metric.PAYLOAD])
+    ensemble, ids = frame.pop("ensemble_id").to_numpy(), frame["conf_idx"].to_numpy()
+    for paired in (0, 64, 1_000):
+        monkeypatch.setattr(metric, "PAIRED_ROWS", paired)
+        label = metric.searched_together(frame, ensemble, name, 0.6)
+        for one in np.unique(ensemble):
+            mine = np.flatnonzero(ensemble == one)
+            assert (ids[label[mine]] == metric.searched(frame.iloc[mine], name, 0.6)).all() and (ensemble[label[mine]] == one).all()
+
+
+def test_shapes_are_gathered_once_and_repeated_atoms_are_one(spark):
+    rows = [(1, 1, 2, "H", 1.0, 0.0, 0.0), (1, 1, 1, "O", 0.5, 3.0, 0.0), (1, 1, 1, "C", 0.7, 2.0, 1.0), (1, 2, 1, "C", 0.0, 0.0, 0.0)]
+    atoms = spark.createDataFrame(rows, "ensemble_id int, conf_idx int, atom_index int, element string, x double, y double, z double")
+    shapes = metric.shapes(atoms)
+    assert "Join" not in shapes._jdf.queryExecution().optimizedPlan().toString()
+    found = {r.conf_idx: (list(r.xyz), r.formula) for r in shapes.collect()}
+    assert found == {1: ([0.5, 2.0, 0.0, 1.0, 0.0, 0.0], "C H"), 2: ([0.0, 0.0, 0.0], "C")}
+
+
 def test_unknown_metric(spark):
     with pytest.raises(ValueError):
         metric.metric_clusters(spark.createDataFrame([], "ensemble_id int, conf_idx int, xyz array<double>, formula string, log_a double, log_b double, log_c double"), 1.0, "x")
