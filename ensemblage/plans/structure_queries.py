@@ -91,7 +91,7 @@ def classes(spark: SparkSession, folder: str) -> DataFrame:
 def orbits(spark: SparkSession, folder: str) -> DataFrame:
     """Classes by the symmetries of each molecule's graph, which neighbourhoods alone may miss."""
     given = Given(spark, folder)
-    return equivalence.symmetry_classes(given.atoms(), given.bonds())
+    return equivalence.symmetry_classes(given.atoms(), given.bonds(), whole=True)
 
 
 @register("eqv_shift_refine", sql(f"""

@@ -172,6 +172,39 @@ def test_symmetry_classes(spark, monkeypatch):
     assert {r.class_id for r in equivalence.symmetry_classes(atoms, bonds).where("ensemble_id = 'cage' AND NOT exact").collect()} == {10}
 
 
+def test_symmetry_classes_do_not_depend_on_the_size_of_a_molecule(spark):
+    """Cages that refinement sees as one class, in a molecule beyond the limit, on a chain of rings and beside chains without rings."""
+    cage = [(0, 1), (0, 2), (1, 2), (0, 3), (1, 4), (2, 5), (3, 4), (3, 6), (4, 7), (5, 6), (5, 7), (6, 7)]
+    copies = equivalence.ORBIT_ATOMS // 8 + 1
+    atoms = [("large", i, "C") for i in range(8 * copies)] + [("small", i, "C") for i in range(8)]
+    bonds = [("large", a + 8 * k, b + 8 * k) for k in range(copies) for a, b in cage] + [("small", *b) for b in cage]
+    atoms = spark.createDataFrame(atoms, "ensemble_id string, atom_index int, element string")
+    bonds = spark.createDataFrame(bonds, "ensemble_id string, a int, b int")
+    found = {(r.ensemble_id, r.atom_index): r.class_id for r in equivalence.symmetry_classes(atoms, bonds, whole=True).where("exact").collect()}
+    want = equivalence.orbits_of(["C"] * 8, cage)
+    assert found == {**{("large", i): want[i % 8] for i in range(8 * copies)}, **{("small", i): want[i] for i in range(8)}}
+
+
+def test_orbits_of_large_chains_of_rings():
+    """A chain of 80 rings that can each be turned over, with branches: pairs by turning, and ends by reversing the chain."""
+    rings, bonds, n = 80, [], 0
+    for k in range(rings):
+        bonds += [(n + x, n + (x + 1) % 6) for x in range(6)] + ([(n - 5, n)] if k else [])  # para to para
+        n += 8
+        bonds += [(n - 2, n - 7), (n - 1, n - 3)]  # a branch on either side
+    found = equivalence.orbits_of(["C"] * n, bonds)
+    assert all(found[8 * k + 1] == found[8 * k + 5] and found[8 * k + 6] == found[8 * k + 7] for k in range(rings))
+
+
+def test_orbits_with_trees_against_all_permutations():
+    rng = random.Random(21)
+    for _ in range(60):
+        n = rng.randint(3, 7)
+        bonds = [(i, rng.randrange(i)) for i in range(1, n) if rng.random() < 0.85] + [(rng.randrange(n), rng.randrange(n)) for _ in range(rng.choice([0, 0, 1, 2]))]
+        elements = [rng.choice("CCCCO") for _ in range(n)]
+        assert equivalence.orbits_of(elements, bonds) == brute_orbits(elements, bonds)
+
+
 def test_names_are_never_given_twice(spark):
     names = ["a", "a", "a_2", "a", "b", "a_2_2", "b_1"]
     rows = spark.createDataFrame(list(enumerate(names)), "n int, name string")
